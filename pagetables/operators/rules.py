@@ -1,0 +1,126 @@
+"""Rule-driven extraction for markup that needs real nesting.
+
+A rule names an output field, the element to look for and what to take from it.
+Pages are parsed where they lie, one Arrow batch at a time; nothing is shuffled.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from dataclasses import dataclass
+from html.parser import HTMLParser
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+
+# HTML elements that have no end tag.
+VOID = frozenset(
+    "area base br col embed hr img input link meta source track wbr".split()
+)
+
+
+@dataclass(frozen=True)
+class Rule:
+    """First element with ``tag`` (any, if None) whose ``attr`` fits ``value``."""
+
+    field: str
+    tag: str | None = None
+    attr: str | None = None
+    value: str | None = None
+    match: str = "="
+    take: str | None = None  # attribute to take; the text if None
+
+    def fits(self, tag: str, attrs: dict[str, str]) -> bool:
+        if self.tag is not None and tag != self.tag:
+            return False
+        if self.attr is None:
+            return True
+        have = attrs.get(self.attr)
+        if have is None or self.value is None:
+            return have is not None
+        return {
+            "=": have == self.value,
+            "^=": have.startswith(self.value),
+            "$=": have.endswith(self.value),
+            "*=": self.value in have,
+            "~=": self.value in have.split(),
+        }[self.match]
+
+
+class _FirstMatches(HTMLParser):
+    """Collects, per rule, the first element that fits."""
+
+    def __init__(self, rules: tuple[Rule, ...]):
+        super().__init__(convert_charrefs=True)
+        self.pending = list(rules)
+        self.values: dict[str, str | None] = {}
+        self.open_tags: list[str] = []
+        # field -> (depth of its element, text so far)
+        self.reading: dict[str, tuple[int, list[str]]] = {}
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag in ("p", "li") and tag in self.open_tags[-1:]:
+            self._close(len(self.open_tags) - 1)
+        known = {k: v or "" for k, v in attrs}
+        for rule in [r for r in self.pending if r.fits(tag, known)]:
+            self.pending.remove(rule)
+            if rule.take is not None:
+                self.values[rule.field] = known.get(rule.take)
+            elif tag in VOID:
+                self.values[rule.field] = ""
+            else:
+                self.reading[rule.field] = (len(self.open_tags), [])
+        if tag not in VOID:
+            self.open_tags.append(tag)
+
+    def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self.handle_starttag(tag, attrs)
+        if tag not in VOID:
+            self.handle_endtag(tag)
+
+    def handle_endtag(self, tag: str) -> None:
+        for depth in range(len(self.open_tags) - 1, -1, -1):
+            if self.open_tags[depth] == tag:
+                self._close(depth)
+                break
+
+    def handle_data(self, data: str) -> None:
+        if self.open_tags and self.open_tags[-1] in ("script", "style"):
+            return
+        for _, parts in self.reading.values():
+            parts.append(data)
+
+    def _close(self, depth: int) -> None:
+        del self.open_tags[depth:]
+        for field in [f for f, (at, _) in self.reading.items() if at >= depth]:
+            self.values[field] = " ".join("".join(self.reading.pop(field)[1]).split())
+
+    def finish(self) -> dict[str, str | None]:
+        self.close()
+        self._close(0)
+        return self.values
+
+
+def extract(pages: DataFrame, keys: list[str], html: str, rules: list[Rule]) -> DataFrame:
+    """One row per page: the key columns and one string column per rule."""
+    fixed = tuple(rules)
+    schema = T.StructType(
+        [pages.schema[k] for k in keys]
+        + [T.StructField(r.field, T.StringType()) for r in fixed]
+    )
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for page in batch[html]:
+                parser = _FirstMatches(fixed)
+                parser.feed(page or "")
+                rows.append(parser.finish())
+            fields = {
+                r.field: pd.Series([row.get(r.field) for row in rows], dtype=object, index=batch.index)
+                for r in fixed
+            }
+            yield batch[keys].assign(**fields)
+
+    return pages.select(*keys, html).mapInPandas(read, schema)
