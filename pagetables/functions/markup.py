@@ -21,7 +21,11 @@ from pyspark.sql import functions as F
 from pagetables.functions.text import squash, strip_ends
 
 _TAG = r"<[/!?A-Za-z][^>]*(?:>|\z)"
-_HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\z)"
+# Possessive loops run from one candidate end to the next without backtracking.
+_HIDDEN = (
+    r"(?i)<!--[^-]*+(?:-(?!->)[^-]*+)*+(?:-->)?"
+    r"|<(script|style)\b[^>]*+>[^<]*+(?:<(?!/\1\b)[^<]*+)*+(?:</\1[^>]*+>)?"
+)
 _BLOCK_START = r"(?i)<(?:p|li)(?=[\s>/])[^>]*>"
 _BLOCK_END = r"(?is)</(?:p|li|ul|ol|div|article|section|nav|main|body|html)\s*>.*\z"
 
@@ -117,10 +121,16 @@ def unescape(c: Column) -> Column:
 
 # ---------------------------------------------------------------- text
 
+def hide(html_text: Column) -> Column:
+    """Scripts, styles and comments cut down to a bare tag."""
+    return F.regexp_replace(html_text, _HIDDEN, "<x>")
+
+
 def prepare(html_text: Column) -> Column:
-    """Markup the field functions read: hidden parts are cut down to a bare tag,
-    references decoded except those for markup characters."""
-    return _decode_rare(F.regexp_replace(html_text, _HIDDEN, "<x>"))
+    """Markup the field functions read: hidden parts are cut, and references
+    decoded except those for markup characters."""
+    # The lambda binds the cut markup, which is looked at more than once.
+    return F.get(F.transform(F.array(hide(html_text)), _decode_rare), F.lit(0))
 
 
 def raw_text(prepared: Column) -> Column:
@@ -181,9 +191,7 @@ def first_inner(
     match: str = "=",
 ) -> Column:
     """Markup inside the first matching element, or null if there is none."""
-    pattern = r"(?is)" + _open_tag(tag, attr, value, match) + r"(.*?)(?:</\1\s*>|\z)"
-    outer = F.nullif(F.regexp_extract(page, pattern, 0), F.lit(""))
-    return F.regexp_extract(outer, pattern, 2)
+    return F.get(all_inner(page, tag, attr, value, match), F.lit(0))
 
 
 def first_text(page: Column, *rule: str | None, **kw: str | None) -> Column:
@@ -193,33 +201,41 @@ def first_text(page: Column, *rule: str | None, **kw: str | None) -> Column:
 
 def attribute(open_tag: Column, attr: str) -> Column:
     """Value of an attribute in one start tag, or null if it is not set."""
-    pattern = rf"(?is)\s{re.escape(attr)}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))"
-    quoted = [F.regexp_extract(open_tag, pattern, i) for i in (1, 2, 3)]
-    return F.when(open_tag.rlike(pattern), _decode_markup(F.concat(*quoted)))
+    pattern = rf"(?is)\s{re.escape(attr)}\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+)"
+    value = F.get(F.regexp_extract_all(open_tag, F.lit(pattern), F.lit(1)), F.lit(0))
+    return _decode_markup(F.regexp_replace(value, r"\A[\"']|[\"']\z", ""))
 
 
-def first_attr(
+def first_tag(
     page: Column,
-    take: str,
     tag: str | None = None,
     attr: str | None = None,
     value: str | None = None,
     match: str = "=",
 ) -> Column:
+    """The first matching start tag, or null if there is none."""
+    pattern = "(?i)" + _open_tag(tag, attr, value, match)
+    return F.get(F.regexp_extract_all(page, F.lit(pattern), F.lit(0)), F.lit(0))
+
+
+def first_attr(page: Column, take: str, *rule: str | None, **kw: str | None) -> Column:
     """An attribute of the first matching element, or null."""
-    pattern = r"(?is)" + _open_tag(tag, attr, value, match)
-    return attribute(F.nullif(F.regexp_extract(page, pattern, 0), F.lit("")), take)
+    return attribute(first_tag(page, *rule, **kw), take)
 
 
 def all_inner(
     page: Column,
-    tag: str,
+    tag: str | None,
     attr: str | None = None,
     value: str | None = None,
     match: str = "=",
 ) -> Column:
-    """Markup inside every matching element, in page order."""
-    pattern = r"(?is)" + _open_tag(tag, attr, value, match) + r"(.*?)(?:</\1\s*>|\z)"
+    """Markup inside every matching element, in page order.
+
+    One scan of the page, which also tells an empty element from a missing one.
+    """
+    inside = r"([^<]*+(?:<(?!/\1[\s>])[^<]*+)*+)(?:</\1[^>]*+>)?"
+    pattern = "(?i)" + _open_tag(tag, attr, value, match) + inside
     return F.regexp_extract_all(page, F.lit(pattern), F.lit(2))
 
 

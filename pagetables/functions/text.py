@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters a Unicode-aware split on whitespace removes.
-SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# The characters a Unicode-aware split on whitespace removes: those
+# with the White_Space property, and the four ASCII separators.
+SPACE = r"[\s\x1c-\x1f]"
 
 # ASCII letters, the only ones the name search folds.
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -21,12 +22,14 @@ PREVIEW_LENGTH = 50
 
 def squash(c: Column) -> Column:
     """Collapse every run of whitespace to one blank and trim the ends."""
-    return F.trim(F.regexp_replace(c, SPACE + "+", " "))
+    # A single plain blank between words is left alone.
+    runs = rf"(?U)(?! [^\s\x1c-\x1f]){SPACE}++"
+    return F.trim(F.regexp_replace(c, runs, " "))
 
 
 def strip_ends(c: Column) -> Column:
     """Remove Unicode whitespace from both ends."""
-    return F.regexp_replace(c, rf"\A{SPACE}+|{SPACE}+\z", "")
+    return F.regexp_replace(c, rf"(?U)\A{SPACE}++|{SPACE}++\z", "")
 
 
 def parse_price(c: Column) -> Column:
@@ -56,8 +59,9 @@ def preview(c: Column, length: int = PREVIEW_LENGTH, null_as_empty: bool = True)
 
 
 def fallback(first: Column, second: Column) -> Column:
-    """``second`` where ``first`` is missing or empty."""
-    return F.coalesce(F.nullif(first, F.lit("")), second)
+    """``second`` where ``first`` is missing or empty; each is evaluated once."""
+    given = F.get(F.filter(F.array(first), lambda text: text != ""), F.lit(0))
+    return F.coalesce(given, second)
 
 
 def join_list(items: Column, separator: str = LIST_SEPARATOR) -> Column:

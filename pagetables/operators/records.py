@@ -45,34 +45,37 @@ def prepared(pages: DataFrame, html: str = "html") -> DataFrame:
     return pages.withColumn(html, M.prepare(F.col(html)))
 
 
-def listing_fields(page: Column) -> dict[str, Column]:
-    price_text = M.first_text(page, None, "data-test", "price")
-    name = fallback(M.first_text(page, None, "data-test", "product_name"), M.first_text(page, "h1"))
-    return {
-        "name": name,
-        "sku": M.first_text(page, None, "data-test-id", "sku"),
-        "price_text": price_text,
-        "price": parse_price(price_text),
-        "original_price": parse_price(M.first_text(page, None, "data-test", "strike_price")),
-        "image": M.first_attr(page, "content", "meta", "property", "og:image"),
-    }
-
-
 def listing_record(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """The 8-column listing record. A page without the required name becomes a
-    row of its URL and an error; the others go on."""
+    row of its URL and an error; the others go on.
+
+    Texts are read in a projection of their own, so that what is derived from
+    one text does not search the page again.
+    """
     page = F.col(html)
-    required = M.first_inner(page, None, "data-test", "product_name")
-    fields = listing_fields(page)
-    checked = prepared(pages, html).select(
+    read = prepared(pages, html).select(
         F.col(url).alias("url"),
-        *[c.alias(n) for n, c in fields.items()],
-        F.when(required.isNull(), truncate(F.lit(MISSING_NAME))).alias("error"),
+        M.first_text(page, None, "data-test", "product_name").alias("own_name"),
+        M.first_text(page, "h1").alias("heading"),
+        M.first_text(page, None, "data-test-id", "sku").alias("sku"),
+        M.first_text(page, None, "data-test", "price").alias("price_text"),
+        M.first_text(page, None, "data-test", "strike_price").alias("strike_text"),
+        M.first_attr(page, "content", "meta", "property", "og:image").alias("image"),
     )
-    kept = [
-        F.when(F.col("error").isNull(), F.col(n)).alias(n) for n in fields
-    ]
-    return checked.select("url", *kept, "error").select(*LISTING_COLUMNS)
+    found = F.col("own_name").isNotNull()
+    fields = {
+        "name": fallback(F.col("own_name"), F.col("heading")),
+        "sku": F.col("sku"),
+        "price_text": F.col("price_text"),
+        "price": parse_price(F.col("price_text")),
+        "original_price": parse_price(F.col("strike_text")),
+        "image": F.col("image"),
+    }
+    return read.select(
+        "url",
+        *[F.when(found, c).alias(n) for n, c in fields.items()],
+        F.when(~found, truncate(F.lit(MISSING_NAME))).alias("error"),
+    ).select(*LISTING_COLUMNS)
 
 
 def split_failures(records: DataFrame, error: str = "error") -> tuple[DataFrame, DataFrame]:
@@ -112,17 +115,21 @@ def detail_rows(page: Column, labels: list[str] = DETAIL_LABELS) -> Column:
 
 
 def first_entries(cells: Column, keys: list[str]) -> Column:
-    """``map`` of the known keys to their first value in an array of pairs."""
+    """Map of the known keys to their first value in an array of pairs.
+
+    The pairs are first cut down to the known keys with a value, one per key.
+    """
     known = F.array(*[F.lit(k) for k in keys])
-    entries = F.transform(
-        known,
-        lambda k: F.struct(
-            k.alias("key"),
-            F.get(F.filter(cells, lambda c: c["label"] == k), F.lit(0))["value"].alias("value"),
+    wanted = F.filter(cells, lambda c: F.array_contains(known, c["label"]))
+    empty = F.array().cast("array<struct<label:string,value:string>>")
+    firsts = F.aggregate(
+        wanted,
+        empty,
+        lambda kept, c: F.when(F.exists(kept, lambda k: k["label"] == c["label"]), kept).otherwise(
+            F.array_append(kept, F.struct(c["label"].alias("label"), c["value"].alias("value")))
         ),
     )
-    present = F.filter(entries, lambda e: e["value"].isNotNull() & (e["value"] != ""))
-    return F.map_from_entries(present)
+    return F.map_from_entries(F.filter(firsts, lambda e: e["value"] != ""))
 
 
 def section_map(page: Column, elements: dict[str, tuple[str, str | None, str | None]]) -> Column:
@@ -146,40 +153,56 @@ def sections(page: Column, classes: list[str] = SECTION_CLASSES) -> Column:
 
 def brand_origin(page: Column) -> Column:
     """Text of the block that precedes the brand row."""
-    before = rf"(?is)<div[^>]*>\s*(<span[^>]*>[^<]*</span\s*>)\s*</div\s*>\s*<div[^>]*>\s*<span[^>]*>[^<]*{BRAND_LABEL}"
-    return M.squashed_text(F.nullif(F.regexp_extract(page, before, 1), F.lit("")))
+    pair = (
+        r"(?is)<div[^>]*>\s*(<span[^>]*>[^<]*</span\s*>)\s*</div\s*>"
+        rf"\s*<div[^>]*>\s*<span[^>]*>[^<]*{BRAND_LABEL}"
+    )
+    return M.squashed_text(F.get(F.regexp_extract_all(page, F.lit(pair), F.lit(1)), F.lit(0)))
+
 
+def after_sku(page: Column) -> Column:
+    """Markup of the spans that follow the SKU among its siblings."""
+    tail = (
+        r"(?is)<span\s[^>]*data-test-id\s*=\s*[\"']sku[\"'][^>]*>.*?</span\s*>"
+        r"((?:\s*<span[^>]*>[^<]*</span\s*>)*+)"
+    )
+    return F.regexp_extract(page, tail, 1)
 
-def after_sku(page: Column, css_class: str) -> Column:
-    """Texts of the spans of a class that follow the SKU among its siblings."""
-    tail = r"(?is)<span[^>]*data-test-id\s*=\s*[\"']sku[\"'][^>]*>.*?</span\s*>((?:\s*<span[^>]*>[^<]*</span\s*>)*+)"
-    spans = M.all_inner(F.regexp_extract(page, tail, 1), "span", "class", css_class, "*=")
+
+def spans_of(markup: Column, css_class: str) -> Column:
+    """Texts of the spans whose class holds ``css_class``."""
+    spans = M.all_inner(markup, "span", "class", css_class, "*=")
     return F.transform(spans, lambda s: strip_ends(M.raw_text(s)))
 
 
 def dom_record(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """The record as the page shows it: scalars, two counts and two maps."""
     page = F.col(html)
-    counts = after_sku(page, "cursor-pointer")
+    counts = F.col("__counts")
     both = F.size(counts) >= 2
-    return prepared(pages, html).select(
+    strike = M.first_inner(page, None, "data-test", "strike_price")
+    read = prepared(pages, html).select(
         F.col(url).alias("url"),
         M.first_text(page, None, "data-test", "product_name").alias("ten"),
         M.first_text(page, None, "data-test-id", "sku").alias("sku"),
         M.first_text(page, None, "data-test", "price").alias("gia_ban"),
-        M.squashed_text(
-            M.first_inner(M.first_inner(page, None, "data-test", "strike_price"), "p")
-        ).alias("gia_goc"),
+        M.first_text(strike, "p").alias("gia_goc"),
         M.first_text(page, None, "data-test", "unit").alias("don_vi"),
         M.first_text(page, "a", "href", BRAND_PATH, match="^=").alias("thuong_hieu"),
         brand_origin(page).alias("xuat_xu"),
         M.first_attr(page, "content", "meta", "property", "og:image").alias("hinh_anh"),
-        F.get(after_sku(page, "inline-flex"), F.lit(0)).alias("diem_danh_gia"),
-        F.when(both, F.get(counts, F.lit(0))).alias("so_danh_gia"),
-        F.when(both, F.get(counts, F.lit(1))).alias("so_binh_luan"),
+        after_sku(page).alias("__after_sku"),
         detail_rows(page).alias("thong_tin_khac"),
         sections(page).alias("mo_ta"),
     )
+    spans = read.withColumn("__counts", spans_of(F.col("__after_sku"), "cursor-pointer"))
+    return spans.select(
+        "url", "ten", "sku", "gia_ban", "gia_goc", "don_vi", "thuong_hieu", "xuat_xu", "hinh_anh",
+        F.get(spans_of(F.col("__after_sku"), "inline-flex"), F.lit(0)).alias("diem_danh_gia"),
+        F.when(both, F.get(counts, F.lit(0))).alias("so_danh_gia"),
+        F.when(both, F.get(counts, F.lit(1))).alias("so_binh_luan"),
+        "thong_tin_khac", "mo_ta",
+    )
 
 
 # ---------------------------------------------------------------- state

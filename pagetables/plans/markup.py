@@ -10,7 +10,7 @@ from pagetables.functions import markup as M
 from pagetables.operators import records, rules
 from pagetables.plans.registry import plan
 from pagetables.plans.texts import SPACE_RE2
-from pagetables.sources.tables import table
+from pagetables.sources.tables import spread, table
 
 # ------------------------------------------------------------ SQL building blocks
 
@@ -64,7 +64,7 @@ def raw_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
     """Pages with their markup prepared."""
-    return records.prepared(raw_pages(spark, folder))
+    return records.prepared(spread(raw_pages(spark, folder), "page_id"))
 
 
 # ------------------------------------------------------------ scan and first matches
@@ -132,7 +132,7 @@ def rule_fields(spark: SparkSession, folder: str) -> DataFrame:
         rules.Rule("lang", "html", take="lang"),
         rules.Rule("t_link", "a", "href", "/t", "^=", take="href"),
     ]
-    return rules.extract(raw_pages(spark, folder), ["page_id"], "html", wanted)
+    return rules.extract(spread(raw_pages(spark, folder), "page_id"), ["page_id"], "html", wanted)
 
 
 # ------------------------------------------------------------ anchors
@@ -220,7 +220,8 @@ select doc_id, array_to_string([b for b in lines if b <> ''], chr(10)) as text f
 def block_text(spark: SparkSession, folder: str) -> DataFrame:
     """Documents marked up as lists, one item per sentence, and read back."""
     listed = F.concat(F.lit("<li>"), F.replace(F.col("text"), F.lit("."), F.lit("<li>")))
-    return table(spark, folder, "documents").select("doc_id", M.block_text(M.prepare(listed)).alias("text"))
+    documents = spread(table(spark, folder, "documents"), "doc_id")
+    return documents.select("doc_id", M.block_text(M.prepare(listed)).alias("text"))
 
 
 @plan(f"""

@@ -13,7 +13,7 @@ from pagetables.plans.entities import ENTITY_SQL, entities
 from pagetables.plans.registry import plan
 from pagetables.session import fresh_path
 from pagetables.sources import sinks
-from pagetables.sources.tables import table
+from pagetables.sources.tables import spread, table
 
 # The whitespace class of ``functions.text`` in RE2 notation.
 SPACE_RE2 = (
@@ -30,7 +30,7 @@ LISTING_SCHEMA = T.StructType(
 
 @plan(f"select doc_id, trim(regexp_replace(text, '{SPACE_RE2}+', ' ', 'g')) as text from documents")
 def squash_whitespace(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id", X.squash(F.col("text")).alias("text"))
+    return spread(table(spark, folder, "documents"), "doc_id").select("doc_id", X.squash(F.col("text")).alias("text"))
 
 
 @plan(f"""
@@ -40,7 +40,7 @@ from documents
 """)
 def strip_ends(spark: SparkSession, folder: str) -> DataFrame:
     sentences = F.transform(F.split("text", r"\."), X.strip_ends)
-    return table(spark, folder, "documents").select(
+    return spread(table(spark, folder, "documents"), "doc_id").select(
         "doc_id", F.array_join(sentences, "|").alias("text")
     )
 

@@ -9,11 +9,10 @@ the shuffle; no list is gathered per part.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagetables.functions.state import STATE_SCRIPT_ID
-from pagetables.functions.text import price_label
 from pagetables.operators.records import BRAND_LABEL, BRAND_PATH
 from pagetables.sources.tables import table
 
@@ -45,9 +44,12 @@ def offers(spark: SparkSession, folder: str) -> DataFrame:
 
 def products(spark: SparkSession, folder: str) -> DataFrame:
     """One row per part with all that its page shows."""
+    # Rendering is the costly part, so the pages are spread over all tasks. The
+    # key is that of the join with the offers, which then moves no page again.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = table(spark, folder, "part").select(
         "p_partkey", "p_name", "p_brand", "p_type", "p_size"
-    )
+    ).repartition(tasks, "p_partkey")
     suppliers = table(spark, folder, "supplier").select(
         F.col("s_suppkey").alias("first_supp"), "s_name", "s_nationkey"
     )
@@ -61,160 +63,107 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _object(**fields: Column) -> Column:
-    return F.struct(*[c.alias(n) for n, c in fields.items()])
-
-
-def _text(*parts: Column | str) -> Column:
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
-
-
-def sku() -> Column:
-    return F.lpad(F.col("p_partkey").cast("string"), 8, "0")
-
+# The expressions below are templates in SQL: one page is one long ``concat``.
+SKU = "lpad(cast(p_partkey AS string), 8, '0')"
+PAGE_URL = f"concat('{SITE}/p/', translate(p_name, ' ', '-'), '-', p_partkey, '.html')"
+MAIN_IMAGE = f"if(p_type <> 'PROMO', concat('{SITE}/img/p', p_partkey, '.jpg'), null)"
+LIST_PRICE = "coalesce(price_R, price_A, price_N)"
+OFFICIAL_NAME = "if(p_size > 5, concat(p_brand, ' ', p_name), null)"
 
-def page_url() -> Column:
-    return _text(SITE + "/p/", F.translate("p_name", " ", "-"), "-", F.col("p_partkey"), ".html")
 
-
-def image_url(name: str, key: Column) -> Column:
-    return _text(f"{SITE}/img/{name}", key, ".jpg")
+def _price(unit: str) -> str:
+    default = str(unit == DEFAULT_UNIT).lower()
+    return (
+        f"if(price_{unit} IS NULL, null, named_struct('isSellDefault', {default}, "
+        f"'measureUnitName', 'unit {unit}', 'price', price_{unit}))"
+    )
 
 
-def state_text() -> Column:
-    """The state as JSON text.
+def _image(key: str) -> str:
+    return f"if({key} IS NULL, null, named_struct('url', concat('{SITE}/img/s', {key}, '.jpg')))"
+
+
+# ``to_json`` leaves out null fields, so the promotions, where an explicit null
+# differs from an absent key, are put together as text.
+STATE = f"""
+concat('{{"props":{{"pageProps":{{"product":', to_json(named_struct(
+    'sku', {SKU}, 'webName', p_name, 'officialProductName', {OFFICIAL_NAME}, 'brand', p_brand,
+    'brandOrigin', n_name, 'manufactor', r_name, 'producer', s_name,
+    'registNum', concat(p_partkey, '/', p_size), 'dosageForm', p_type,
+    'specification', concat('Box of ', p_size), 'expirationDate', concat(p_size, ' months'),
+    'shortDescription', concat('<p>', p_name, ' &amp; ', p_brand, '</p>'),
+    'categories', array(named_struct('name', r_name), named_struct('name', n_name),
+                        named_struct('name', p_type)),
+    'ingredient', transform(split(p_name, ' '), w -> named_struct(
+        'name', w, 'shortDescription', if(p_size <= 40, concat(p_size, 'mg'), null))),
+    'prices', array_compact(array({", ".join(_price(u) for u in UNITS)})),
+    'primaryImage', if(p_type <> 'PROMO', named_struct('url', {MAIN_IMAGE}), null),
+    'secondaryImages', array_compact(array({_image("first_supp")}, {_image("last_supp")})))),
+  ',"content":', to_json(named_struct(
+    'usage', concat('<p>For <b>', p_name, '</b>\\n use.</p><li> </li><li>', p_brand),
+    'dosage', concat('take  ', p_size, '\\ta day'),
+    'careful', concat('<ul><li>Keep <i>dry</i></li><li>', p_type, ' &lt;3</li></ul>'),
+    'preservation', '<div>Cool &amp; dark</div>',
+    'description', concat('<h2>', p_name, '</h2><p>one<p>two <br>three</p>'))),
+  ',"initPromotionPrices":', CASE
+    WHEN best_discount >= 10 THEN concat('[{{"finalPrice":', low_price,
+      ',"promotionTags":[{{"promotionTitle":"-', best_discount, '%"}},{{"promotionTitle":"Voucher"}}]}}]')
+    WHEN best_discount = 9 THEN '[{{"finalPrice":null,"promotionTags":[]}}]'
+    WHEN best_discount = 8 THEN '[{{"promotionTags":[{{"promotionTitle":"Gift"}}]}}]'
+    ELSE 'null' END,
+  ',"initReview":', to_json(named_struct('avgRating', quantity / reviews, 'total', reviews)),
+  ',"initComment":', to_json(named_struct('total', comments)), '}}}}}}')
+"""
 
-    ``to_json`` leaves out null fields, so the promotions, where an explicit
-    null differs from an absent key, are put together as text.
-    """
-    prices = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    F.col(f"price_{u}").isNotNull(),
-                    _object(
-                        isSellDefault=F.lit(u == DEFAULT_UNIT),
-                        measureUnitName=F.lit(f"unit {u}"),
-                        price=F.col(f"price_{u}"),
-                    ),
-                )
-                for u in UNITS
-            ]
-        )
-    )
-    words = F.split("p_name", " ")
-    strength = F.when(F.col("p_size") <= 40, _text(F.col("p_size"), "mg"))
-    product = _object(
-        sku=sku(),
-        webName=F.col("p_name"),
-        officialProductName=F.when(F.col("p_size") > 5, _text(F.col("p_brand"), " ", F.col("p_name"))),
-        brand=F.col("p_brand"),
-        brandOrigin=F.col("n_name"),
-        manufactor=F.col("r_name"),
-        producer=F.col("s_name"),
-        registNum=_text(F.col("p_partkey"), "/", F.col("p_size")),
-        dosageForm=F.col("p_type"),
-        specification=_text("Box of ", F.col("p_size")),
-        expirationDate=_text(F.col("p_size"), " months"),
-        shortDescription=_text("<p>", F.col("p_name"), " &amp; ", F.col("p_brand"), "</p>"),
-        categories=F.array(
-            *[_object(name=F.coalesce(F.col(c), F.lit("none"))) for c in ("r_name", "n_name", "p_type")]
-        ),
-        ingredient=F.transform(words, lambda w: _object(name=w, shortDescription=strength)),
-        prices=prices,
-        primaryImage=F.when(F.col("p_type") != "PROMO", _object(url=image_url("p", F.col("p_partkey")))),
-        secondaryImages=F.array_compact(
-            F.array(
-                *[
-                    F.when(F.col(c).isNotNull(), _object(url=image_url("s", F.col(c))))
-                    for c in ("first_supp", "last_supp")
-                ]
-            )
-        ),
-    )
-    content = _object(
-        usage=_text("<p>For <b>", F.col("p_name"), "</b>\n use.</p><li> </li><li>", F.col("p_brand")),
-        dosage=_text("take  ", F.col("p_size"), "\ta day"),
-        adverseEffect=F.lit(None).cast("string"),
-        careful=_text("<ul><li>Keep <i>dry</i></li><li>", F.col("p_type"), " &lt;3</li></ul>"),
-        preservation=_text("<div>Cool &amp; dark</div>"),
-        description=_text("<h2>", F.col("p_name"), "</h2><p>one<p>two <br>three</p>"),
-    )
-    review = _object(
-        avgRating=F.col("quantity") / F.col("reviews"), total=F.col("reviews")
-    )
-    promotion = (
-        F.when(
-            F.col("best_discount") >= 10,
-            _text(
-                '[{"finalPrice":', F.col("low_price"),
-                ',"promotionTags":[{"promotionTitle":"-', F.col("best_discount"),
-                '%"},{"promotionTitle":"Voucher"}]}]',
-            ),
-        )
-        .when(F.col("best_discount") == 9, F.lit('[{"finalPrice":null,"promotionTags":[]}]'))
-        .when(F.col("best_discount") == 8, F.lit('[{"promotionTags":[{"promotionTitle":"Gift"}]}]'))
-        .otherwise(F.lit("null"))
-    )
-    comment = F.to_json(_object(total=F.col("comments")))
-    return _text(
-        '{"props":{"pageProps":{"product":', F.to_json(product),
-        ',"content":', F.to_json(content),
-        ',"initPromotionPrices":', promotion,
-        ',"initReview":', F.coalesce(F.to_json(review), F.lit("null")),
-        ',"initComment":', comment, "}}}",
-    )
 
+def _shown(price: str) -> str:
+    """A price as the page shows it, e.g. ``380.000đ``."""
+    return f"concat(translate(format_number({price}, 0), ',', '.'), 'đ')"
+
+
+def _row(label: str, value: str) -> str:
+    return f"'<div><div><p> {label} </p></div><div><b>', {value}, '</b></div></div>'"
+
+
+PAGE = f"""
+concat('<!DOCTYPE html><html><head><title>', p_name, '</title>',
+  coalesce(concat('<meta property="og:image" content="', {MAIN_IMAGE}, '">'), ''),
+  '<!-- <h1 data-test="product_name">old</h1> --></head><body>',
+  '<h1 data-test="product_name">', p_name, '</h1>',
+  '<section><div><span>', n_name, '</span></div>',
+  '<div><span>{BRAND_LABEL}: </span><a href="{BRAND_PATH}', translate(p_brand, '#', '-'), '">',
+  p_brand, '</a></div></section>',
+  '<div><span data-test-id="sku">', {SKU}, '</span>',
+  '<span class="inline-flex items-center">', floor(quantity / reviews), '</span>',
+  if(p_size > 3, concat('<span class="cursor-pointer">', reviews, ' đánh giá</span>'), ''),
+  '<span class="cursor-pointer">', comments, ' bình luận</span></div>',
+  '<span data-test="price">', {_shown(f"if(best_discount >= 10, low_price, {LIST_PRICE})")},
+  '</span>/<span data-test="unit">unit ',
+  CASE WHEN price_R IS NOT NULL THEN 'R' WHEN price_A IS NOT NULL THEN 'A' ELSE 'N' END, '</span>',
+  if(best_discount >= 10,
+     concat('<div data-test="strike_price"><p>', {_shown(LIST_PRICE)}, '</p></div>'), ''),
+  '<section>', {_row("Tên chính hãng", f"coalesce({OFFICIAL_NAME}, '')")},
+  {_row("Số đăng ký", "p_partkey, '/', p_size")},
+  {_row("Danh mục", "p_type")},
+  {_row("Nhà sản xuất", "s_name")}, '</section>',
+  '<div id="content-wrapper"><div class="usage">For <b>', p_name, '</b> use.</div>',
+  '<div class="box dosage"> take ', p_size, ' a day </div></div>',
+  '<script id="{STATE_SCRIPT_ID}" type="application/json">', replace(state, '<', '\\\\u003c'),
+  '</script></body></html>')
+"""
 
-def page_html() -> Column:
-    """Markup of a product page with its state script."""
-    list_price = F.coalesce("price_R", "price_A", "price_N")
-    sale_price = F.when(F.col("best_discount") >= 10, F.col("low_price")).otherwise(list_price)
-
-    def row(label: str, value: Column) -> Column:
-        return _text(f"<div><p> {label} </p></div><div><b>", value, "</b></div>")
-
-    full = _text(
-        "<!DOCTYPE html><html><head><title>", F.col("p_name"), "</title>",
-        F.when(F.col("p_type") != "PROMO", _text(
-            '<meta property="og:image" content="', image_url("p", F.col("p_partkey")), '">'
-        )).otherwise(F.lit("")),
-        "<!-- <h1 data-test=\"product_name\">old</h1> --></head><body>",
-        '<h1 data-test="product_name">', F.col("p_name"), "</h1>",
-        "<section><div><span>", F.coalesce("n_name", F.lit("")), "</span></div>",
-        f"<div><span>{BRAND_LABEL}: </span><a href=\"{BRAND_PATH}",
-        F.translate("p_brand", "#", "-"), '">', F.col("p_brand"), "</a></div></section>",
-        '<div><span data-test-id="sku">', sku(), "</span>",
-        '<span class="inline-flex items-center">', F.floor(F.col("quantity") / F.col("reviews")), "</span>",
-        F.when(F.col("p_size") > 3, _text(
-            '<span class="cursor-pointer">', F.col("reviews"), " đánh giá</span>"
-        )).otherwise(F.lit("")),
-        '<span class="cursor-pointer">', F.col("comments"), " bình luận</span></div>",
-        '<span data-test="price">', price_label(sale_price), '</span>/<span data-test="unit">',
-        F.when(F.col("price_R").isNotNull(), F.lit("unit R"))
-        .when(F.col("price_A").isNotNull(), F.lit("unit A")).otherwise(F.lit("unit N")), "</span>",
-        F.when(F.col("best_discount") >= 10, _text(
-            '<div data-test="strike_price"><p>', price_label(list_price), "</p></div>"
-        )).otherwise(F.lit("")),
-        "<div>",
-        row("Tên chính hãng", F.when(F.col("p_size") > 5, _text(
-            F.col("p_brand"), " ", F.col("p_name"))).otherwise(F.lit(""))),
-        row("Số đăng ký", _text(F.col("p_partkey"), "/", F.col("p_size"))),
-        row("Danh mục", F.col("p_type")),
-        row("Nhà sản xuất", F.coalesce("s_name", F.lit(""))),
-        "</div>",
-        '<div id="content-wrapper"><div class="usage">For <b>', F.col("p_name"), "</b> use.</div>",
-        '<div class="box dosage"> take ', F.col("p_size"), " a day </div></div>",
-        f'<script id="{STATE_SCRIPT_ID}" type="application/json">',
-        F.replace(state_text(), F.lit("<"), F.lit("\\u003c")),
-        "</script></body></html>",
-    )
-    blocked = _text("<html><head><title>Blocked</title></head><body>Please wait</body></html>")
-    return F.when((F.col("p_size") >= BLOCKED_SIZE) | F.col("reviews").isNull(), blocked).otherwise(full)
+BLOCKED_PAGE = "'<html><head><title>Blocked</title></head><body>Please wait</body></html>'"
 
 
 def product_pages(spark: SparkSession, folder: str) -> DataFrame:
     """``(page_id, url, html)`` of every part."""
-    return products(spark, folder).select(
-        F.col("p_partkey").alias("page_id"), page_url().alias("url"), page_html().alias("html")
+    blocked = f"p_size >= {BLOCKED_SIZE} OR reviews IS NULL"
+    return (
+        products(spark, folder)
+        .withColumn("state", F.expr(STATE))
+        .selectExpr(
+            "p_partkey AS page_id",
+            f"{PAGE_URL} AS url",
+            f"if({blocked}, {BLOCKED_PAGE}, {PAGE}) AS html",
+        )
     )

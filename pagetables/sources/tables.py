@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,8 +11,25 @@ from pyspark.sql import types as T
 from pagetables.functions.state import API_HINT
 
 
+@cache
+def _schema(spark: SparkSession, path: str) -> T.StructType:
+    return spark.read.parquet(path).schema
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    """A given table; its schema is read from the files once per session."""
+    path = f"{folder.rstrip('/')}/{name}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give every core a share of an input that has fewer splits than cores.
+
+    For costly row-by-row work over small files. An input of any size worth a
+    cluster has more splits than that and is not moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
 
 
 def create_if_absent(spark: SparkSession, name: str, schema: T.StructType, path: str) -> DataFrame:
