@@ -8,11 +8,25 @@ from pyspark.sql import functions as F
 from pagetables.functions.links import resolve_href, resolve_slug
 from pagetables.functions.markup import anchor_hrefs, prepare
 
-# Page links of a round are seen before the API slugs of the same round.
-FROM_PAGE, FROM_API = 0, 1
+# Seeds are seen before every round; page links of a round before its API slugs.
+FROM_SEED, FROM_PAGE, FROM_API = 0, 1, 2
 SIGHTING = ["round", "source", "pos"]
 
 
+def seed_sightings(seeds: DataFrame, url: str, order: str) -> DataFrame:
+    """``(url, round, source, pos)`` of a list of URLs to start from."""
+    return _sightings(seeds, F.col(url), F.lit(-1), FROM_SEED, F.col(order))
+
+
+def _sightings(found: DataFrame, url: Column, round_no: Column, source: int, pos: Column) -> DataFrame:
+    return found.select(
+        url.alias("url"),
+        round_no.cast("bigint").alias("round"),
+        F.lit(source).alias("source"),
+        pos.cast("bigint").alias("pos"),
+    )
+
+
 def page_sightings(pages: DataFrame, round_col: str, html: str, base: Column) -> DataFrame:
     """``(url, round, source, pos)`` of every anchor on a page."""
     links = pages.select(
@@ -20,10 +34,8 @@ def page_sightings(pages: DataFrame, round_col: str, html: str, base: Column) ->
         base.alias("__base"),
         F.posexplode(anchor_hrefs(prepare(F.col(html)))).alias("pos", "__href"),
     )
-    return links.select(
-        resolve_href(F.col("__base"), F.col("__href")).alias("url"),
-        "round", F.lit(FROM_PAGE).alias("source"), "pos",
-    )
+    url = resolve_href(F.col("__base"), F.col("__href"))
+    return _sightings(links, url, F.col("round"), FROM_PAGE, F.col("pos"))
 
 
 def api_sightings(bodies: DataFrame, round_col: str, slugs: Column, base: Column) -> DataFrame:
@@ -33,10 +45,8 @@ def api_sightings(bodies: DataFrame, round_col: str, slugs: Column, base: Column
         base.alias("__base"),
         F.posexplode(slugs).alias("pos", "__slug"),
     )
-    return found.select(
-        resolve_slug(F.col("__base"), F.col("__slug")).alias("url"),
-        "round", F.lit(FROM_API).alias("source"), "pos",
-    )
+    url = resolve_slug(F.col("__base"), F.col("__slug"))
+    return _sightings(found, url, F.col("round"), FROM_API, F.col("pos"))
 
 
 def first_sightings(*sightings: DataFrame) -> DataFrame:

@@ -36,32 +36,17 @@ def run_ledger(
     )
 
 
-def long_form(records: DataFrame, key: str, fields: list[str]) -> DataFrame:
-    """``(key, field, value)`` for every field that has a value."""
-    cells = F.array(
-        *[
-            F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value"))
-            for f in fields
-        ]
-    )
-    return records.select(key, F.inline(cells)).filter("value is not null and value <> ''")
-
-
-def reconcile(a: DataFrame, b: DataFrame, key: str, fields: list[str]) -> DataFrame:
-    """Compare two readings field by field: equal, differ, only_a or only_b.
+def compare(both: DataFrame, key: str, a: str, b: str, fields: list[str]) -> DataFrame:
+    """Field by field, two readings held as structs of strings in one row.
 
-    Both sides are reduced to one row per record before the join, so it moves
-    one row per record and side rather than one per field.
+    The status is equal, differ, only_a or only_b; fields neither has are left out.
     """
-    left = a.select(key, F.struct(*[F.col(f).cast("string").alias(f) for f in fields]).alias("__a"))
-    right = b.select(key, F.struct(*[F.col(f).cast("string").alias(f) for f in fields]).alias("__b"))
-    both = left.join(right, key, "full_outer")
     cells = F.array(
         *[
             F.struct(
                 F.lit(f).alias("field"),
-                F.nullif(F.col("__a")[f], F.lit("")).alias("value_a"),
-                F.nullif(F.col("__b")[f], F.lit("")).alias("value_b"),
+                F.nullif(F.col(a)[f], F.lit("")).alias("value_a"),
+                F.nullif(F.col(b)[f], F.lit("")).alias("value_b"),
             )
             for f in fields
         ]
@@ -77,3 +62,19 @@ def reconcile(a: DataFrame, b: DataFrame, key: str, fields: list[str]) -> DataFr
         .filter("value_a is not null or value_b is not null")
         .withColumn("status", status)
     )
+
+
+def reading(fields: list[str]) -> Column:
+    """The fields of one reading as a struct of strings."""
+    return F.struct(*[F.col(f).cast("string").alias(f) for f in fields])
+
+
+def reconcile(a: DataFrame, b: DataFrame, key: str, fields: list[str]) -> DataFrame:
+    """Compare two tables of readings.
+
+    Both sides hold one row per record, so the join moves one row per record and
+    side rather than one per field.
+    """
+    left = a.select(key, reading(fields).alias("__a"))
+    right = b.select(key, reading(fields).alias("__b"))
+    return compare(left.join(right, key, "full_outer"), key, "__a", "__b", fields)

@@ -39,19 +39,28 @@ def dense_index(df: DataFrame, order: list[Column], name: str) -> DataFrame:
 
 
 def rank_in_group(
-    df: DataFrame, group: str, index: str, name: str, block_rows: int = 1 << 20
+    df: DataFrame,
+    group: str,
+    index: str,
+    name: str,
+    group_facts: DataFrame | None = None,
+    block_rows: int = 1 << 20,
 ) -> DataFrame:
     """Number the rows of each group by a dense index, however large the group.
 
     Rows are ranked within (group, block of the index), and a block holds at
     most ``block_rows`` rows because the index is dense. What came before is
-    added from per-block counts, which are ``block_rows`` times fewer.
+    added from per-block counts. ``group_facts`` (one row per group) are joined
+    to those counts, so that the rows themselves are never shuffled by group.
+    The group must not be null.
     """
     blocked = df.withColumn("__block", F.expr(f"`{index}` div {block_rows}"))
     keys = [group, "__block"]
     counts = blocked.groupBy(*keys).agg(F.count("*").alias("__rows"))
     earlier = Window.partitionBy(group).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__offset"))
+    if group_facts is not None:
+        offsets = offsets.join(group_facts, group, "left")
     ranked = blocked.withColumn(
         "__rank", F.row_number().over(Window.partitionBy(*keys).orderBy(index))
     )

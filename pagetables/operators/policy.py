@@ -166,10 +166,9 @@ def crawl_schedule(
     """
     hosted = links.withColumn("host", F.coalesce(host(F.col("url")), F.lit("")))
     numbered = dense_index(hosted, order, "seq")
-    ranked = rank_in_group(numbered, "host", "seq", "host_rank")
-    if delays is not None:
-        ranked = ranked.join(delays.select("host", "delay"), "host", "left")
-    else:
+    known = None if delays is None else delays.select("host", "delay")
+    ranked = rank_in_group(numbered, "host", "seq", "host_rank", group_facts=known)
+    if known is None:
         ranked = ranked.withColumn("delay", F.lit(None).cast("double"))
     gap = F.coalesce("delay", F.lit(pause))
     run = F.expr(f"(seq - 1) div {pages_per_run}")

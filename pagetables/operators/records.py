@@ -175,8 +175,13 @@ def spans_of(markup: Column, css_class: str) -> Column:
     return F.transform(spans, lambda s: strip_ends(M.raw_text(s)))
 
 
-def dom_record(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """The record as the page shows it: scalars, two counts and two maps."""
+def dom_record(
+    pages: DataFrame, url: str = "url", html: str = "html", also: tuple[str, ...] = ()
+) -> DataFrame:
+    """The record as the page shows it: scalars, two counts and two maps.
+
+    Columns named in ``also`` are passed on.
+    """
     page = F.col(html)
     counts = F.col("__counts")
     both = F.size(counts) >= 2
@@ -194,6 +199,7 @@ def dom_record(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
         after_sku(page).alias("__after_sku"),
         detail_rows(page).alias("thong_tin_khac"),
         sections(page).alias("mo_ta"),
+        *also,
     )
     spans = read.withColumn("__counts", spans_of(F.col("__after_sku"), "cursor-pointer"))
     return spans.select(
@@ -201,16 +207,21 @@ def dom_record(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
         F.get(spans_of(F.col("__after_sku"), "inline-flex"), F.lit(0)).alias("diem_danh_gia"),
         F.when(both, F.get(counts, F.lit(0))).alias("so_danh_gia"),
         F.when(both, F.get(counts, F.lit(1))).alias("so_binh_luan"),
-        "thong_tin_khac", "mo_ta",
+        "thong_tin_khac", "mo_ta", *also,
     )
 
 
 # ---------------------------------------------------------------- state
 
 def with_state(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Pages with their state parsed once; those without a product are left out."""
-    parsed = pages.withColumn("state", S.page_props(F.col(html))).drop(html)
-    return parsed.filter(F.col("state.product").isNotNull())
+    """Pages with their state; those without a product are left out.
+
+    The state goes through a generator, past which no filter is pushed: the JSON
+    is parsed once per page.
+    """
+    products = F.filter(F.array(S.page_props(F.col(html))), lambda p: p["product"].isNotNull())
+    others = [c for c in pages.columns if c != html]
+    return pages.select(*others, F.explode(products).alias("state"))
 
 
 def _picked(parsed: DataFrame, fragments: dict[str, str]) -> DataFrame:
@@ -281,8 +292,11 @@ def flat_product(parsed: DataFrame, url: str = "url") -> DataFrame:
     return read.select(*[c.alias(n) for n, c in columns.items()], *cleaned)
 
 
-def nested_product(parsed: DataFrame, url: str = "url") -> DataFrame:
-    """The nested 25-field record, arrays kept, next to its URL."""
+def nested_product(parsed: DataFrame, url: str = "url", also: tuple[str, ...] = ()) -> DataFrame:
+    """The nested 25-field record, arrays kept, next to its URL.
+
+    Columns named in ``also`` are passed on.
+    """
     product = F.col("state.product")
     list_price = F.col("__offer.price")
     columns = {
@@ -311,4 +325,4 @@ def nested_product(parsed: DataFrame, url: str = "url") -> DataFrame:
     texts = F.transform("__markup", M.line_text)
     read = _picked(parsed, NESTED_FRAGMENTS).withColumn("__text", texts)
     cleaned = [F.get("__text", F.lit(i)).alias(n) for i, n in enumerate(NESTED_FRAGMENTS)]
-    return read.select(F.col(url).alias("url"), *[c.alias(n) for n, c in columns.items()], *cleaned)
+    return read.select(F.col(url).alias("url"), *[c.alias(n) for n, c in columns.items()], *cleaned, *also)

@@ -52,7 +52,8 @@ def resolve_links(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sightings(spark: SparkSession, folder: str) -> list[DataFrame]:
-    """Round n sees the anchors of page n, then the API answer n.
+    """Page URLs that name a page are the seeds. Round n sees the anchors of page
+    n, then the API answer n.
 
     The answers are made from the documents; their slugs repeat across answers.
     """
@@ -62,7 +63,9 @@ def sightings(spark: SparkSession, folder: str) -> list[DataFrame]:
     answers = table(spark, folder, "documents").select(
         "doc_id", F.to_json(F.struct(F.array(item).alias("items"))).alias("body")
     )
+    seeds = table(spark, folder, "pages").filter(L.is_page_link(F.col("url")))
     return [
+        R.seed_sightings(seeds, "url", "page_id"),
         R.page_sightings(spread(table(spark, folder, "pages"), "page_id"), "page_id", "html", base),
         R.api_sightings(answers, "doc_id", S.flat_slugs(F.col("body")), base),
     ]
@@ -71,9 +74,11 @@ def sightings(spark: SparkSession, folder: str) -> list[DataFrame]:
 FRONTIER_SQL = f"""
 select url, round, source, pos from (
   select *, row_number() over (partition by url order by round, source, pos) as n from (
-    select '{SITE}' || href as url, page_id as round, 0 as source, cast(pos as integer) as pos from ({ANCHORS})
+    select '{SITE}' || href as url, page_id as round, 1 as source, pos::bigint as pos from ({ANCHORS})
     union all
-    select '{SITE}/' || lang || '/' || n_chars || '.html', doc_id, 1, 0 from documents))
+    select '{SITE}/' || lang || '/' || n_chars || '.html', doc_id, 2, 0 from documents
+    union all
+    select url, -1, 0, page_id from pages where url like '%.html'))
 where n = 1
 """
 

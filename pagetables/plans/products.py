@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pagetables.functions import state as S
 from pagetables.operators import records
-from pagetables.operators.ledger import reconcile
+from pagetables.operators.ledger import compare, reading, reconcile
 from pagetables.plans.registry import plan
 from pagetables.sources import product_pages as P
 from pagetables.sources.tables import table
@@ -286,28 +286,29 @@ SHARED = ["ten", "sku", "thuong_hieu", "xuat_xu", "gia_ban", "gia_goc", "so_binh
           "hinh_anh", "nuoc_san_xuat"]
 
 
-def both_readings(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """The shared fields as the markup shows them and as the state holds them."""
-    pages = P.product_pages(spark, folder)
-    digits = lambda c: F.regexp_replace(c, "[^0-9]", "")
-    shown = records.dom_record(pages).select(
+def shown_reading(pages: DataFrame, *also: str) -> DataFrame:
+    """The shared fields as the markup shows them."""
+    digits = {c: F.regexp_replace(c, "[^0-9]", "") for c in ("gia_ban", "gia_goc", "so_binh_luan")}
+    return records.dom_record(pages, also=also).select(
         "url", "ten", "sku", "thuong_hieu", "xuat_xu",
-        digits(F.col("gia_ban")).alias("gia_ban"),
-        digits(F.col("gia_goc")).alias("gia_goc"),
-        digits(F.col("so_binh_luan")).alias("so_binh_luan"),
+        *[digits[c].alias(c) for c in digits],
         F.col("thong_tin_khac")["Danh mục"].alias("danh_muc"),
         "hinh_anh",
         F.col("thong_tin_khac")["Nước sản xuất"].alias("nuoc_san_xuat"),
+        *also,
     )
-    held = records.nested_product(records.with_state(pages)).select(
+
+
+def held_reading(parsed: DataFrame, *also: str) -> DataFrame:
+    """The shared fields as the state holds them."""
+    return records.nested_product(parsed, also=also).select(
         "url", "ten", "sku", "thuong_hieu", F.col("xuat_xu_thuong_hieu").alias("xuat_xu"),
         "gia_ban", "gia_goc", "so_binh_luan", "danh_muc",
-        F.get("hinh_anh", F.lit(0)).alias("hinh_anh"), "nuoc_san_xuat",
+        F.get("hinh_anh", F.lit(0)).alias("hinh_anh"), "nuoc_san_xuat", *also,
     )
-    return shown, held
 
 
-@plan(f"""
+RECONCILED = f"""
 with p as ({PRODUCTS}),
 a as (select url, unnest(['ten', 'sku', 'thuong_hieu', 'xuat_xu', 'gia_ban', 'gia_goc', 'so_binh_luan',
                           'danh_muc', 'hinh_anh']) as field,
@@ -324,8 +325,22 @@ select coalesce(a.url, b.url) as url, coalesce(a.field, b.field) as field, a.val
        when a.value = b.value then 'equal' else 'differ' end as status
 from (select * from a where value is not null) a
 full outer join (select * from b where value is not null) b on a.url = b.url and a.field = b.field
-""")
+"""
+
+
+@plan(RECONCILED)
 def reconcile_sources(spark: SparkSession, folder: str) -> DataFrame:
-    """Markup against embedded state, per product and field."""
-    shown, held = both_readings(spark, folder)
-    return reconcile(shown, held, "url", SHARED)
+    """Markup against embedded state, as two tables joined on the URL."""
+    pages = P.product_pages(spark, folder)
+    return reconcile(shown_reading(pages), held_reading(records.with_state(pages)), "url", SHARED)
+
+
+@plan(RECONCILED)
+def reconcile_page(spark: SparkSession, folder: str) -> DataFrame:
+    """The same, both readings taken from a page where it lies: nothing is joined."""
+    pages = P.product_pages(spark, folder)
+    shown = shown_reading(pages.withColumn("page", F.col("html")), "page")
+    first = shown.select("url", "page", reading(SHARED).alias("a"))
+    second = held_reading(records.with_state(first, "page"), "a")
+    both = second.select("url", "a", reading(SHARED).alias("b"))
+    return compare(both, "url", "a", "b", SHARED)

@@ -49,4 +49,3 @@ RUNS = T.StructType(
 )
 
 RESULT_KEY = ["cong_cu", "lan", "url"]
-REQUIRED = {"entity": ["name", "age", "major"], "results": RESULT_KEY}

@@ -12,7 +12,6 @@ BYTE_ORDER_MARK = "\ufeff"
 
 # Columns of the text report and their widths.
 REPORT_WIDTHS = (5, 25, 10, 15)
-REPORT_HEADER = ("ID", "NAME", "AGE", "MAJOR")
 
 # Quotes are doubled and cells may hold line breaks. Backslashes are plain text,
 # and blanks at the ends of a cell are kept.
