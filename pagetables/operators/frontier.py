@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pagetables.functions.links import resolve_href, resolve_slug
 from pagetables.functions.markup import anchor_hrefs, prepare
+from pagetables.operators.numbering import dense_index
 
 # Seeds are seen before every round; page links of a round before its API slugs.
 FROM_SEED, FROM_PAGE, FROM_API = 0, 1, 2
@@ -72,23 +73,36 @@ def first_links(frontier: DataFrame, n: int | None) -> DataFrame:
 def growth(
     frontier: DataFrame, rounds: DataFrame, max_links: int, max_rounds: int
 ) -> DataFrame:
-    """Links gained per round and the first stop rule each round meets.
+    """Links gained per round, the first stop rule each round meets, and whether
+    the harvest was still going when the round began.
 
-    The window runs over one row per round; rounds are the load-more steps of a
+    ``rounds(round, more)`` says whether a round showed that more remain. The
+    windows run over one row per round; rounds are the load-more steps of a
     listing, not a quantity that grows with the links.
     """
     gained = frontier.groupBy("round").agg(F.count("*").alias("new_links"))
-    per_round = rounds.select("round").distinct().join(gained, "round", "left").select(
-        "round", F.coalesce("new_links", F.lit(0)).alias("new_links")
+    per_round = rounds.groupBy("round").agg(F.bool_or("more").alias("more")).join(
+        gained, "round", "left"
     )
     by_round = Window.orderBy("round")
-    total = F.sum("new_links").over(by_round.rowsBetween(Window.unboundedPreceding, 0))
+    so_far = by_round.rowsBetween(Window.unboundedPreceding, 0)
+    earlier = by_round.rowsBetween(Window.unboundedPreceding, -1)
     counted = per_round.select(
-        "round", "new_links", total.alias("total_links"), F.row_number().over(by_round).alias("step")
+        "round", "more", F.coalesce("new_links", F.lit(0)).alias("new_links")
+    ).withColumns(
+        {"total_links": F.sum("new_links").over(so_far), "step": F.row_number().over(by_round)}
     )
     stop = (
         F.when(F.col("total_links") >= max_links, "enough")
+        .when(~F.col("more"), "no more")
         .when(F.col("new_links") == 0, "stalled")
         .when(F.col("step") >= max_rounds, "round limit")
     )
-    return counted.withColumn("stop_rule", stop)
+    ruled = counted.withColumn("stop_rule", stop).drop("more")
+    return ruled.withColumn("going", F.count("stop_rule").over(earlier) == 0)
+
+
+def url_table(frontier: DataFrame, category: Column) -> DataFrame:
+    """``(id, url, danh_muc)``: links numbered in order of sighting, with a category."""
+    numbered = dense_index(frontier, [F.col(c) for c in (*SIGHTING, "url")], "id")
+    return numbered.select("id", "url", category.alias("danh_muc"))

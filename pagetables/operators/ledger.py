@@ -37,7 +37,7 @@ def run_ledger(
 
 
 def compare(both: DataFrame, key: str, a: str, b: str, fields: list[str]) -> DataFrame:
-    """Field by field, two readings held as structs of strings in one row.
+    """Field by field, two readings held as structs in one row.
 
     The status is equal, differ, only_a or only_b; fields neither has are left out.
     """
@@ -45,8 +45,8 @@ def compare(both: DataFrame, key: str, a: str, b: str, fields: list[str]) -> Dat
         *[
             F.struct(
                 F.lit(f).alias("field"),
-                F.nullif(F.col(a)[f], F.lit("")).alias("value_a"),
-                F.nullif(F.col(b)[f], F.lit("")).alias("value_b"),
+                F.nullif(F.col(a)[f].cast("string"), F.lit("")).alias("value_a"),
+                F.nullif(F.col(b)[f].cast("string"), F.lit("")).alias("value_b"),
             )
             for f in fields
         ]
@@ -64,17 +64,12 @@ def compare(both: DataFrame, key: str, a: str, b: str, fields: list[str]) -> Dat
     )
 
 
-def reading(fields: list[str]) -> Column:
-    """The fields of one reading as a struct of strings."""
-    return F.struct(*[F.col(f).cast("string").alias(f) for f in fields])
-
-
 def reconcile(a: DataFrame, b: DataFrame, key: str, fields: list[str]) -> DataFrame:
     """Compare two tables of readings.
 
     Both sides hold one row per record, so the join moves one row per record and
     side rather than one per field.
     """
-    left = a.select(key, reading(fields).alias("__a"))
-    right = b.select(key, reading(fields).alias("__b"))
+    left = a.select(key, F.struct(*fields).alias("__a"))
+    right = b.select(key, F.struct(*fields).alias("__b"))
     return compare(left.join(right, key, "full_outer"), key, "__a", "__b", fields)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +37,7 @@ BRAND_LABEL = "Thương hiệu"
 BRAND_PATH = "/thuong-hieu/"
 
 MISSING_NAME = "product name not found"
+MISSING_PAGE = "page not found"
 
 
 # ---------------------------------------------------------------- markup
@@ -45,9 +47,12 @@ def prepared(pages: DataFrame, html: str = "html") -> DataFrame:
     return pages.withColumn(html, M.prepare(F.col(html)))
 
 
-def listing_record(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """The 8-column listing record. A page without the required name becomes a
-    row of its URL and an error; the others go on.
+def listing_record(
+    pages: DataFrame, url: str = "url", html: str = "html", also: tuple[str, ...] = ()
+) -> DataFrame:
+    """The 8-column listing record, and the columns named in ``also``. A page that
+    is missing or has no product name becomes a row of its URL and an error; the
+    others go on.
 
     Texts are read in a projection of their own, so that what is derived from
     one text does not search the page again.
@@ -61,8 +66,11 @@ def listing_record(pages: DataFrame, url: str = "url", html: str = "html") -> Da
         M.first_text(page, None, "data-test", "price").alias("price_text"),
         M.first_text(page, None, "data-test", "strike_price").alias("strike_text"),
         M.first_attr(page, "content", "meta", "property", "og:image").alias("image"),
+        page.isNull().alias("no_page"),
+        *also,
     )
     found = F.col("own_name").isNotNull()
+    problem = F.when(F.col("no_page"), F.lit(MISSING_PAGE)).otherwise(F.lit(MISSING_NAME))
     fields = {
         "name": fallback(F.col("own_name"), F.col("heading")),
         "sku": F.col("sku"),
@@ -74,8 +82,18 @@ def listing_record(pages: DataFrame, url: str = "url", html: str = "html") -> Da
     return read.select(
         "url",
         *[F.when(found, c).alias(n) for n, c in fields.items()],
-        F.when(~found, truncate(F.lit(MISSING_NAME))).alias("error"),
-    ).select(*LISTING_COLUMNS)
+        F.when(~found, truncate(problem)).alias("error"),
+        *also,
+    ).select(*LISTING_COLUMNS, *also)
+
+
+def crawl(frontier: DataFrame, pages: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
+    """Listing records of the links of a frontier, from the pages that were fetched.
+
+    Links are distinct before the join, and both sides hold a URL once.
+    """
+    fetched = frontier.select("url", *also).join(pages.select("url", "html"), "url", "left")
+    return listing_record(fetched, also=also)
 
 
 def split_failures(records: DataFrame, error: str = "error") -> tuple[DataFrame, DataFrame]:
@@ -224,72 +242,108 @@ def with_state(pages: DataFrame, html: str = "html") -> DataFrame:
     return pages.select(*others, F.explode(products).alias("state"))
 
 
-def _picked(parsed: DataFrame, fragments: dict[str, str]) -> DataFrame:
-    """Add the default offer, the first promotion and the prepared fragments.
+# Columns of the flat and the nested product record, and where each
+# comes from: a path of the state, or a fact named in ``product_facts``.
+FLAT_FIELDS = {
+    "ma_san_pham": "state.product.sku",
+    "ten_san_pham": "state.product.webName",
+    "ten_chinh_hang": "state.product.officialProductName",
+    "thuong_hieu": "state.product.brand",
+    "xuat_xu_thuong_hieu": "state.product.brandOrigin",
+    "nuoc_san_xuat": "state.product.manufactor",
+    "nha_san_xuat": "state.product.producer",
+    "so_dang_ky": "state.product.registNum",
+    "dang_bao_che": "state.product.dosageForm",
+    "quy_cach": "state.product.specification",
+    "han_su_dung": "state.product.expirationDate",
+    "danh_muc": "category",
+    "thanh_phan": "ingredients",
+    "don_vi_tinh": "offer.measureUnitName",
+    "gia_goc": "offer.price",
+    "gia_ban": "final_price",
+    "khuyen_mai": "promotions",
+    "diem_danh_gia": "state.initReview.avgRating",
+    "so_danh_gia": "state.initReview.total",
+    "so_binh_luan": "state.initComment.total",
+    "hinh_dai_dien": "main_image",
+    "tat_ca_hinh": "images",
+}
+FLAT_TEXTS = {
+    "mo_ta_ngan": "state.product.shortDescription",
+    "cong_dung": "state.content.usage",
+    "cach_dung": "state.content.dosage",
+    "tac_dung_phu": "state.content.adverseEffect",
+    "luu_y": "state.content.careful",
+    "bao_quan": "state.content.preservation",
+    "mo_ta_chi_tiet": "state.content.description",
+}
+NESTED_FIELDS = {
+    "ten": "state.product.webName",
+    "ten_chinh_hang": "state.product.officialProductName",
+    "sku": "state.product.sku",
+    "thuong_hieu": "state.product.brand",
+    "xuat_xu_thuong_hieu": "state.product.brandOrigin",
+    "nuoc_san_xuat": "state.product.manufactor",
+    "nha_san_xuat": "state.product.producer",
+    "so_dang_ky": "state.product.registNum",
+    "dang_bao_che": "state.product.dosageForm",
+    "quy_cach": "state.product.specification",
+    "han_su_dung": "state.product.expirationDate",
+    "danh_muc": "category",
+    "thanh_phan": "ingredients",
+    "don_vi": "offer.measureUnitName",
+    "gia_goc": "offer.price",
+    "gia_ban": "final_price",
+    "khuyen_mai": "promotions",
+    "diem_danh_gia": "state.initReview.avgRating",
+    "so_danh_gia": "state.initReview.total",
+    "so_binh_luan": "state.initComment.total",
+    "hinh_anh": "images",
+}
+NESTED_TEXTS = {
+    "cong_dung": "state.content.usage",
+    "cach_dung": "state.content.dosage",
+    "luu_y": "state.content.careful",
+    "bao_quan": "state.content.preservation",
+}
 
-    The fragments go through one array, so the plan holds their preparation once.
-    """
-    markup = F.transform(F.array(*[F.col(f"state.{path}") for path in fragments.values()]), M.prepare)
-    return (
-        parsed.withColumn("__offer", S.default_price(F.col("state.product.prices")))
-        .withColumn("__promotion", F.get("state.initPromotionPrices", F.lit(0)))
-        .withColumn("__markup", markup)
+
+def product_facts(parsed: DataFrame) -> DataFrame:
+    """Add to the state what a record derives from it."""
+    product = F.col("state.product")
+    promotions = F.col("state.initPromotionPrices")
+    tags = F.get(promotions, F.lit(0))["promotionTags"]
+    return parsed.withColumn("offer", S.default_price(product["prices"])).withColumns(
+        {
+            "category": S.path_text(product["categories"], PATH_SEPARATOR),
+            "ingredients": S.strength_labels(product["ingredient"]),
+            "final_price": S.final_price(promotions, F.col("offer.price")),
+            "promotions": S.names(tags, "promotionTitle"),
+            "main_image": F.coalesce(product["primaryImage"]["url"], F.lit("")),
+            "images": S.image_list(product["primaryImage"], product["secondaryImages"]),
+        }
     )
 
 
-# Record column -> fragment of the state it is read from.
-FLAT_FRAGMENTS = {
-    "mo_ta_ngan": "product.shortDescription",
-    "cong_dung": "content.usage",
-    "cach_dung": "content.dosage",
-    "tac_dung_phu": "content.adverseEffect",
-    "luu_y": "content.careful",
-    "bao_quan": "content.preservation",
-    "mo_ta_chi_tiet": "content.description",
-}
-NESTED_FRAGMENTS = {
-    "cong_dung": "content.usage",
-    "cach_dung": "content.dosage",
-    "luu_y": "content.careful",
-    "bao_quan": "content.preservation",
-}
+def _with_texts(parsed: DataFrame, texts: dict[str, str], clean: Callable[[Column], Column]) -> DataFrame:
+    """Add the cleaned fragments as the array ``texts``.
+
+    They go through one array, so the plan holds their cleaning once.
+    """
+    markup = F.transform(F.array(*[F.col(path) for path in texts.values()]), M.prepare)
+    return parsed.withColumn("markup", markup).withColumn("texts", F.transform("markup", clean))
+
+
+def _fields(fields: dict[str, str], texts: dict[str, str]) -> list[Column]:
+    plain = [F.col(path).alias(name) for name, path in fields.items()]
+    return plain + [F.get("texts", F.lit(i)).alias(name) for i, name in enumerate(texts)]
 
 
 def flat_product(parsed: DataFrame, url: str = "url") -> DataFrame:
-    """The flat 30-column record of pages read by ``with_state``."""
-    product = F.col("state.product")
-    images = S.image_list(product["primaryImage"], product["secondaryImages"])
-    titles = S.names(F.col("__promotion.promotionTags"), "promotionTitle")
-    list_price = F.col("__offer.price")
-    columns = {
-        "url": F.col(url),
-        "ma_san_pham": product["sku"],
-        "ten_san_pham": product["webName"],
-        "ten_chinh_hang": product["officialProductName"],
-        "thuong_hieu": product["brand"],
-        "xuat_xu_thuong_hieu": product["brandOrigin"],
-        "nuoc_san_xuat": product["manufactor"],
-        "nha_san_xuat": product["producer"],
-        "so_dang_ky": product["registNum"],
-        "dang_bao_che": product["dosageForm"],
-        "quy_cach": product["specification"],
-        "han_su_dung": product["expirationDate"],
-        "danh_muc": S.path_text(product["categories"], PATH_SEPARATOR),
-        "thanh_phan": join_list(S.strength_labels(product["ingredient"]), LIST_SEPARATOR),
-        "don_vi_tinh": F.col("__offer.measureUnitName"),
-        "gia_goc": list_price,
-        "gia_ban": S.final_price(F.col("state.initPromotionPrices"), list_price),
-        "khuyen_mai": join_list(titles, LIST_SEPARATOR),
-        "diem_danh_gia": F.col("state.initReview.avgRating"),
-        "so_danh_gia": F.col("state.initReview.total"),
-        "so_binh_luan": F.col("state.initComment.total"),
-        "hinh_dai_dien": F.coalesce(product["primaryImage"]["url"], F.lit("")),
-        "tat_ca_hinh": join_list(images, LIST_SEPARATOR),
-    }
-    texts = F.transform("__markup", M.block_text)
-    read = _picked(parsed, FLAT_FRAGMENTS).withColumn("__text", texts)
-    cleaned = [F.get("__text", F.lit(i)).alias(n) for i, n in enumerate(FLAT_FRAGMENTS)]
-    return read.select(*[c.alias(n) for n, c in columns.items()], *cleaned)
+    """The flat 30-column record of pages read by ``with_state``; lists are joined."""
+    lists = {c: join_list(F.col(c), LIST_SEPARATOR) for c in ("ingredients", "promotions", "images")}
+    read = _with_texts(product_facts(parsed), FLAT_TEXTS, M.block_text).withColumns(lists)
+    return read.select(F.col(url).alias("url"), *_fields(FLAT_FIELDS, FLAT_TEXTS))
 
 
 def nested_product(parsed: DataFrame, url: str = "url", also: tuple[str, ...] = ()) -> DataFrame:
@@ -297,32 +351,35 @@ def nested_product(parsed: DataFrame, url: str = "url", also: tuple[str, ...] =
 
     Columns named in ``also`` are passed on.
     """
-    product = F.col("state.product")
-    list_price = F.col("__offer.price")
-    columns = {
-        "ten": product["webName"],
-        "ten_chinh_hang": product["officialProductName"],
-        "sku": product["sku"],
-        "thuong_hieu": product["brand"],
-        "xuat_xu_thuong_hieu": product["brandOrigin"],
-        "nuoc_san_xuat": product["manufactor"],
-        "nha_san_xuat": product["producer"],
-        "so_dang_ky": product["registNum"],
-        "dang_bao_che": product["dosageForm"],
-        "quy_cach": product["specification"],
-        "han_su_dung": product["expirationDate"],
-        "danh_muc": S.path_text(product["categories"], PATH_SEPARATOR),
-        "thanh_phan": S.strength_labels(product["ingredient"]),
-        "don_vi": F.col("__offer.measureUnitName"),
-        "gia_goc": list_price,
-        "gia_ban": S.final_price(F.col("state.initPromotionPrices"), list_price),
-        "khuyen_mai": S.names(F.col("__promotion.promotionTags"), "promotionTitle"),
-        "diem_danh_gia": F.col("state.initReview.avgRating"),
-        "so_danh_gia": F.col("state.initReview.total"),
-        "so_binh_luan": F.col("state.initComment.total"),
-        "hinh_anh": S.image_list(product["primaryImage"], product["secondaryImages"]),
-    }
-    texts = F.transform("__markup", M.line_text)
-    read = _picked(parsed, NESTED_FRAGMENTS).withColumn("__text", texts)
-    cleaned = [F.get("__text", F.lit(i)).alias(n) for i, n in enumerate(NESTED_FRAGMENTS)]
-    return read.select(F.col(url).alias("url"), *[c.alias(n) for n, c in columns.items()], *cleaned, *also)
+    read = _with_texts(product_facts(parsed), NESTED_TEXTS, M.line_text)
+    return read.select(F.col(url).alias("url"), *_fields(NESTED_FIELDS, NESTED_TEXTS), *also)
+
+
+def two_source(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """``(url, dom, nextdata)``: both readings of each page, taken where it lies.
+
+    Pages whose markup names no product, or that hold no state, give no row.
+    """
+    shown = dom_record(pages.withColumn("page", F.col(html)), url, html, also=("page",))
+    fields = [c for c in shown.columns if c not in ("url", "page")]
+    named = shown.filter(F.col("ten").isNotNull())
+    dom = named.select("url", "page", F.struct(*fields).alias("dom"))
+    held = nested_product(with_state(dom, "page"), also=("dom",))
+    fields = [c for c in held.columns if c not in ("url", "dom")]
+    return held.select("url", "dom", F.struct(*fields).alias("nextdata"))
+
+
+def result_rows(listed: DataFrame, flat: DataFrame, tool: str, run: int) -> DataFrame:
+    """Rows of the results ledger: every listed URL, with its state record if any."""
+    found = flat.select(
+        "url",
+        F.col("ten_san_pham").alias("ten"),
+        F.col("gia_ban").alias("gia"),
+        F.col("don_vi_tinh").alias("don_vi"),
+        "thuong_hieu",
+        "so_dang_ky",
+    )
+    status = F.when(F.col("error").isNull(), F.lit("ok")).otherwise(F.col("error"))
+    return listed.select("url", status.alias("trang_thai")).join(found, "url", "left").withColumns(
+        {"cong_cu": F.lit(tool), "lan": F.lit(run)}
+    )

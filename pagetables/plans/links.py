@@ -93,30 +93,46 @@ def first_n_links(spark: SparkSession, folder: str) -> DataFrame:
     return R.first_links(R.first_sightings(*sightings(spark, folder)), 30)
 
 
+@plan(rf"""
+select row_number() over (order by round, source, pos, url) as id, url,
+       regexp_extract(url, '^https?://[^/]+/([a-z]+)/', 1) as danh_muc
+from ({FRONTIER_SQL})
+""")
+def url_table(spark: SparkSession, folder: str) -> DataFrame:
+    frontier = R.first_sightings(*sightings(spark, folder))
+    return R.url_table(frontier, F.regexp_extract("url", "^https?://[^/]+/([a-z]+)/", 1))
+
+
 @plan("""
 with seen as (
-  select user_id, date_diff('day', date '2024-01-01', ts::date) * 24 + hour(ts) as round from events),
+  select user_id, date_diff('day', date '2024-01-01', ts::date) * 24 + hour(ts) as round,
+         event_type = 'click' as more from events),
 firsts as (select user_id, min(round) as round from seen group by user_id),
-rounds as (select distinct round from seen),
+rounds as (select round, bool_or(more) as more from seen group by round),
 counted as (
-  select r.round, count(f.user_id) as new_links, row_number() over (order by r.round) as step
-  from rounds r left join firsts f on f.round = r.round group by r.round),
-totals as (select *, cast(sum(new_links) over (order by round) as bigint) as total_links from counted)
-select round, new_links, total_links, cast(step as integer) as step,
-  case when total_links >= 100 then 'enough' when new_links = 0 then 'stalled'
-       when step >= 20 then 'round limit' end as stop_rule
-from totals
+  select r.round, more, count(f.user_id) as new_links, row_number() over (order by r.round) as step
+  from rounds r left join firsts f on f.round = r.round group by r.round, more),
+totals as (select *, cast(sum(new_links) over (order by round) as bigint) as total_links from counted),
+ruled as (
+  select round, new_links, total_links, cast(step as integer) as step,
+    case when total_links >= 100 then 'enough' when not more then 'no more'
+         when new_links = 0 then 'stalled' when step >= 20 then 'round limit' end as stop_rule
+  from totals)
+select *, not exists (select 1 from ruled e where e.round < r.round and e.stop_rule is not null) as going
+from ruled r
 """)
 def harvest_growth(spark: SparkSession, folder: str) -> DataFrame:
-    """Events as a harvest: an hour is a round, a user is an item."""
+    """Events as a harvest: an hour is a round, a user an item, a click says that
+    more remain."""
     day = F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")).cast("bigint")
     seen = table(spark, folder, "events").select(
         F.col("user_id").cast("string").alias("url"),
         (day * 24 + F.hour("ts")).alias("round"),
         F.lit(R.FROM_PAGE).alias("source"),
         F.col("event_id").alias("pos"),
+        (F.col("event_type") == "click").alias("more"),
     )
-    return R.growth(R.first_sightings(seen), seen.select("round"), max_links=100, max_rounds=20)
+    return R.growth(R.first_sightings(seen), seen, max_links=100, max_rounds=20)
 
 
 def robots(spark: SparkSession, folder: str) -> DataFrame:

@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagetables import schemas
 from pagetables.functions import state as S
+from pagetables.operators import frontier as R
 from pagetables.operators import records
-from pagetables.operators.ledger import compare, reading, reconcile
+from pagetables.operators.ledger import compare, reconcile
 from pagetables.plans.registry import plan
+from pagetables.session import fresh_path
 from pagetables.sources import product_pages as P
+from pagetables.sources import sinks
 from pagetables.sources.tables import table
 
 # What the pages were rendered from, straight from the business tables.
@@ -286,26 +290,30 @@ SHARED = ["ten", "sku", "thuong_hieu", "xuat_xu", "gia_ban", "gia_goc", "so_binh
           "hinh_anh", "nuoc_san_xuat"]
 
 
-def shown_reading(pages: DataFrame, *also: str) -> DataFrame:
-    """The shared fields as the markup shows them."""
-    digits = {c: F.regexp_replace(c, "[^0-9]", "") for c in ("gia_ban", "gia_goc", "so_binh_luan")}
-    return records.dom_record(pages, also=also).select(
-        "url", "ten", "sku", "thuong_hieu", "xuat_xu",
-        *[digits[c].alias(c) for c in digits],
-        F.col("thong_tin_khac")["Danh mục"].alias("danh_muc"),
-        "hinh_anh",
-        F.col("thong_tin_khac")["Nước sản xuất"].alias("nuoc_san_xuat"),
-        *also,
-    )
+def digits(c: str) -> Column:
+    return F.regexp_replace(c, "[^0-9]", "")
+
 
+def shown_fields(dom: str = "") -> list[Column]:
+    """The shared fields as the markup shows them, from columns or a struct."""
+    return [
+        *[F.col(dom + c).alias(c) for c in ("ten", "sku", "thuong_hieu", "xuat_xu", "hinh_anh")],
+        *[digits(dom + c).alias(c) for c in ("gia_ban", "gia_goc", "so_binh_luan")],
+        *[
+            F.col(dom + "thong_tin_khac")[label].alias(name)
+            for name, label in (("danh_muc", "Danh mục"), ("nuoc_san_xuat", "Nước sản xuất"))
+        ],
+    ]
 
-def held_reading(parsed: DataFrame, *also: str) -> DataFrame:
+
+def held_fields(state: str = "") -> list[Column]:
     """The shared fields as the state holds them."""
-    return records.nested_product(parsed, also=also).select(
-        "url", "ten", "sku", "thuong_hieu", F.col("xuat_xu_thuong_hieu").alias("xuat_xu"),
-        "gia_ban", "gia_goc", "so_binh_luan", "danh_muc",
-        F.get("hinh_anh", F.lit(0)).alias("hinh_anh"), "nuoc_san_xuat", *also,
-    )
+    same = ("ten", "sku", "thuong_hieu", "gia_ban", "gia_goc", "so_binh_luan", "danh_muc", "nuoc_san_xuat")
+    return [
+        *[F.col(state + c).alias(c) for c in same],
+        F.col(state + "xuat_xu_thuong_hieu").alias("xuat_xu"),
+        F.get(state + "hinh_anh", F.lit(0)).alias("hinh_anh"),
+    ]
 
 
 RECONCILED = f"""
@@ -332,15 +340,94 @@ full outer join (select * from b where value is not null) b on a.url = b.url and
 def reconcile_sources(spark: SparkSession, folder: str) -> DataFrame:
     """Markup against embedded state, as two tables joined on the URL."""
     pages = P.product_pages(spark, folder)
-    return reconcile(shown_reading(pages), held_reading(records.with_state(pages)), "url", SHARED)
+    shown = records.dom_record(pages).select("url", *shown_fields())
+    held = records.nested_product(records.with_state(pages)).select("url", *held_fields())
+    return reconcile(shown, held, "url", SHARED)
 
 
 @plan(RECONCILED)
 def reconcile_page(spark: SparkSession, folder: str) -> DataFrame:
     """The same, both readings taken from a page where it lies: nothing is joined."""
+    both = records.two_source(P.product_pages(spark, folder))
+    sides = both.select(
+        "url", F.struct(*shown_fields("dom.")).alias("a"), F.struct(*held_fields("nextdata.")).alias("b")
+    )
+    return compare(sides, "url", "a", "b", SHARED)
+
+
+@plan(f"""
+select url, p_name as ten, {SALE_PRICE} as shown_price, final_price as held_price,
+  p_type as danh_muc, 'For ' || p_name || ' use.' as usage, array_to_string(ingredients, ' ; ') as thanh_phan
+from ({PRODUCTS})
+""")
+def two_source_json(spark: SparkSession, folder: str) -> DataFrame:
+    """Both readings written as one JSON object per page, and read back."""
+    both = records.two_source(P.product_pages(spark, folder))
+    path = fresh_path(spark, "two-source")
+    sinks.write_json(both, path)
+    back = sinks.read_json(spark, path, both.schema)
+    return back.select(
+        "url",
+        "dom.ten",
+        F.col("dom.gia_ban").alias("shown_price"),
+        F.col("nextdata.gia_ban").alias("held_price"),
+        F.col("dom.thong_tin_khac")["Danh mục"].alias("danh_muc"),
+        F.col("dom.mo_ta")["usage"].alias("usage"),
+        F.array_join("nextdata.thanh_phan", " ; ").alias("thanh_phan"),
+    )
+
+
+# ------------------------------------------------------------ from links to records
+
+def product_links(spark: SparkSession, folder: str) -> DataFrame:
+    """A frontier of product links from listing answers.
+
+    Parts of a size are listed in the same round; promoted parts are also listed
+    under an old address that no page answers.
+    """
+    slug = F.concat(F.lit("p/"), F.translate("p_name", " ", "-"), F.lit("-"), "p_partkey", F.lit(".html"))
+    old = F.when(F.col("p_type") == "PROMO", F.concat(F.lit("/old/"), "p_partkey", F.lit(".html")))
+    items = F.transform(F.array_compact(F.array(slug, slug, old)), lambda x: F.struct(x.alias("slug")))
+    answers = table(spark, folder, "part").select(
+        "p_size", F.to_json(F.struct(items.alias("items"))).alias("body")
+    )
+    seen = R.api_sightings(answers, "p_size", S.flat_slugs(F.col("body")), F.lit(P.SITE))
+    return R.first_sightings(seen)
+
+
+OLD_LINKS = f"""
+select '{P.SITE}/old/' || p_partkey || '.html' as url, p_size::bigint as round from part where p_type = 'PROMO'
+"""
+
+
+@plan(f"""
+select url, p_name as name, sku, {SALE_PRICE} as price_text,
+  case when best_discount >= 10 then low_price else list_price end as price,
+  case when best_discount >= 10 then list_price end as original_price, main_image as image,
+  null::varchar as error, p_size::bigint as round
+from ({PRODUCTS})
+union all
+select url, null, null, null, null, null, null, '{records.MISSING_NAME}', p_size from ({BLOCKED})
+union all
+select url, null, null, null, null, null, null, '{records.MISSING_PAGE}', round from ({OLD_LINKS})
+""")
+def category_crawl(spark: SparkSession, folder: str) -> DataFrame:
+    """Listing answers to distinct links to pages to records, errors as rows."""
     pages = P.product_pages(spark, folder)
-    shown = shown_reading(pages.withColumn("page", F.col("html")), "page")
-    first = shown.select("url", "page", reading(SHARED).alias("a"))
-    second = held_reading(records.with_state(first, "page"), "a")
-    both = second.select("url", "a", reading(SHARED).alias("b"))
-    return compare(both, "url", "a", "b", SHARED)
+    return records.crawl(product_links(spark, folder), pages, also=("round",))
+
+
+@plan(f"""
+select 'state' as cong_cu, 1 as lan, url, 'ok' as trang_thai, p_name as ten, final_price as gia, unit as don_vi,
+  p_brand as thuong_hieu, regist as so_dang_ky, null::double as thoi_gian_xu_ly
+from ({PRODUCTS})
+union all
+select 'state', 1, url, '{records.MISSING_NAME}', null, null, null, null, null, null from ({BLOCKED})
+""")
+def result_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """The results ledger under its fixed columns; nothing measures the time."""
+    pages = P.product_pages(spark, folder)
+    rows = records.result_rows(
+        records.listing_record(pages), records.flat_product(records.with_state(pages)), "state", 1
+    )
+    return sinks.fixed_columns(rows, schemas.RESULTS).drop("thoi_diem")

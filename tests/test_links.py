@@ -33,16 +33,24 @@ def test_frontier_first_sighting_wins(spark):
 
 
 def test_growth_and_stop_rules(spark):
-    rows = [("a", 1), ("b", 1), ("a", 2), ("c", 3), ("d", 3), ("e", 4)]
-    seen = spark.createDataFrame(rows, "url string, round int").select(
-        "url", "round", F.lit(0).alias("source"), F.lit(0).alias("pos")
+    rows = [("a", 1, True), ("b", 1, False), ("a", 2, True), ("c", 3, True), ("d", 3, True), ("d", 4, False), ("e", 5, True)]
+    seen = spark.createDataFrame(rows, "url string, round int, more boolean").select(
+        "url", "round", "more", F.lit(0).alias("source"), F.lit(0).alias("pos")
     )
     found = R.growth(R.first_sightings(seen), seen, max_links=5, max_rounds=3).orderBy("round").collect()
-    assert [(r.new_links, r.total_links, r.stop_rule) for r in found] == [
-        (2, 2, None), (0, 2, "stalled"), (2, 4, "round limit"), (1, 5, "enough"),
+    assert [(r.new_links, r.total_links, r.stop_rule, r.going) for r in found] == [
+        (2, 2, None, True), (0, 2, "stalled", True), (2, 4, "round limit", False), (0, 4, "no more", False),
+        (1, 5, "enough", False),
     ]
 
 
+def test_url_table_numbers_by_sighting(spark):
+    rows = [("https://h/b", 2, 0, 0), ("https://h/a", 1, 1, 5), ("https://h/c", 1, 1, 4)]
+    frontier = spark.createDataFrame(rows, "url string, round bigint, source int, pos bigint")
+    found = R.url_table(frontier, F.lit("x")).orderBy("id").collect()
+    assert [(r.id, r.url[-1]) for r in found] == [(1, "c"), (2, "a"), (3, "b")]
+
+
 ROBOTS = [
     "User-agent: *\nDisallow: /private\nAllow: /private/open\nCrawl-delay: 7\n",
     "User-agent: bot\nUser-agent: other # two\nDisallow: /\n\nUser-agent: *\nDisallow:\n",

@@ -124,3 +124,12 @@ def test_listing_errors_are_rows(spark):
     assert (rows["b"].name, rows["b"].error) == (None, records.MISSING_NAME)
     good, bad = records.split_failures(listed)
     assert (good.count(), bad.count()) == (1, 1)
+
+
+def test_crawl_reports_missing_pages(spark):
+    links = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "url string, round int")
+    pages = spark.createDataFrame([("a", "<i data-test='product_name'>N</i>"), ("b", "x"), ("z", "y")], "url string, html string")
+    rows = {r.url: (r.name, r.error, r.round) for r in records.crawl(links, pages, also=("round",)).collect()}
+    assert rows == {
+        "a": ("N", None, 1), "b": (None, records.MISSING_NAME, 2), "c": (None, records.MISSING_PAGE, 3),
+    }
