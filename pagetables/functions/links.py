@@ -53,11 +53,10 @@ def _drop_dots(path: Column) -> Column:
         .when(part == "..", F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0))))
         .otherwise(F.array_append(kept, part)),
     )
-    # The part before the leading slash is empty; '..' may climb past it.
-    joined = F.array_join(walked, "/")
-    rooted = F.when(joined.startswith("/"), joined).otherwise(F.concat(F.lit("/"), joined))
-    slash = F.when(path.rlike(r"/\.\.?$") & ~rooted.endswith("/"), F.lit("/")).otherwise(F.lit(""))
-    return F.concat(rooted, slash)
+    # A path that ends in a dot segment names a folder.
+    folder = F.when(path.rlike(r"/\.\.?$"), F.array_append(walked, "")).otherwise(walked)
+    joined = F.array_join(folder, "/")
+    return F.when(joined.startswith("/"), joined).otherwise(F.concat(F.lit("/"), joined))
 
 
 def resolve(base: Column, link: Column) -> Column:
@@ -73,17 +72,21 @@ def resolve(base: Column, link: Column) -> Column:
     folder = F.regexp_replace(F.regexp_replace(no_query, _ORIGIN, ""), r"[^/]*$", "")
     folder = F.when(folder == "", F.lit("/")).otherwise(folder)
 
-    full = F.when(link.startswith("/"), link).otherwise(F.concat(folder, link))
-    path = F.regexp_extract(full, r"^[^?#]*", 0)
-    tail = F.regexp_extract(full, r"[?#][\s\S]*$", 0)
+    # Two slashes with no host behind them are no host part.
+    local = F.regexp_replace(link, r"^//(?=[/?#]|$)", "")
+    local_path = F.regexp_extract(local, r"^[^?#]*", 0)
+    tail = F.regexp_extract(local, r"[?#][\s\S]*$", 0)
+    # Where folder and link are put together, empty segments are dropped.
+    merged = F.regexp_replace(F.concat(folder, local_path), "/+", "/")
+    path = F.when(local.startswith("/"), local_path).otherwise(merged)
     clean = F.when(path.rlike(r"/\.\.?(?:/|$)"), _drop_dots(path)).otherwise(path)
 
     return (
         F.when(link == "", base)
         .when(link.rlike(_SCHEME), link)
-        .when(link.startswith("//"), F.concat(scheme, link))
-        .when(link.startswith("?"), F.concat(no_query, link))
-        .when(link.startswith("#"), F.concat(no_fragment, link))
+        .when(link.startswith("//") & (link == local), F.concat(scheme, link))
+        .when(local.startswith("?"), F.concat(no_query, local))
+        .when(local.startswith("#") | (local == ""), F.concat(no_fragment, local))
         .otherwise(F.concat(root, clean, tail))
     )
 

@@ -66,23 +66,39 @@ _RARE = rf"&(?!(?:{'|'.join(MARKUP_REFERENCES)});)[#A-Za-z]"
 
 
 def _character(number: Column) -> Column:
-    """The character with a code point given as a number."""
+    """The character with a code point given as a number.
+
+    Control and non-characters vanish; numbers that are no code point become the
+    replacement character.
+    """
+    vanishing = (
+        number.between(1, 8)
+        | (number == 11)
+        | number.between(14, 31)
+        | (number == 127)
+        | number.between(0xFDD0, 0xFDEF)
+        | ((number <= 0x10FFFF) & (number.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE))
+    )
     in_range = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
     char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-    return F.when(in_range, char).otherwise(F.lit("\ufffd"))
+    return F.when(vanishing, F.lit("")).when(in_range, char).otherwise(F.lit("\ufffd"))
 
 
 def _decode_start(piece: Column) -> Column:
     """Decode the reference at the start of ``piece`` (the text after an ``&``)."""
     table = F.from_json(F.lit(_TABLE_JSON), "map<string,string>")
     token = F.regexp_extract(
-        piece, rf"^(?:#[0-9]{{1,9}};?|#[xX][0-9A-Fa-f]{{1,8}};?|[A-Za-z][A-Za-z0-9]*;|{_OLD_NAMES})", 0
+        piece, rf"^(?:#[0-9]+;?|#[xX][0-9A-Fa-f]+;?|[A-Za-z][A-Za-z0-9]*;|{_OLD_NAMES})", 0
     )
     old = F.regexp_extract(piece, f"^(?:{_OLD_NAMES})", 0)
-    digits = F.regexp_extract(token, "^#([0-9]+)", 1)
-    hex_digits = F.regexp_extract(token, "^#[xX]([0-9A-Fa-f]+)", 1)
-    number = F.when(digits != "", digits.try_cast("bigint")).when(
-        hex_digits != "", F.conv(hex_digits, 16, 10).try_cast("bigint")
+    digits = F.regexp_extract(token, "^#0*([0-9]+)", 1)
+    hex_digits = F.regexp_extract(token, "^#[xX]0*([0-9A-Fa-f]+)", 1)
+    beyond = F.lit(0x110000).cast("bigint")
+    number = (
+        F.when(F.char_length(digits) > 9, beyond)
+        .when(F.char_length(hex_digits) > 8, beyond)
+        .when(digits != "", digits.try_cast("bigint"))
+        .when(hex_digits != "", F.conv(hex_digits, 16, 10).try_cast("bigint"))
     )
     name = F.when(number.isNotNull(), F.concat(F.lit("#"), number.cast("string"))).otherwise(
         F.concat(F.rtrim(token, F.lit(";")), F.lit(";"))

@@ -100,7 +100,7 @@ BASES = [
 ]
 LINKS = [
     "/a/b.html", "https://x.example/c", "c.html", "../c.html", "../../../c", "./d", ".", "..", "?q=2", "#top",
-    "//cdn.example/x", "a/./b/../c?u=../v#../w", "/x/../y/", "mailto:a@b.example", "", "a/..", "/..", "é/ü.html",
+    "//cdn.example/x", "a/./b/../c?u=../v#../w", "/x/../y/", "mailto:a@b.example", "", "a/..", "/..", "é/ü.html", "a//b//", "//", "/a//b", "//?q", "///a", "////a", "/b//.", "//#f",
 ]
 
 
@@ -132,7 +132,7 @@ def test_link_predicates(spark):
 REFERENCES = [
     "a & b", "&amp;lt;", "&lt;b&gt;", "&copy;&copy", "&notit; &notin;", "&#233;&#xE9;&#XE9", "&#128;", "&#0;",
     "&unknown;", "&amp", "&am", "&#38;amp;", "&quot;x&apos;", "&NotEqualTilde;", "&#1114112;", "&&amp;&", "&#;",
-    "&#128512;", "&eacuteX", "&Eacute;tude &nbsp;",
+    "&#128512;", "&eacuteX", "&#1;&#11;&#12;&#13;&#31;&#127;", "&#xD800928;&#99999999999;&#x0000000000041;&#000000000000066;", "&#xFFFE;&#x1FFFF;&#xFDD0;&#xD800;&#x110000;", "&Eacute;tude &nbsp;",
 ]
 
 
