@@ -5,9 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters a Unicode-aware split on whitespace removes: those
-# with the White_Space property, and the four ASCII separators.
+# The characters a Unicode-aware split on whitespace removes, as a
+# pattern (those with the White_Space property, and the four ASCII separators)
+# and one by one.
 SPACE = r"[\s\x1c-\x1f]"
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x20\x85\xa0"
+    "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 # ASCII letters, the only ones the name search folds.
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -28,8 +34,8 @@ def squash(c: Column) -> Column:
 
 
 def strip_ends(c: Column) -> Column:
-    """Remove Unicode whitespace from both ends."""
-    return F.regexp_replace(c, rf"(?U)\A{SPACE}++|{SPACE}++\z", "")
+    """Remove Unicode whitespace from both ends; only the ends are looked at."""
+    return F.btrim(c, F.lit(SPACES))
 
 
 def parse_price(c: Column) -> Column:

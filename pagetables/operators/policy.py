@@ -23,35 +23,52 @@ def _unquote(path: Column) -> Column:
 
 
 def robots_lines(robots: DataFrame) -> DataFrame:
-    """Lines of ``robots(host, status, body)`` as ``(host, n, kind, value)``.
+    """Lines of ``robots(host, status, body)`` as ``(host, status, n, kind, value)``.
 
-    Comments are cut off; a line that held nothing else is no blank line.
+    Comments are cut off; a line that held nothing else is no blank line. A blank
+    line is put before the first, so that a host without any is not lost.
     """
-    lines = robots.select(
-        "host", F.posexplode(F.split("body", r"\r\n|\r|\n")).alias("n", "__raw")
+    body = F.coalesce("body", F.lit(""))
+    raw = F.concat(F.array(F.lit("")), F.split(body, r"\r\n|\r|\n"))
+    cut = F.transform(
+        raw,
+        lambda line, n: F.struct(
+            n.alias("n"),
+            (strip_ends(line) == "").alias("blank"),
+            strip_ends(F.regexp_replace(line, "#.*", "")).alias("text"),
+        ),
     )
-    line = strip_ends(F.regexp_replace("__raw", "#.*", ""))
-    split = lines.withColumn("__line", line).select(
-        "host",
-        "n",
-        (strip_ends(F.col("__raw")) == "").alias("__blank"),
-        F.lower(strip_ends(F.regexp_extract("__line", r"^([^:]*):", 1))).alias("__name"),
-        strip_ends(F.regexp_extract("__line", r"^[^:]*:(.*)$", 1)).alias("value"),
+    split = F.transform(
+        cut,
+        lambda c: F.struct(
+            c["n"].alias("n"),
+            c["blank"].alias("blank"),
+            F.lower(strip_ends(F.regexp_extract(c["text"], r"^([^:]*):", 1))).alias("name"),
+            strip_ends(F.regexp_extract(c["text"], r"^[^:]*:(.*)$", 1)).alias("value"),
+        ),
     )
-    kind = (
-        F.when(F.col("__blank"), "blank")
-        .when(F.col("__name") == "user-agent", "agent")
-        .when(F.col("__name").isin("allow", "disallow", "crawl-delay", "sitemap"), F.col("__name"))
+    kinds = F.transform(
+        split,
+        lambda s: F.struct(
+            s["n"].alias("n"),
+            F.when(s["blank"], "blank")
+            .when(s["name"] == "user-agent", "agent")
+            .when(s["name"].isin("allow", "disallow", "crawl-delay", "sitemap"), s["name"])
+            .alias("kind"),
+            s["value"].alias("value"),
+        ),
     )
-    return split.select("host", "n", kind.alias("kind"), "value").filter("kind is not null")
+    known = F.filter(kinds, lambda k: k["kind"].isNotNull())
+    return robots.select("host", "status", F.inline(known))
 
 
 def policies(robots: DataFrame, agent: str) -> DataFrame:
     """Per host, what its robots file says to ``agent``.
 
     ``(host, status, rules, delay)``: the rules of the first group naming the
-    agent, else of the first group for everyone, in file order. Windows and
-    arrays are per host and a host has one file, which bounds them.
+    agent, else of the first group for everyone, in file order. One shuffle by
+    host serves the windows and both groupings; a host has one file, which bounds
+    what they hold.
     """
     name = agent.split("/")[0].lower()
     by_line = Window.partitionBy("host").orderBy("n")
@@ -66,33 +83,29 @@ def policies(robots: DataFrame, agent: str) -> DataFrame:
 
     is_agent = F.col("kind") == "agent"
     is_rule = F.col("kind").isin("allow", "disallow")
+    is_delay = F.col("kind") == "crawl-delay"
     named = is_agent & (F.col("value") != "*") & F.lit(name).contains(F.lower("value"))
     rule = F.struct(
         "n",
         ((F.col("kind") == "allow") | (F.col("value") == "")).alias("allow"),
         _unquote(F.col("value")).alias("path"),
     )
-    delay = F.when(F.col("value").rlike(r"\A[0-9]+\z"), F.col("value")).try_cast("double")
-    groups = (
-        grouped.groupBy("host", "group")
-        .agg(
-            F.bool_or(is_agent & (F.col("value") == "*")).alias("__everyone"),
-            F.bool_or(named).alias("__named"),
-            F.bool_or(is_rule | (F.col("kind") == "crawl-delay")).alias("__used"),
-            F.collect_list(F.when(is_rule, rule)).alias("rules"),
-            F.max_by(
-                F.when(F.col("kind") == "crawl-delay", delay),
-                F.when((F.col("kind") == "crawl-delay") & delay.isNotNull(), F.col("n")),
-            ).alias("delay"),
-        )
-        .filter(F.col("__used") & (F.col("__everyone") | F.col("__named")))
+    seconds = F.when(is_delay & F.col("value").rlike(r"\A[0-9]+\z"), F.col("value")).try_cast("double")
+    groups = grouped.groupBy("host", "group").agg(
+        F.max("status").alias("status"),
+        F.bool_or(is_agent & (F.col("value") == "*")).alias("__everyone"),
+        F.bool_or(named).alias("__named"),
+        F.bool_or(is_rule | is_delay).alias("__used"),
+        F.sort_array(F.collect_list(F.when(is_rule, rule))).alias("rules"),
+        F.max_by(seconds, F.when(seconds.isNotNull(), F.col("n"))).alias("delay"),
     )
+    fits = F.col("__used") & (F.col("__everyone") | F.col("__named"))
     rank = F.struct(F.col("__everyone").cast("int"), "group")
-    chosen = groups.groupBy("host").agg(
-        F.min_by(F.struct(F.sort_array("rules").alias("rules"), "delay"), rank).alias("p")
-    )
-    return robots.select("host", "status").join(chosen, "host", "left").select(
-        "host", "status", F.col("p.rules").alias("rules"), F.col("p.delay").alias("delay")
+    chosen = F.min_by(F.when(fits, F.struct("rules", "delay")), F.when(fits, rank))
+    return (
+        groups.groupBy("host")
+        .agg(F.max("status").alias("status"), chosen.alias("p"))
+        .select("host", "status", F.col("p.rules").alias("rules"), F.col("p.delay").alias("delay"))
     )
 
 
