@@ -21,7 +21,7 @@ HEADLINE = [
     "html_blocks", "html_lines", "first_text", "rule_fields", "listing_record", "dom_record",
     "flat_product", "nested_product", "reconcile_sources", "reconcile_page", "recursive_slugs",
     "default_pick", "composite_key_violations", "unique_violations", "assign_ids", "update_by_key",
-    "upsert_by_key", "lookup_batch", "substring_search", "squash_whitespace", "csv_roundtrip",
+    "upsert_by_key", "lookup_batch", "category_crawl", "url_table", "substring_search", "squash_whitespace", "csv_roundtrip",
     "run_ledger", "harvest_growth", "stream_harvest", "stream_upsert", "stream_run_summary",
 ]
 
@@ -32,7 +32,8 @@ def main() -> None:
     spark = local_session(cpus, cpus, **{"spark.driver.memory": "16g"})
     builds = catalog.queries()
     times = {}
-    spark.range(1).write.format("noop").mode("overwrite").save()
+    # The first query of a session pays for its start; that is not what is timed.
+    builds[HEADLINE[0]](spark, folder).write.format("noop").mode("overwrite").save()
     for name in HEADLINE:
         start = time.perf_counter()
         builds[name](spark, folder).write.format("noop").mode("overwrite").save()

@@ -185,29 +185,54 @@ def block_text(prepared: Column) -> Column:
 # ---------------------------------------------------------------- elements
 
 def _open_tag(tag: str | None, attr: str | None, value: str | None, match: str) -> str:
-    name = re.escape(tag) if tag else r"[A-Za-z][A-Za-z0-9]*"
+    """Pattern of a start tag; names fold case, the value does not."""
+    name = re.escape(tag) if tag else "[A-Za-z][A-Za-z0-9]*+"
     if attr is None:
-        return rf"<({name})(?=[\s>/])[^>]*>"
+        return rf"<({name})(?=[\s>/])[^>]*+>"
     wanted = "" if value is None else re.escape(value)
-    inside = {
-        "=": wanted,
-        "^=": rf"{wanted}[^\"'>]*",
-        "$=": rf"[^\"'>]*{wanted}",
-        "*=": rf"[^\"'>]*{wanted}[^\"'>]*",
-        "~=": rf"(?:[^\"'>]*\s)?{wanted}(?:\s[^\"'>]*)?",
-    }[match if value is not None else "*="]
-    return rf"<({name})\s(?:[^>]*?\s)?{re.escape(attr)}\s*=\s*[\"']{inside}[\"'][^>]*>"
 
+    def inside(any_text: str, around: tuple[str, ...]) -> str:
+        return {
+            "=": wanted,
+            "^=": wanted + any_text,
+            "$=": any_text + wanted,
+            "*=": any_text + wanted + any_text,
+            "~=": wanted.join(around) if around else wanted,
+        }[match if value is not None else "*="]
 
-def first_inner(
+    quoted = inside(r"[^\"'>]*", (r"(?:[^\"'>]*\s)?", r"(?:\s[^\"'>]*)?"))
+    bare = inside(r"[^\s\"'>]*", ())
+    given = rf"(?-i:[\"']{quoted}[\"']|{bare}(?=[\s>]))"
+    return rf"<({name})(?=\s)[^>]*?\s{re.escape(attr)}\s*=\s*{given}[^>]*+>"
+
+
+def _matches(page: Column, pattern: str, group: int, value: str | None) -> Column:
+    """All matches in one scan; pages without the wanted value are not scanned."""
+    found = F.regexp_extract_all(page, F.lit(pattern), F.lit(group))
+    return found if value is None else F.when(page.contains(value), found)
+
+
+def all_inner(
     page: Column,
-    tag: str | None = None,
+    tag: str | None,
     attr: str | None = None,
     value: str | None = None,
     match: str = "=",
 ) -> Column:
-    """Markup inside the first matching element, or null if there is none."""
-    return F.get(all_inner(page, tag, attr, value, match), F.lit(0))
+    """Markup inside every matching element, in page order.
+
+    One scan of the page, which also tells an empty element from a missing one.
+    """
+    inside = r"([^<]*+(?:<(?!/\1[\s>])[^<]*+)*+)(?:</\1[^>]*+>)?"
+    return _matches(page, "(?i)" + _open_tag(tag, attr, value, match) + inside, 2, value)
+
+
+def first_inner(page: Column, *rule: str | None, **kw: str | None) -> Column:
+    """Markup inside the first matching element, or null if there is none.
+
+    A rule is a tag (any, if None), an attribute, its value and how to match it.
+    """
+    return F.get(all_inner(page, *rule, **kw), F.lit(0))
 
 
 def first_text(page: Column, *rule: str | None, **kw: str | None) -> Column:
@@ -224,14 +249,14 @@ def attribute(open_tag: Column, attr: str) -> Column:
 
 def first_tag(
     page: Column,
-    tag: str | None = None,
+    tag: str | None,
     attr: str | None = None,
     value: str | None = None,
     match: str = "=",
 ) -> Column:
     """The first matching start tag, or null if there is none."""
     pattern = "(?i)" + _open_tag(tag, attr, value, match)
-    return F.get(F.regexp_extract_all(page, F.lit(pattern), F.lit(0)), F.lit(0))
+    return F.get(_matches(page, pattern, 0, value), F.lit(0))
 
 
 def first_attr(page: Column, take: str, *rule: str | None, **kw: str | None) -> Column:
@@ -239,22 +264,6 @@ def first_attr(page: Column, take: str, *rule: str | None, **kw: str | None) ->
     return attribute(first_tag(page, *rule, **kw), take)
 
 
-def all_inner(
-    page: Column,
-    tag: str | None,
-    attr: str | None = None,
-    value: str | None = None,
-    match: str = "=",
-) -> Column:
-    """Markup inside every matching element, in page order.
-
-    One scan of the page, which also tells an empty element from a missing one.
-    """
-    inside = r"([^<]*+(?:<(?!/\1[\s>])[^<]*+)*+)(?:</\1[^>]*+>)?"
-    pattern = "(?i)" + _open_tag(tag, attr, value, match) + inside
-    return F.regexp_extract_all(page, F.lit(pattern), F.lit(2))
-
-
 def anchor_hrefs(page: Column) -> Column:
     """``href`` of every anchor in page order; missing and empty ones dropped."""
     tags = F.regexp_extract_all(page, F.lit(r"(?is)<a\s[^>]*>"), F.lit(0))

@@ -62,6 +62,10 @@ def test_first_matches(spark):
     assert one(spark, lambda p: M.first_text(p, "div", "class", "usage"), PAGE) is None
     assert one(spark, lambda p: M.first_attr(p, "content", "meta", "property", "og:image"), PAGE) == "/i.jpg"
     assert one(spark, lambda p: M.first_attr(p, "id", "h1"), PAGE) is None
+    assert one(spark, lambda p: M.first_text(p, None, "data-test", "empty"), PAGE) == ""
+    assert one(spark, lambda p: M.first_text(p, None, "data-test", "Empty"), PAGE) is None
+    assert one(spark, lambda p: M.first_text(p, "A", "HREF", "/two", "^="), PAGE) == "Two"
+    assert one(spark, lambda p: M.first_text(p, "a", "href", "one.html", "$="), PAGE) == "One"
     assert one(spark, M.anchor_hrefs, PAGE) == ["/one.html", "/two.html"]
 
 

@@ -32,8 +32,8 @@ def test_price_label_reads_back(spark):
 
 
 SPACED = [
-    "  a  b \t\n c  ", "a b", "", " ", None, "a\x1cb", " \x1f ", "x  y", "a  b", "　a　",
-    "a \x1c b", "a ​ b", "\u0085a b",
+    "  a  b \t\n c  ", "a b", "", " ", None, "a\x1cb", " \x1f ", "x\xa0 y", "a\u2003b",
+    "\u3000a\u3000", "a \x1c b", "a \u200b b", "\x85a\u2028b", "\xa0", "a\xa0b",
 ]
 
 
@@ -70,9 +70,8 @@ def test_labels_and_lists(spark):
 
 
 def test_to_int(spark):
-    assert apply(spark, X.to_int, [" 20 ", "20.5", "abc", "", None, "-3", " 7"]) == [
-        20, None, None, None, None, -3, 7,
-    ]
+    given_ = [" 20 ", "20.5", "abc", "", None, "-3", "\xa07"]
+    assert apply(spark, X.to_int, given_) == [20, None, None, None, None, -3, 7]
 
 
 @pytest.mark.parametrize(
