@@ -5,6 +5,7 @@ from __future__ import annotations
 import duckdb
 from pyspark.sql import SparkSession
 
+from pagetables.plans import catalog  # noqa: F401
 from pagetables.plans.registry import PLANS
 
 TABLES = (

@@ -3,6 +3,7 @@
 import pytest
 from conftest import SMALL
 
+from pagetables.plans import catalog  # noqa: F401
 from pagetables.plans.registry import PLANS
 
 
@@ -41,3 +42,16 @@ def test_narrow_jobs_do_not_shuffle(spark, name):
 def test_frontier_combines_before_the_shuffle(spark):
     plan = plan_of(PLANS["link_frontier"].build(spark, SMALL))
     assert "partial_min" in plan
+
+
+@pytest.mark.parametrize("name", ["lookup_batch", "delete_by_key", "missing_keys"])
+def test_keys_are_reduced_before_their_shuffle(spark, name):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(PLANS[name].build(spark, SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    tree = plan.split("\n\n")[0]
+    assert "HashAggregate" in tree
+    assert tree.count("Exchange") == 2  # one per side of the join
