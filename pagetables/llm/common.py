@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,3 +30,30 @@ def literal_rows(spark: SparkSession, names: list[str], rows: list[tuple]) -> Da
     """A small table of constants, made by the JVM alone."""
     structs = [F.struct(*(F.lit(v).alias(n) for n, v in zip(names, row, strict=True))) for row in rows]
     return spark.range(1).select(F.inline(F.array(*structs)))
+
+
+#: At most so many rows of 16 bytes go into the bitmap that ``maybe_in`` broadcasts.
+MOST_SLOTS = 1 << 20
+
+
+def maybe_in(df: DataFrame, value: Column, ids: DataFrame, name: str) -> DataFrame:
+    """``df`` with a flag ``name``: false where ``value`` is surely not among ``ids``.
+
+    ``ids`` (one column, written out) become a bitmap of about 16 bits each, and of a
+    fixed size at most, which is broadcast. Few rows are flagged wrongly; of far more
+    ids than the bitmap has bits for, more are. A join of the flagged rows decides.
+    """
+    slots = 1 << max(6, min(int(math.log2(MOST_SLOTS)), math.ceil(math.log2(max(1, ids.count()) / 4))))
+
+    def place(v: Column) -> tuple[Column, Column]:
+        h = F.xxhash64(v)
+        return F.pmod(F.shiftright(h, 8), F.lit(slots)), h.bitwiseAND(F.lit(63)).cast("int")
+
+    slot, bit = place(F.col(f"`{ids.columns[0]}`"))
+    bitmap = ids.select(slot.alias("__slot"), bit.alias("bit")).groupBy("__slot").agg(
+        F.bit_or(F.expr("shiftleft(1L, bit)")).alias("__bits")
+    )
+    own_slot, own_bit = place(value)
+    held = df.select("*", own_slot.alias("__slot"), own_bit.alias("__bit")).join(F.broadcast(bitmap), "__slot", "left")
+    flag = F.expr("coalesce(shiftright(__bits, __bit) & 1, 0) = 1")
+    return held.select(*(f"`{c}`" for c in df.columns), flag.alias(name))

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagetables.llm.common import maybe_in
 from pagetables.session import materialize
 
 _MASK = (1 << 64) - 1
@@ -178,20 +179,24 @@ def signatures(docs: DataFrame, doc_id: str, text: str, rule: Similar = Similar(
 
 
 def chosen(signed: DataFrame) -> DataFrame:
-    """One row per id with a set: ``id``, ``digest``. Of several texts the one with the
-    least hash counts."""
+    """One row per id with a set: ``id``, ``digest``, and whether it has ``others`` too.
+    Of several texts the one with the least hash counts."""
     known = signed.filter("digest is not null and id is not null")
-    return known.groupBy("id").agg(F.min(F.struct("text_hash", "digest"))["digest"].alias("digest"))
+    return known.groupBy("id").agg(
+        F.min(F.struct("text_hash", "digest"))["digest"].alias("digest"),
+        (F.min("digest") != F.max("digest")).alias("others"),
+    )
 
 
 def classes(signed: DataFrame, ids: DataFrame) -> DataFrame:
     """One row per distinct set: ``rep`` (its smallest id), ``n``, ``bands``, ``sketch``."""
-    reps = ids.groupBy("digest").agg(F.min("id").alias("id"))
-    own = signed.select("id", "n_shingles", "bands", "sketch", "digest").join(reps, ["id", "digest"])
-    # A row that comes twice has the same signature twice.
-    return own.dropDuplicates(["id"]).select(
-        F.col("id").alias("rep"), F.col("n_shingles").alias("n"), "bands", "sketch"
-    )
+    # Ids with several texts are rare; their other texts are left out.
+    several = ids.filter("others").select("id", F.col("digest").alias("own"))
+    known = signed.filter("digest is not null and id is not null").join(several, "id", "left")
+    known = known.filter("own is null or own = digest")
+    signature = F.min_by(F.struct("n_shingles", "bands", "sketch"), "id").alias("s")
+    reps = known.groupBy("digest").agg(F.min("id").alias("rep"), signature)
+    return reps.select("rep", F.col("s.n_shingles").alias("n"), "s.bands", "s.sketch")
 
 
 def xor_bits(left: Column, right: Column) -> Column:
@@ -210,7 +215,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, rule: S
     Only texts that occur in a pair are moved. A text that is in many pairs is a hot
     key of one join side, which adaptive execution splits.
     """
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "pair-ids")
     texts = materialize(_texts(docs, doc_id, text, ids), "pair-texts")
     # Joined by ``a`` last, so that pairs of one text come one after another.
     both = pairs.join(texts.toDF("b", "right"), "b").join(texts.toDF("a", "left"), "a")
@@ -263,9 +268,11 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
 
 
 def _texts(docs: DataFrame, doc_id: str, text: str, ids: DataFrame) -> DataFrame:
-    """``id`` and ``text`` of the documents in ``ids``; no other text is moved."""
+    """``id`` and ``text`` of the documents in ``ids``; hardly any other text is moved."""
+    given = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.coalesce(f"`{text}`", F.lit("")).alias("text"))
     return (
-        docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.coalesce(f"`{text}`", F.lit("")).alias("text"))
+        maybe_in(given, F.col("id"), ids, "maybe")
+        .filter("maybe")
         .join(ids, "id", "left_semi")
         .groupBy("id")
         .agg(F.min_by("text", F.xxhash64("text")).alias("text"))
@@ -284,43 +291,67 @@ def _shingle_sets(texts: DataFrame, rule: Similar) -> DataFrame:
     return texts.select("id", "text").mapInArrow(make_sets, "id long, shingles binary")
 
 
-def _links_in_blocks(members: DataFrame, rule: Similar) -> DataFrame:
-    """Links inside buckets, between components, found on sketches and full sets.
+def _meetings(members: DataFrame, rule: Similar) -> DataFrame:
+    """``members`` dealt so that every two of a bucket (``key``) meet in one group.
 
-    ``members`` has ``key``, ``rep``, ``bands``, ``sketch``, ``component``,
-    ``shingles``. A bucket is dealt into blocks of about ``rule.block`` members, and
-    every two of its blocks meet in one group, so no task holds a whole bucket. Two
-    members that share several bands are compared in the bucket of the first. What
-    a group has found to be one component is not linked a second time.
+    A bucket is dealt into blocks of about ``rule.block`` members, and every two of its
+    blocks (``low``, ``high``) are a group, so no task holds a whole bucket.
     """
     sizes = members.groupBy("key").agg(F.ceil(F.count("*") / rule.block).cast("int").alias("blocks"))
     dealt = members.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     meets = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    meets = meets.select(
-        "key", "rep", "bands", "sketch", "component", "shingles", "block",
-        F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-    )
-    most, percent = rule.most_bits, rule.percent
+    low, high = F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    return meets.select(*members.columns, "block", low, high)
+
+
+def _likely_rows(block: pd.DataFrame, rule: Similar) -> Iterator[tuple[int, np.ndarray]]:
+    """Each row of a group with later rows of other components that sizes and sketches allow."""
     counts = np.array([bin(i).count("1") for i in range(256)], np.uint8)
+    sketch = np.array(block["sketch"].tolist(), np.int64).view(np.uint8)
+    n, comp, part = block["n"].to_numpy(), block["component"].to_numpy(), block["block"].to_numpy()
+    one_block = block["low"].iloc[0] == block["high"].iloc[0]
+    for i in range(len(block) - 1):
+        rest = slice(i + 1, None)
+        fits = comp[rest] != comp[i]
+        fits &= np.minimum(n[rest], n[i]) * 100 >= np.maximum(n[rest], n[i]) * rule.percent
+        if not one_block:
+            fits &= part[rest] != part[i]
+        at = np.flatnonzero(fits) + i + 1
+        if len(at):
+            at = at[counts[sketch[at] ^ sketch[i]].sum(axis=1, dtype=np.int64) <= rule.most_bits]
+        if len(at):
+            yield i, at
+
+
+def _in_likely_pairs(members: DataFrame, rule: Similar) -> DataFrame:
+    """``key``, ``rep`` of the members whose sketch is near one of another component."""
+
+    def compare(block: pd.DataFrame) -> pd.DataFrame:
+        seen = np.zeros(len(block), bool)
+        for i, at in _likely_rows(block, rule):
+            seen[i] = True
+            seen[at] = True
+        return block.loc[seen, ["key", "rep"]]
+
+    return _meetings(members, rule).groupBy("key", "low", "high").applyInPandas(compare, "key long, rep long").distinct()
+
 
-    def compare(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
+def _links_in_blocks(members: DataFrame, rule: Similar) -> DataFrame:
+    """Links inside buckets, between components, found on sketches and full sets.
+
+    Two members that share several bands are compared in the bucket of the first, and
+    what a group has found to be one component is not linked a second time.
+    """
+    percent = rule.percent
+
+    def compare(block: pd.DataFrame) -> pd.DataFrame:
         sets = [np.frombuffer(x, np.uint64) for x in block["shingles"]]
-        n = np.array([len(x) for x in sets])
-        sketch = np.array(block["sketch"].tolist(), np.int64).view(np.uint8)
-        bands, part = np.array(block["bands"].tolist(), np.int64), block["block"].to_numpy()
-        comp, rep = block["component"].to_numpy().copy(), block["rep"].to_numpy()
+        n, bands, rep = block["n"].to_numpy(), np.array(block["bands"].tolist(), np.int64), block["rep"].to_numpy()
+        comp, key = block["component"].to_numpy().copy(), block["key"].iloc[0]
         links = []
-        for i in range(len(block) - 1):
-            fits = (comp[i + 1 :] != comp[i]) & (
-                np.minimum(n[i + 1 :], n[i]) * 100 >= np.maximum(n[i + 1 :], n[i]) * percent
-            )
-            if key[1] != key[2]:
-                fits &= part[i + 1 :] != part[i]
-            at = np.flatnonzero(fits) + i + 1
-            if len(at):
-                at = at[counts[sketch[at] ^ sketch[i]].sum(axis=1, dtype=np.int64) <= most]
-            if len(at):
-                at = at[bands[i, (bands[at] == bands[i]).argmax(axis=1)] == key[0]]
+        for i, at in _likely_rows(block, rule):
+            at = at[bands[i, (bands[at] == bands[i]).argmax(axis=1)] == key]
+            at = at[comp[at] != comp[i]]
             if not len(at):
                 continue
             theirs = np.concatenate([sets[j] for j in at])
@@ -333,7 +364,7 @@ def _links_in_blocks(members: DataFrame, rule: Similar) -> DataFrame:
                     comp[comp == comp[j]] = comp[i]
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
-    return meets.groupBy("key", "low", "high").applyInPandas(compare, "a long, b long")
+    return _meetings(members, rule).groupBy("key", "low", "high").applyInPandas(compare, "a long, b long")
 
 
 def near_duplicates(
@@ -353,11 +384,17 @@ def near_duplicates(
     ids = materialize(chosen(signed), "sets")
     reps = materialize(classes(signed, ids), "classes")
     banded = reps.select("rep", F.explode("bands").alias("key"))
-    buckets = banded.groupBy("key").agg(F.min("rep").alias("first"), F.count("*").alias("members"))
-    members = materialize(banded.join(buckets.filter("members > 1"), "key"), "buckets")
+    least, most = F.min("rep").alias("first"), F.max("rep").alias("last")
+    buckets = banded.groupBy("key").agg(least, most, F.count("*").alias("members")).filter("members > 1")
+    buckets = materialize(buckets, "buckets")
+    # Two members are known by their extremes; only larger buckets are filled again.
+    larger = materialize(buckets.filter("members > 2").select("key", "first"), "larger-buckets")
+    members = maybe_in(banded, F.col("key"), larger.select("key"), "maybe").filter("maybe")
+    members = materialize(members.select("key", "rep").join(larger, "key"), "members")
 
     sides = reps.select("rep", "n", "sketch")
-    stars = members.filter("rep <> first").groupBy("first", "rep").agg(F.lit(1).alias("x"))
+    stars = members.filter("rep <> first").select("first", "rep")
+    stars = stars.union(buckets.filter("members = 2 and first < last").select("first", "last")).distinct()
     stars = stars.join(sides.toDF("first", "n1", "s1"), "first").join(sides.toDF("rep", "n2", "s2"), "rep")
     likely = stars.filter(
         sizes_allow(F.col("n1"), F.col("n2"), rule) & (xor_bits(F.col("s1"), F.col("s2")) <= rule.most_bits)
@@ -367,17 +404,17 @@ def near_duplicates(
     state = components(links, "star-components")
 
     # Two members are the star itself; more may hold a pair that no star has tried.
-    labelled = (
-        members.filter("members > 2")
-        .join(state.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("key", "rep", F.coalesce("component", "rep").alias("component"))
+    labelled = members.join(state.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "key", "rep", F.coalesce("component", "rep").alias("component")
     )
     mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    left = materialize(labelled.join(mixed.filter("lo < hi").select("key"), "key"), "open-buckets")
-    in_left = left.select(F.col("rep").alias("id")).distinct()
-    sets = _shingle_sets(_texts(docs, doc_id, text, in_left), rule).withColumnRenamed("id", "rep")
-    sets = materialize(sets.join(reps.select("rep", "bands", "sketch"), "rep"), "open-sets")
-    more = materialize(_links_in_blocks(left.join(sets, "rep"), rule), "more-links")
+    left = materialize(labelled.join(mixed.filter("lo < hi").select("key"), "key").join(sides, "rep"), "open-buckets")
+    near = materialize(_in_likely_pairs(left, rule), "likely-members")
+    in_near = materialize(near.select(F.col("rep").alias("id")).distinct(), "likely-ids")
+    sets = _shingle_sets(_texts(docs, doc_id, text, in_near), rule).withColumnRenamed("id", "rep")
+    sets = materialize(sets.join(reps.select("rep", "bands"), "rep"), "likely-sets")
+    tried = left.join(near, ["key", "rep"]).join(sets, "rep")
+    more = materialize(_links_in_blocks(tried, rule), "more-links")
     state = components(links.union(more), "components")
 
     of_set = ids.groupBy("digest").agg(F.min("id").alias("node")).join(state, "node", "left")
@@ -399,5 +436,9 @@ def near_duplicates(
 def clean(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rule: Similar = Similar()) -> DataFrame:
     """The rows of ``docs`` whose document is kept."""
     judged = near_duplicates(docs, doc_id, text, rule)
-    gone = judged.filter("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[f"`{doc_id}`"].cast("long") == gone["__gone"], "left_anti")
+    gone = materialize(judged.filter("not kept").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
+    own = F.col(f"`{doc_id}`").cast("long")
+    flagged = maybe_in(docs, own, gone, "__maybe")
+    sure = flagged.filter("not __maybe").drop("__maybe")
+    tried = flagged.filter("__maybe").drop("__maybe").withColumn("__id", own)
+    return sure.union(tried.join(gone, F.col("__id") == F.col("__gone"), "left_anti").drop("__id"))
