@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -33,7 +34,7 @@ class Packing:
     length: int = 4096
     end: int = 2
     group: int = 4096
-    most_words: int = 1_000_000
+    most_words: int = 1_600_000
 
 
 def encoder(tokenizer: str, rule: Packing) -> Callable[[list[str | None]], Iterator[np.ndarray]]:
@@ -56,7 +57,7 @@ def encoder(tokenizer: str, rule: Packing) -> Callable[[list[str | None]], Itera
     def encode(texts: list[str | None]) -> Iterator[np.ndarray]:
         cut = [(t or "").replace("\n", " ").split(" ") for t in texts]
         new = list(set().union(*cut).difference(known))
-        ids = (np.array(e.ids, "<u4").tobytes() for e in model.encode_batch_fast(new, add_special_tokens=False))
+        ids = (array("I", e.ids).tobytes() for e in model.encode_batch_fast(new, add_special_tokens=False))
         fresh = dict(zip(new, ids, strict=True))
         if len(known) + len(fresh) <= rule.most_words:
             known.update(fresh)
@@ -64,7 +65,7 @@ def encoder(tokenizer: str, rule: Packing) -> Callable[[list[str | None]], Itera
         else:
             look = {w: known[w] if w in known else fresh[w] for w in set().union(*cut)}.__getitem__
         for parts in cut:
-            yield np.frombuffer(b"".join(map(look, parts)), "<u4")
+            yield np.frombuffer(b"".join(map(look, parts)), np.uint32)
 
     return encode
 
@@ -84,8 +85,8 @@ def pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer, rule)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
                 rows, texts = [], part.column(1).to_pylist()
                 given = zip(part.column(0).to_pylist(), part.column(2).to_pylist(), encode(texts), strict=True)
                 for doc, row, ids in given:
