@@ -9,8 +9,9 @@ A passage of at least twice ``words`` words that begins and ends with sentences
 found whole, wherever it is repeated.
 
 Hashes are counted with partial sums before the shuffle, so a passage that a third
-of all documents share is one row per task there; only repeated hashes meet the runs
-again, in a join that adaptive execution splits where one is hot.
+of all documents share is one row per task there; only runs that are likely repeats,
+by a bitmap of bounded size, meet the counts again, in a join that adaptive execution
+splits where one is hot. Texts without a repeat stay where they are.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagetables.llm.common import maybe_in
 from pagetables.session import materialize
 
 
@@ -126,7 +128,9 @@ def repeated_runs(docs: DataFrame, doc_id: str, text: str, rule: Spans) -> DataF
     found = materialize(hashed_runs(docs, doc_id, text, rule), "runs")
     place = F.struct("doc_id", "row", "first", "last")
     heads = found.groupBy("hash").agg(F.min(place).alias("head"), F.count("*").alias("n")).filter("n > 1")
-    again = found.join(heads.select("hash", "head"), "hash").filter(place != F.col("head"))
+    heads = materialize(heads.select("hash", "head"), "repeated-runs")
+    likely = maybe_in(found, F.col("hash"), heads.select("hash"), "maybe").filter("maybe").drop("maybe")
+    again = likely.join(heads, "hash").filter(place != F.col("head"))
     return again.groupBy("doc_id", "row").agg(F.collect_set(F.struct("first", "last")).alias("runs"))
 
 
@@ -139,8 +143,13 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rule: Spa
     make others so. Rows equal in id and text are one document, and are cleaned alike.
     Other columns are not read.
     """
-    gone = repeated_runs(docs, doc_id, text, rule)
-    joined = _given(docs, doc_id, text).join(gone, ["doc_id", "row"], "left")
+    gone = materialize(repeated_runs(docs, doc_id, text, rule), "covered")
+    # Texts without a repeat, the most of them, are not moved.
+    flagged = maybe_in(_given(docs, doc_id, text), F.col("row"), gone.select("row"), "maybe")
+    none = F.lit(None).cast(gone.schema["runs"].dataType).alias("runs")
+    sure = flagged.filter("not maybe").select("doc_id", "text", none)
+    tried = flagged.filter("maybe").join(gone, ["doc_id", "row"], "left").select("doc_id", "text", "runs")
+    joined = sure.union(tried)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
