@@ -192,7 +192,9 @@ def judge(docs: DataFrame, text: str = "text", rules: Rules = Rules()) -> DataFr
             ),
         ),
     )
-    return docs.withColumn("quality", judged)
+    # A generator is a border for the optimizer, which would else evaluate the whole
+    # judgement again for a filter on it and for each of its fields.
+    return docs.drop("quality").select("*", F.explode(F.array(judged)).alias("quality"))
 
 
 _MEASURES = (
