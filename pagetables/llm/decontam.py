@@ -109,6 +109,8 @@ def candidates(code: np.ndarray, index: Index) -> np.ndarray:
     found[found == len(index.grams)] = 0
     real = index.grams[found] == grams
     at, found = at[real], found[real]
+    if not len(at):
+        return np.empty((0, 3), np.int64)
     # One row for every place of the gram in an item.
     times = index.times[found]
     row = np.repeat(index.first[found] - np.r_[0, np.cumsum(times)[:-1]], times) + np.arange(times.sum())

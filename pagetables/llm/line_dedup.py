@@ -109,7 +109,7 @@ def dedup(
 
     # Behind a generator the cut is made once, however many of its fields are used.
     made = F.explode(F.array(let(line_hashes(F.col("whole")), cut))).alias("line_dedup")
-    return joined.withColumn("whole", whole).select("page.*", made)
+    return joined.withColumn("whole", whole).select("page", made).select("page.*", "line_dedup")
 
 
 def clean(

@@ -111,13 +111,13 @@ def assign(
     depth = F.coalesce("depth", F.lit(stop))
     prefix = F.expr(f"hash div cast(pow(2, {BITS} - coalesce(depth, {stop})) as bigint)")
     name = F.when(depth == 0, F.lit("root")).otherwise(F.lpad(F.bin(prefix), depth, F.lit("0")))
-    return placed.select(
-        "row.*",
-        F.struct(
-            "bytes", name.alias("shard"), depth.cast("long").alias("depth"),
-            F.coalesce("shard_bytes", "bytes").alias("shard_bytes"),
-        ).alias("shard"),
-    )
+    shard = F.struct(
+        "bytes",
+        name.alias("shard"),
+        depth.cast("long").alias("depth"),
+        F.coalesce("shard_bytes", "bytes").alias("shard_bytes"),
+    )
+    return placed.select("row", shard.alias("shard")).select("row.*", "shard")
 
 
 def write_shards(assigned: DataFrame, path: str) -> None:

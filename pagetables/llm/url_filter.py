@@ -117,13 +117,12 @@ def judge(
     best = F.max(F.struct("rank", F.length("rule").alias("length"), "rule", "action"))
     found = fits.groupBy("host", "path").agg(best.alias("best"))
     by_place = F.col("best.rank") == 1
-    return held.join(found, ["host", "path"], "left").select(
-        "page.*",
-        F.struct(
-            "host",
-            "path",
-            F.when(by_place, F.col("best.rule")).alias("rule"),
-            F.coalesce("best.action", F.lit(default)).alias("verdict"),
-            F.when(~by_place, F.col("best.rule")).alias("pattern"),
-        ).alias("verdict"),
+    verdict = F.struct(
+        "host",
+        "path",
+        F.when(by_place, F.col("best.rule")).alias("rule"),
+        F.coalesce("best.action", F.lit(default)).alias("verdict"),
+        F.when(~by_place, F.col("best.rule")).alias("pattern"),
     )
+    judged = held.join(found, ["host", "path"], "left").select("page", verdict.alias("verdict"))
+    return judged.select("page.*", "verdict")
