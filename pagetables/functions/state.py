@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -110,6 +111,33 @@ def _slugs_in(body: object) -> list[str]:
     return found
 
 
+# A string, or a mark that opens, closes or separates; other values are skipped.
+_TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"|[{}\[\],:]', re.DOTALL)
+
+
+def _slugs_by_tokens(body: str) -> list[str]:
+    """As ``_slugs_in``, token by token: for bodies nested too deeply to parse."""
+    found: dict[int, str] = {}
+    open_objects: list[int] = []  # number of each open object, -1 for a list
+    objects, key, text = 0, "", None
+    for token in _TOKEN.findall(body):
+        if token == ":":
+            key, text = text, None
+        elif token in "{[":
+            open_objects.append(objects if token == "{" else -1)
+            objects += token == "{"
+            key, text = "", None
+        elif token[0] == '"':
+            text = json.loads(token, strict=False)
+        else:
+            if key == "slug" and text and text.endswith(PAGE_SUFFIX) and open_objects and open_objects[-1] >= 0:
+                found[open_objects[-1]] = text
+            key, text = "", None
+            if token in "}]" and open_objects:
+                open_objects.pop()
+    return [found[i] for i in sorted(found)]
+
+
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def _slug_walk(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     def read(body: str | None) -> list[str]:
@@ -117,7 +145,9 @@ def _slug_walk(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             return []
         try:
             return _slugs_in(json.loads(body))
-        except (ValueError, RecursionError):
+        except RecursionError:
+            return _slugs_by_tokens(body)
+        except ValueError:
             return []
 
     for bodies in batches:
@@ -135,11 +165,29 @@ def recursive_slugs(body: Column) -> Column:
     return _slug_walk(F.when(possible, body))
 
 
-def flat_slugs(body: Column) -> Column:
-    """Page slugs of a JSON body in text order, by pattern.
+@F.pandas_udf(T.BooleanType())
+def _parses(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def read(body: str | None) -> bool:
+        if body is None:
+            return False
+        try:
+            json.loads(body)
+        except RecursionError:
+            return True
+        except ValueError:
+            return False
+        return True
+
+    for bodies in batches:
+        yield bodies.map(read).astype(bool)
+
+
+def is_json(body: Column) -> Column:
+    """Whether a body is JSON, as Python's parser has it.
 
-    Matches keys written without escapes and slugs without backslashes: the
-    form the listing API sends. Built in, so it serves the streams.
+    What VARIANT accepts is; it has limits of its own (size, depth, repeated keys,
+    NaN), so what it refuses is parsed once more. A body nested too deeply for that
+    counts as JSON; a null one does not.
     """
-    pattern = r'[{,]\s*"slug"\s*:\s*"([^"\\]*\.html)"'
-    return F.regexp_extract_all(body, F.lit(pattern), F.lit(1))
+    accepted = F.try_parse_json(body).isNotNull()
+    return accepted | _parses(F.when(~accepted, body))

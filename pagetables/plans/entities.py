@@ -45,7 +45,10 @@ def table_create_if_absent(spark: SparkSession, folder: str) -> DataFrame:
     create_if_absent(spark, name, schemas.ENTITY, path)
     entities(spark, folder).select(*schemas.ENTITY.names).write.insertInto(name)
     other = T.StructType([T.StructField("id", T.StringType())])
-    return create_if_absent(spark, name, other, path)
+    create_if_absent(spark, name, other, path)
+    # The catalog entry goes; the rows stay where they were written.
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema(schemas.ENTITY).parquet(path)
 
 
 @plan(ENTITY_SQL)

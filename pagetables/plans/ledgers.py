@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pagetables.functions import state as S
 from pagetables.operators import ledger
 from pagetables.plans.registry import plan
-from pagetables.sources.tables import api_responses, table
+from pagetables.sources.tables import api_responses, response_rejects, table
 
 API = "https://api.example.com/"
 
@@ -36,7 +36,16 @@ from events where event_type in ('purchase', 'view')
 """)
 def api_response_filter(spark: SparkSession, folder: str) -> DataFrame:
     kept = api_responses(responses(table(spark, folder, "events")))
-    return kept.select("event_id", "url", F.get(S.flat_slugs(F.col("body")), F.lit(0)).alias("slug"))
+    return kept.select("event_id", "url", F.explode(S.recursive_slugs(F.col("body"))).alias("slug"))
+
+
+@plan(f"""
+select event_id, '{API}search-product-service/items?user=' || user_id as url, 'not JSON' as reason
+from events where event_type = 'error'
+""")
+def response_reject_rows(spark: SparkSession, folder: str) -> DataFrame:
+    rejects = response_rejects(responses(table(spark, folder, "events")))
+    return rejects.select("event_id", "url", "reason")
 
 
 @plan("""

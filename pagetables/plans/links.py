@@ -12,7 +12,7 @@ from pagetables.operators import frontier as R
 from pagetables.operators import policy
 from pagetables.plans.markup import ANCHORS
 from pagetables.plans.registry import plan
-from pagetables.sources.tables import spread, table
+from pagetables.sources.tables import table
 
 SITE = "https://site.example.com"
 
@@ -34,7 +34,7 @@ from pages
 def resolve_links(spark: SparkSession, folder: str) -> DataFrame:
     """Anchors, query or fragment links, and a climb out of the page's folder,
     each read against its own page."""
-    pages = spread(table(spark, folder, "pages"), "page_id")
+    pages = table(spark, folder, "pages")
     url = F.col("url")
     tail = F.coalesce(F.nullif(F.regexp_extract(url, r"[?#].*$", 0), F.lit("")), F.lit("#end"))
     links = F.concat(
@@ -66,8 +66,8 @@ def sightings(spark: SparkSession, folder: str) -> list[DataFrame]:
     seeds = table(spark, folder, "pages").filter(L.is_page_link(F.col("url")))
     return [
         R.seed_sightings(seeds, "url", "page_id"),
-        R.page_sightings(spread(table(spark, folder, "pages"), "page_id"), "page_id", "html", base),
-        R.api_sightings(answers, "doc_id", S.flat_slugs(F.col("body")), base),
+        R.page_sightings(table(spark, folder, "pages"), "page_id", "html", base),
+        R.api_sightings(answers, "doc_id", S.recursive_slugs(F.col("body")), base),
     ]
 
 

@@ -391,7 +391,7 @@ def product_links(spark: SparkSession, folder: str) -> DataFrame:
     answers = table(spark, folder, "part").select(
         "p_size", F.to_json(F.struct(items.alias("items"))).alias("body")
     )
-    seen = R.api_sightings(answers, "p_size", S.flat_slugs(F.col("body")), F.lit(P.SITE))
+    seen = R.api_sightings(answers, "p_size", S.recursive_slugs(F.col("body")), F.lit(P.SITE))
     return R.first_sightings(seen)
 
 

@@ -13,7 +13,7 @@ from pagetables.plans.entities import ENTITY_SQL, entities
 from pagetables.plans.registry import plan
 from pagetables.session import fresh_path
 from pagetables.sources import sinks
-from pagetables.sources.tables import spread, table
+from pagetables.sources.tables import table
 
 # The whitespace class of ``functions.text`` in RE2 notation.
 SPACE_RE2 = (
@@ -30,7 +30,7 @@ LISTING_SCHEMA = T.StructType(
 
 @plan(f"select doc_id, trim(regexp_replace(text, '{SPACE_RE2}+', ' ', 'g')) as text from documents")
 def squash_whitespace(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table(spark, folder, "documents"), "doc_id").select("doc_id", X.squash(F.col("text")).alias("text"))
+    return table(spark, folder, "documents").select("doc_id", X.squash(F.col("text")).alias("text"))
 
 
 @plan(f"""
@@ -40,7 +40,7 @@ from documents
 """)
 def strip_ends(spark: SparkSession, folder: str) -> DataFrame:
     sentences = F.transform(F.split("text", r"\."), X.strip_ends)
-    return spread(table(spark, folder, "documents"), "doc_id").select(
+    return table(spark, folder, "documents").select(
         "doc_id", F.array_join(sentences, "|").alias("text")
     )
 
@@ -85,14 +85,13 @@ def parse_price(spark: SparkSession, folder: str) -> DataFrame:
 
 @plan("""
 select p_partkey,
-  string_split(p_name, ' ')[1] || case when p_size > 40 then '' else ' (' || p_size || 'mg)' end as label
+  p_name || case when p_size > 40 then '' else ' (' || p_size || 'mg)' end as label
 from part
 """)
 def label_pairs(spark: SparkSession, folder: str) -> DataFrame:
     strength = F.when(F.col("p_size") <= 40, F.concat(F.col("p_size").cast("string"), F.lit("mg")))
-    name = F.get(F.split("p_name", " "), F.lit(0))
     return table(spark, folder, "part").select(
-        "p_partkey", X.strength_label(name, strength).alias("label")
+        "p_partkey", X.strength_label(F.col("p_name"), strength).alias("label")
     )
 
 
@@ -112,15 +111,14 @@ def join_path(spark: SparkSession, folder: str) -> DataFrame:
 @plan("""
 select p_partkey, concat_ws(' | ', a, n, r) as flags
 from part left join (
-  select l_partkey, max(case when l_returnflag = 'A' and l_quantity = 50 then 'A' end) as a,
-         max(case when l_returnflag = 'N' and l_quantity = 50 then 'N' end) as n,
-         max(case when l_returnflag = 'R' and l_quantity = 50 then 'R' end) as r
+  select l_partkey, max(case when l_returnflag = 'A' then 'A' end) as a,
+         max(case when l_returnflag = 'N' then 'N' end) as n,
+         max(case when l_returnflag = 'R' then 'R' end) as r
   from lineitem group by l_partkey) on l_partkey = p_partkey
 """)
 def join_list(spark: SparkSession, folder: str) -> DataFrame:
-    """Return flags of each part's largest lines; parts without any get ''."""
-    full = table(spark, folder, "lineitem").filter("l_quantity = 50")
-    seen = full.groupBy(F.col("l_partkey").alias("p_partkey")).agg(
+    """Return flags of each part's lines; parts without any get ''."""
+    seen = table(spark, folder, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(
         *[F.max(F.when(F.col("l_returnflag") == f, f)).alias(f) for f in ("A", "N", "R")]
     )
     parts = table(spark, folder, "part").select("p_partkey").join(seen, "p_partkey", "left")

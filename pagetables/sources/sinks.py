@@ -40,8 +40,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    """One object per line, non-ASCII text as it is."""
-    df.write.json(path)
+    """One object per line, non-ASCII text as it is, nulls written out."""
+    df.write.json(path, ignoreNullFields=False)
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagetables.functions.state import API_HINT
+from pagetables.functions.state import API_HINT, is_json
 
 
 @cache
@@ -22,16 +22,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(_schema(spark, path)).parquet(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give every core a share of an input that has fewer splits than cores.
-
-    For costly row-by-row work over small files. An input of any size worth a
-    cluster has more splits than that and is not moved.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
 def create_if_absent(spark: SparkSession, name: str, schema: T.StructType, path: str) -> DataFrame:
     """Create an empty Parquet table; one of that name is left as it is, even if
     its schema differs."""
@@ -43,9 +33,20 @@ def create_if_absent(spark: SparkSession, name: str, schema: T.StructType, path:
 def api_responses(
     responses: DataFrame, url: str = "url", body: str = "body", hint: str = API_HINT
 ) -> DataFrame:
-    """Responses of the listing API; those that are not JSON are skipped."""
+    """Responses of the listing API; those that are not JSON are left to ``response_rejects``."""
+    return responses.filter(F.col(url).contains(hint)).filter(is_json(F.col(body)))
+
+
+def response_rejects(
+    responses: DataFrame, url: str = "url", body: str = "body", hint: str = API_HINT
+) -> DataFrame:
+    """Responses of the listing API without usable JSON, with the ``reason``.
+
+    With ``api_responses`` these are all responses that carry the hint.
+    """
     hinted = responses.filter(F.col(url).contains(hint))
-    return hinted.filter(F.try_parse_json(F.col(body)).isNotNull())
+    reason = F.when(F.col(body).isNull(), F.lit("no body")).otherwise(F.lit("not JSON"))
+    return hinted.filter(~is_json(F.col(body))).withColumn("reason", reason)
 
 
 def stream_table(

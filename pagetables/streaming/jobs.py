@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagetables.functions.links import resolve_slug
-from pagetables.functions.state import flat_slugs
+from pagetables.functions.state import recursive_slugs
 from pagetables.operators.keyed import latest
 from pagetables.session import fresh_path
 from pagetables.sources.tables import api_responses
@@ -46,7 +46,7 @@ def harvest(responses: DataFrame, base: Column, hint: str, within: str | None =
     for that long after its event time ``ts``, which bounds the state.
     """
     found = api_responses(responses, hint=hint).select(
-        "ts", F.explode(flat_slugs(F.col("body"))).alias("slug")
+        "ts", F.explode(recursive_slugs(F.col("body"))).alias("slug")
     )
     links = found.select("ts", resolve_slug(base, F.col("slug")).alias("url"))
     if within is None:

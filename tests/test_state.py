@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pagetables.functions import state as S
 from pagetables.operators import ledger, records
-from pagetables.sources.tables import api_responses
+from pagetables.sources.tables import api_responses, response_rejects
 
 
 def page(product=None, **props):
@@ -72,45 +72,38 @@ def test_full_record(spark):
     assert (nested.diem_danh_gia, nested.so_danh_gia, nested.so_binh_luan) == (5.0, 10, 29)
 
 
-def slugs_by_recursion(node):
-    found = []
-    if isinstance(node, dict):
-        if str(node.get("slug")).endswith(".html") and isinstance(node["slug"], str):
-            found.append(node["slug"])
-        for value in node.values():
-            found += slugs_by_recursion(value)
-    elif isinstance(node, list):
-        for value in node:
-            found += slugs_by_recursion(value)
-    return found
-
-
+# Bodies and the slugs in them, an object's own before those below it.
 BODIES = [
-    {"a": {"slug": "x.html"}, "b": [1, {"slug": "y.html"}, {"slug": "z"}]},
-    {"b": {"k": [{"slug": "in.html"}], "slug": "late.html"}, "a": {"slug": "z.html"}},
-    {"slug": {"slug": "deep.html"}},
-    [[[{"slug": "é.html"}]], "slug", None, {"slug": 5}],
-    {},
-]
+    ('{"a": {"slug": "x.html"}, "b": [1, {"slug": "y.html"}, {"slug": "z"}]}', ["x.html", "y.html"]),
+    ('{"b": {"k": [{"slug": "in.html"}], "slug": "late.html"}, "a": {"slug": "z.html"}}',
+     ["late.html", "in.html", "z.html"]),
+    ('{"slug": {"slug": "deep.html"}}', ["deep.html"]),
+    ('[[[{"slug": "é.html"}]], "slug", null, {"slug": 5}]', ["é.html"]),
+    ("{}", []),
+    ('{"slug":"a\\/b.html"}', ["a/b.html"]),
+    ('{"sl\\u0075g":"caf\\u00e9.html"}', ["café.html"]),
+    ('{"n": NaN, "slug": "nan.html"}', ["nan.html"]),
+    ('{"a":"x,\\"slug\\":\\"no.html\\""}', []),
+    ("[" * 100000 + '{"k": [{"slug": "in.html"}], "slug": "d\\u0041.html"}' + "]" * 100000, ["dA.html", "in.html"]),
+    ("not json with slug", []),
+    (None, []),
+]
 
 
 def test_recursive_slugs(spark):
-    deep = {"slug": "bottom.html"}
-    for _ in range(300):
-        deep = {"n": [deep]}
-    bodies = [*map(json.dumps, BODIES), json.dumps(deep), "not json with slug", None]
-    df = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "i int, b string")
+    df = spark.createDataFrame([(i, b) for i, (b, _) in enumerate(BODIES)], "i int, b string")
     found = [r[0] for r in df.orderBy("i").select(S.recursive_slugs(F.col("b"))).collect()]
-    assert found == [*map(slugs_by_recursion, BODIES), ["bottom.html"], [], []]
+    assert found == [slugs for _, slugs in BODIES]
 
 
-def test_flat_slugs_find_the_same_set(spark):
-    bodies = [b for b in BODIES if "é" not in json.dumps(b, ensure_ascii=False)]
-    df = spark.createDataFrame([(i, json.dumps(b)) for i, b in enumerate(bodies)], "i int, b string")
-    found = [r[0] for r in df.orderBy("i").select(S.flat_slugs(F.col("b"))).collect()]
-    assert [sorted(f) for f in found] == [sorted(slugs_by_recursion(b)) for b in bodies]
-    tricky = spark.createDataFrame([('{"a":"x,\\"slug\\":\\"no.html\\""}',)], "b string")
-    assert tricky.select(S.flat_slugs(F.col("b"))).first()[0] == []
+def test_responses_and_rejects_are_all(spark):
+    odd = ['{"slug":"a.html","slug":"b.html"}', '{"n":NaN}', '{"n":' * 1200 + "1" + "}" * 1200, "[" * 100000 + "]" * 100000]
+    bad = [("no body", None), ("not JSON", "<html>"), ("not JSON", '{"a":')]
+    rows = [("https://x/search-product-service", b) for b in [*odd, *(b for _, b in bad)]]
+    responses = spark.createDataFrame(rows, "url string, body string")
+    assert sorted(r.body for r in api_responses(responses).collect()) == sorted(odd)
+    found = [(r.reason, r.body) for r in response_rejects(responses).collect()]
+    assert sorted(found, key=repr) == sorted(bad, key=repr)
 
 
 def test_json_path_tells_types(spark):
