@@ -1,8 +1,9 @@
 """Markup to fields: Column expressions over an ``html`` string.
 
-Elements are cut out with regular expressions inside the JVM. An element that
-is never closed runs to the end of the page, as a browser would have it. Rules
-that need real nesting are in ``operators.rules``.
+Elements are found with regular expressions inside the JVM. One that holds no
+other of its name ends at the next end tag; otherwise the tags of that name are
+counted to the end tag that balances it. An element that is never closed runs to
+the end of the page, as a browser would have it.
 
 ``prepare`` is run once per page: it hides scripts, styles and comments and
 decodes every character reference but those that stand for markup characters.
@@ -14,6 +15,7 @@ from __future__ import annotations
 import html.entities
 import json
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,7 +29,11 @@ _HIDDEN = (
     r"|<(script|style)\b[^>]*+>[^<]*+(?:<(?!/\1\b)[^<]*+)*+(?:</\1[^>]*+>)?"
 )
 _BLOCK_START = r"(?i)<(?:p|li)(?=[\s>/])[^>]*>"
-_BLOCK_END = r"(?is)</(?:p|li|ul|ol|div|article|section|nav|main|body|html)\s*>.*\z"
+_BLOCK_OWN_END = r"</(?:p|li)\s*+>"
+_CONTAINER = "(?:ul|ol|div|article|section|nav|main|body|html)"
+# Elements that have no end tag.
+_VOID = "(?:area|base|br|col|embed|hr|img|input|link|meta|source|track|wbr)"
+_ANY_TAG = r"(?i)</?[a-z][^>]*+>"
 
 # The references that stand for markup characters; ``&amp;`` is
 # decoded last, so that what it uncovers is not decoded again.
@@ -165,14 +171,41 @@ def line_text(prepared: Column) -> Column:
     return F.array_join(lines, "\n")
 
 
+def _block_part(piece: Column) -> Column:
+    """``piece``, which follows a block's start tag, up to the end of the block."""
+    first_end = rf"(?is)(?:{_BLOCK_OWN_END}|</{_CONTAINER}\s*+>).*+\z"
+    upto_own = F.regexp_replace(piece, rf"(?is){_BLOCK_OWN_END}.*+\z", "")
+    return F.when(
+        upto_own.rlike(rf"(?i)<{_CONTAINER}(?=[\s/>])"),
+        _bound(upto_own, lambda own: _inside(own, rf"(?i)</?{_CONTAINER}(?=[\s/>])[^>]*+>")),
+    ).otherwise(F.regexp_replace(piece, first_end, ""))
+
+
 def block_lines(prepared: Column) -> Column:
     """Text of each ``<p>``/``<li>`` in page order, squashed, empty ones dropped.
 
-    A block ends at its end tag, at the next block, or with its container.
+    A block ends at its end tag, at the next block, or with a container that was
+    open before it. Text that goes on after an inner block, up to the end tag of
+    the outer one, is a line of its own.
     """
     pieces = F.split(prepared, _BLOCK_START)
     blocks = F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0)))
-    lines = F.transform(blocks, lambda b: squashed_text(F.regexp_replace(b, _BLOCK_END, "")))
+
+    def lines_of(piece: Column) -> Column:
+        return _bound(
+            _block_part(piece),
+            lambda block: F.array(
+                squashed_text(block),
+                squashed_text(
+                    F.regexp_extract(
+                        F.substr(piece, F.char_length(block) + 1),
+                        rf"(?is)\A</[^>]*+>(.*){_BLOCK_OWN_END}", 1,
+                    )
+                ),
+            ),
+        )
+
+    lines = F.flatten(F.transform(blocks, lines_of))
     return F.filter(lines, lambda line: line != "")
 
 
@@ -206,9 +239,83 @@ def _open_tag(tag: str | None, attr: str | None, value: str | None, match: str)
     return rf"<({name})(?=\s)[^>]*?\s{re.escape(attr)}\s*=\s*{given}[^>]*+>"
 
 
-def _matches(page: Column, pattern: str, group: int, value: str | None) -> Column:
-    """All matches in one scan; pages without the wanted value are not scanned."""
-    found = F.regexp_extract_all(page, F.lit(pattern), F.lit(group))
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with ``value`` evaluated once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _inside_length(tail: Column, tags: str | Column) -> Column:
+    """How many characters of ``tail`` lie before the end tag of the element it
+    starts in, counting the tags that fit ``tags``; all of them if it has none.
+    """
+    pattern = F.lit(tags) if isinstance(tags, str) else tags
+    pieces = F.zip_with(
+        F.split(tail, pattern),
+        F.regexp_extract_all(tail, pattern, F.lit(0)),
+        lambda text, tag: F.struct(
+            F.char_length(text).alias("text"),
+            F.coalesce(F.char_length(tag), F.lit(0)).alias("tag"),
+            F.when(tag.startswith("</"), -1)
+            .when(tag.rlike(rf"(?i)\A<{_VOID}[\s/>]|/>\z"), 0)
+            .when(tag.isNotNull(), 1)
+            .otherwise(0)
+            .alias("step"),
+        ),
+    )
+
+    def walk(at: Column, piece: Column) -> Column:
+        depth = at["depth"] + piece["step"]
+        length = at["length"] + piece["text"] + F.when(depth > 0, piece["tag"]).otherwise(0)
+        return F.when(at["depth"] == 0, at).otherwise(
+            F.struct(depth.alias("depth"), length.alias("length"))
+        )
+
+    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("length"))
+    return F.aggregate(pieces, start, walk)["length"]
+
+
+def _inside(tail: Column, tags: str | Column) -> Column:
+    return F.substr(tail, F.lit(1), _inside_length(tail, tags))
+
+
+def _tags_of(name: Column) -> Column:
+    return F.concat(F.lit("(?i)</?"), name, F.lit(r"(?=[\s/>])[^>]*+>"))
+
+
+def without(name: str) -> str:
+    """Pattern of markup in which no tag of a name starts or ends."""
+    return rf"[^<]*+(?:<(?!/?{name}[\s/>])[^<]*+)*+"
+
+
+def element(start_tag: str, group: int) -> str:
+    """Pattern that captures, at a start tag whose name is in ``group``, the tag
+    and what is inside; all the rest if an element of that name comes first.
+
+    It consumes one character, so elements inside the match are found as well.
+    """
+    own = without(rf"\{group}")
+    return rf"(?is)(?=({start_tag}(?:{own}(?=</\{group}[\s/>]|\z)|.*+)))<"
+
+
+def inside_element(found: Column) -> Column:
+    """What is inside the element that starts ``found`` (see ``element``)."""
+    name = F.lower(F.regexp_extract(found, r"\A<([A-Za-z0-9]+)", 1))
+    tail = F.regexp_replace(found, r"\A<[^>]*+>", "")
+    return (
+        F.when(found.rlike(rf"(?i)\A<{_VOID}[\s/>]"), "")
+        .when(found.rlike(r"(?i)\A<([a-z0-9]++)[^>]*+>" + without(r"\1") + r"\z"), tail)
+        .otherwise(_bound(tail, lambda t: _inside(t, _tags_of(name))))
+    )
+
+
+def _rule_element(
+    tag: str | None, attr: str | None = None, value: str | None = None, match: str = "="
+) -> str:
+    return element(_open_tag(tag, attr, value, match), 2)
+
+
+def _if_held(page: Column, value: str | None, found: Column) -> Column:
+    """Pages without the wanted value are not scanned."""
     return found if value is None else F.when(page.contains(value), found)
 
 
@@ -219,20 +326,101 @@ def all_inner(
     value: str | None = None,
     match: str = "=",
 ) -> Column:
-    """Markup inside every matching element, in page order.
-
-    One scan of the page, which also tells an empty element from a missing one.
-    """
-    inside = r"([^<]*+(?:<(?!/\1[\s>])[^<]*+)*+)(?:</\1[^>]*+>)?"
-    return _matches(page, "(?i)" + _open_tag(tag, attr, value, match) + inside, 2, value)
+    """Markup inside every matching element, in page order."""
+    pattern = _rule_element(tag, attr, value, match)
+    found = F.regexp_extract_all(page, F.lit(pattern), F.lit(1))
+    return F.transform(_if_held(page, value, found), inside_element)
 
 
-def first_inner(page: Column, *rule: str | None, **kw: str | None) -> Column:
+def first_inner(
+    page: Column,
+    tag: str | None,
+    attr: str | None = None,
+    value: str | None = None,
+    match: str = "=",
+) -> Column:
     """Markup inside the first matching element, or null if there is none.
 
     A rule is a tag (any, if None), an attribute, its value and how to match it.
     """
-    return F.get(all_inner(page, *rule, **kw), F.lit(0))
+    found = F.regexp_extract(page, _rule_element(tag, attr, value, match), 1)
+    return _bound(_if_held(page, value, found), lambda e: F.when(e != "", inside_element(e)))
+
+
+def rest_of_parent(
+    page: Column,
+    tag: str | None,
+    attr: str | None = None,
+    value: str | None = None,
+    match: str = "=",
+) -> Column:
+    """Markup of the siblings that follow the first matching element, or null.
+
+    Every end tag counts here, so a sibling that is left open takes in the next.
+    """
+    start = _open_tag(tag, attr, value, match)
+    found = _if_held(page, value, F.regexp_extract(page, rf"(?is){start}.*+", 0))
+
+    def after(e: Column) -> Column:
+        name = F.lower(F.regexp_extract(e, r"\A<([A-Za-z0-9]+)", 1))
+        tail = F.regexp_replace(e, r"\A<[^>]*+>", "")
+        return _bound(tail, lambda t: _after(t, _tags_of(name)))
+
+    return _bound(
+        found, lambda e: F.when(e != "", _bound(after(e), lambda t: _inside(t, _ANY_TAG)))
+    )
+
+
+def _after(tail: Column, tags: str | Column) -> Column:
+    """What follows the element that ``tail`` starts in."""
+    rest = F.substr(tail, _inside_length(tail, tags) + 1)
+    return F.regexp_replace(rest, r"\A<[^>]*+>", "")
+
+
+# Siblings that hold no others, and text between them.
+_FLAT = (
+    rf"[^<]*+(?:(?:<{_VOID}(?=[\s/>])[^>]*+>|<(?!div[\s/>])([a-z0-9]++)[^>]*+>[^<]*+</\1\s*+>)[^<]*+)*+"
+)
+
+
+def next_div(tail: Column) -> Column:
+    """Inside of the ``div`` that follows the one ``tail`` starts in, or null."""
+    found = F.regexp_extract(
+        _after(tail, DIV_TAGS), rf"(?is)\A{_FLAT}(<div(?=[\s>])[^>]*+>.*+)", 2
+    )
+    return _bound(found, lambda e: F.when(e != "", inside_element(e)))
+
+
+def last_div(head: Column) -> Column:
+    """Inside of the ``div`` that ``head`` ends with, or null: its tags are
+    counted from the end."""
+    tags = F.regexp_extract_all(head, F.lit(DIV_TAGS), F.lit(0))
+    sizes = F.zip_with(
+        F.concat(tags, F.array(F.lit(""))),
+        F.split(head, DIV_TAGS),
+        lambda tag, text: F.struct(
+            tag.alias("tag"), (F.char_length(text) + F.char_length(tag)).alias("length")
+        ),
+    )
+
+    def walk(at: Column, piece: Column) -> Column:
+        step = F.when(piece["tag"] == "", 0).when(piece["tag"].startswith("</"), 1).otherwise(-1)
+        depth = at["depth"] + step
+        done = (piece["tag"] != "") & (depth <= 0)
+        length = at["length"] + F.when(done, 0).otherwise(piece["length"])
+        return F.when(at["done"], at).otherwise(
+            F.struct(depth.alias("depth"), length.alias("length"), done.alias("done"))
+        )
+
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("length"), F.lit(False).alias("done"))
+    siblings = F.element_at(F.split(head, DIV_TAGS), -1).rlike(rf"(?is)\A{_FLAT}\z")
+    return _bound(
+        F.when(siblings, F.aggregate(F.reverse(sizes), start, walk)),
+        lambda at: F.when(at["done"] & (at["depth"] == 0), F.right(head, at["length"])),
+    )
+
+
+DIV_TAGS = r"(?i)</?div(?=[\s/>])[^>]*+>"
 
 
 def first_text(page: Column, *rule: str | None, **kw: str | None) -> Column:
@@ -256,7 +444,8 @@ def first_tag(
 ) -> Column:
     """The first matching start tag, or null if there is none."""
     pattern = "(?i)" + _open_tag(tag, attr, value, match)
-    return F.get(_matches(page, pattern, 0, value), F.lit(0))
+    found = F.regexp_extract(page, pattern, 0)
+    return _if_held(page, value, F.nullif(found, F.lit("")))
 
 
 def first_attr(page: Column, take: str, *rule: str | None, **kw: str | None) -> Column:

@@ -20,7 +20,8 @@ API_HINT = "search-product-service"
 
 # The known part of the state, as its records name it.
 # ``finalPrice`` stays a VARIANT so that an explicit null (a variant null) can
-# be told from an absent key (a SQL null).
+# be told from an absent key (a SQL null); prices and their marks are read as
+# VARIANT because ``380000.0`` and ``1`` are good ones too.
 STATE_SCHEMA = """
 props struct<pageProps struct<
   product struct<
@@ -30,7 +31,7 @@ props struct<pageProps struct<
     shortDescription string,
     categories array<struct<name string>>,
     ingredient array<struct<name string, shortDescription string>>,
-    prices array<struct<isSellDefault boolean, measureUnitName string, price bigint>>,
+    prices array<struct<isSellDefault variant, measureUnitName string, price variant>>,
     primaryImage struct<url string>,
     secondaryImages array<struct<url string>>>,
   content struct<usage string, dosage string, adverseEffect string,
@@ -43,9 +44,18 @@ props struct<pageProps struct<
 
 
 def state_json(page: Column, script_id: str = STATE_SCRIPT_ID) -> Column:
-    """Text of the state script, or null when the page has none."""
-    pattern = rf"(?is)<script\s(?:[^>]*?\s)?id\s*=\s*[\"']{script_id}[\"'][^>]*>(.*?)</script\s*>"
-    return F.nullif(F.regexp_extract(page, pattern, 1), F.lit(""))
+    """Text of the state script, or null when the page has none.
+
+    Comments and other scripts are stepped over, so what they hold is not found.
+    """
+    pattern = (
+        rf"(?is)<script\s(?:[^>]*?\s)?id\s*=\s*[\"']{script_id}[\"'][^>]*+>(.*?)</script\s*+>"
+        r"|<!--.*?(?:-->|\z)|<script\b[^>]*+>.*?(?:</script\s*+>|\z)"
+    )
+    found = F.regexp_extract_all(page, F.lit(pattern), F.lit(1))
+    return F.when(
+        page.contains(script_id), F.get(F.filter(found, lambda text: text != ""), F.lit(0))
+    )
 
 
 def page_props(page: Column) -> Column:
@@ -59,9 +69,20 @@ def json_path(body: Column, path: str, as_type: str) -> Column:
 
 
 def default_price(prices: Column) -> Column:
-    """The first price marked as the default, else the first, else null."""
-    marked = F.filter(prices, lambda p: p["isSellDefault"])
-    return F.coalesce(F.get(marked, F.lit(0)), F.get(prices, F.lit(0)))
+    """The first price marked as the default, else the first, else null.
+
+    ``true`` and any number but 0 are marks. The price comes out as a whole number.
+    """
+    marked = F.filter(prices, lambda p: F.try_variant_get(p["isSellDefault"], "$", "boolean"))
+    pick = F.coalesce(F.get(marked, F.lit(0)), F.get(prices, F.lit(0)))
+    held = F.transform(
+        F.filter(F.array(pick), lambda p: p.isNotNull()),
+        lambda p: F.struct(
+            p["measureUnitName"].alias("measureUnitName"),
+            F.try_variant_get(p["price"], "$", "bigint").alias("price"),
+        ),
+    )
+    return F.get(held, F.lit(0))
 
 
 def final_price(promotions: Column, list_price: Column) -> Column:

@@ -1,19 +1,20 @@
 """Keyed entity tables: copy-on-write changes, keys and constraints.
 
 Parquet tables reject UPDATE and DELETE, so each change is a new DataFrame over
-the old one; ``commit`` makes it durable as a new snapshot and never writes to
-the path being read. Joins carry no hints: a small batch of changes is
+the old one; ``KeyedTable.commit`` makes it durable as a new version and never
+writes to the path being read. Joins carry no hints: a small batch of changes is
 broadcast when Spark's size check allows it, and shuffled otherwise.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagetables.functions.text import contains_like
 from pagetables.operators.numbering import dense_index
-from pagetables.session import fresh_path
+from pagetables.session import exists
 
 
 # ---------------------------------------------------------------- ids
@@ -45,14 +46,58 @@ def truncate(table: DataFrame) -> DataFrame:
     return table.limit(0)
 
 
-def commit(table: DataFrame, name: str) -> DataFrame:
-    """Write a new snapshot and point the view ``name`` at it."""
-    spark = table.sparkSession
-    path = fresh_path(spark, name)
-    table.write.parquet(path)
-    snapshot = spark.read.schema(table.schema).parquet(path)
-    snapshot.createOrReplaceTempView(name)
-    return snapshot
+class KeyedTable:
+    """A table folder that lasts: versions of the rows, each with the highest id
+    ever given out, which deletions do not lower.
+
+    ``root`` lies apart from scratch data, and is all that another session needs
+    to open the table again. A version counts once its mark is written, which is
+    the last thing a commit does; one that breaks off is never read and its number
+    is used again. One writer at a time.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, key: str = "id"):
+        self.spark, self.root, self.schema, self.key = spark, root.rstrip("/"), schema, key
+
+    def _marks(self) -> DataFrame:
+        """``(version, high_water)``, one row per version."""
+        schema = "high_water bigint, version int"
+        if not exists(self.spark, f"{self.root}/marks"):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.root}/marks")
+
+    def version(self) -> int:
+        """Number of the last commit; 0 if there is none."""
+        return self._marks().agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+
+    def rows(self, version: int | None = None) -> DataFrame:
+        """The rows of a version, the last one if not named."""
+        version = self.version() if version is None else version
+        if version == 0:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(f"{self.root}/rows/version={version}")
+
+    def mark(self) -> DataFrame:
+        """One row holding the highest id ever given out (0 for none)."""
+        marks = self._marks()
+        return marks.select(F.coalesce(F.max("high_water"), F.lit(0).cast("bigint")).alias("high_water"))
+
+    def new_rows(self, rows: DataFrame, order: list[Column]) -> DataFrame:
+        """``rows`` with unused ids, in ``order``."""
+        return assign_ids(rows, order, self.mark(), self.key).select(*self.schema.names)
+
+    def commit(self, table: DataFrame) -> DataFrame:
+        """Write ``table`` as the next version and read it back."""
+        version = self.version() + 1
+        table.select(*self.schema.names).write.mode("overwrite").parquet(
+            f"{self.root}/rows/version={version}"
+        )
+        written = self.rows(version)
+        earlier = self.mark().withColumnRenamed("high_water", self.key)
+        high_water(written, earlier, key=self.key).write.mode("overwrite").parquet(
+            f"{self.root}/marks/version={version}"
+        )
+        return written
 
 
 # ---------------------------------------------------------------- changes
@@ -61,6 +106,8 @@ def latest(changes: DataFrame, key: str | list[str], order: list[str]) -> DataFr
     """The last change per key: one aggregate, combined before the shuffle."""
     keys = [key] if isinstance(key, str) else key
     others = [c for c in changes.columns if c not in keys]
+    if not others:
+        return changes.distinct()
     newest = F.max_by(F.struct(*others), F.struct(*order)).alias("__row")
     return changes.groupBy(*keys).agg(newest).select(*keys, "__row.*").select(*changes.columns)
 

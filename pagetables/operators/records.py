@@ -33,6 +33,7 @@ DETAIL_LABELS = [
 SECTION_CLASSES = [
     "description", "usage", "dosage", "careful", "preservation", "adverseEffect",
 ]
+CONTENT_ID = "content-wrapper"
 BRAND_LABEL = "Thương hiệu"
 BRAND_PATH = "/thuong-hieu/"
 
@@ -115,20 +116,29 @@ def simple_record(pages: DataFrame, url: str = "url", html: str = "html") -> Dat
 
 
 def detail_rows(page: Column, labels: list[str] = DETAIL_LABELS) -> Column:
-    """Map of label to value: the block after the one that holds the label.
+    """Map of label to value: the ``div`` after the one whose paragraph is the label.
 
     All labelled rows are cut out in one pass; for each label the first row
     counts, and empty values are dropped.
     """
     spaced = "|".join(r"\s+".join(re.escape(word) for word in label.split()) for label in labels)
-    label_cell = rf"<div[^>]*>\s*<p[^>]*>\s*(?:{spaced})\s*</p\s*>\s*</div\s*>"
-    cells = F.transform(
-        F.regexp_extract_all(page, F.lit(rf"(?is){label_cell}\s*<div[^>]*>.*?</div\s*>"), F.lit(0)),
-        lambda r: F.struct(
-            M.squashed_text(F.regexp_extract(r, r"(?is)<p[^>]*>([^<]*)</p", 1)).alias("label"),
-            M.squashed_text(F.regexp_extract(r, r"(?is)</p\s*>\s*</div\s*>(.*)\z", 1)).alias("value"),
-        ),
+    around = r"(?:\s|<(?!/?p[\s/>])[^>]*+>)*+"
+    label_cell = rf"<p(?=[\s>])[^>]*+>{around}(?:{spaced}){around}</p\s*+>"
+    simple = rf"\s*+</div\s*+>\s*+<div(?=[\s>])[^>]*+>({M.without('div')})"
+    rows = F.regexp_extract_all(
+        page, F.lit(rf"(?is)(?=({label_cell}(?:{simple}(?=</div[\s>]|\z)|.*+)))<"), F.lit(1)
     )
+
+    def cell(row: Column) -> Column:
+        rest = F.regexp_replace(row, rf"(?is)\A{label_cell}", "")
+        whole = rf"(?is)\A{simple}\z"
+        value = F.when(rest.rlike(whole), F.regexp_extract(rest, whole, 1)).otherwise(M.next_div(rest))
+        return F.struct(
+            M.squashed_text(F.regexp_extract(row, rf"(?is)\A{label_cell}", 0)).alias("label"),
+            M.squashed_text(value).alias("value"),
+        )
+
+    cells = F.filter(F.transform(rows, cell), lambda c: c["value"].isNotNull())
     return first_entries(cells, labels)
 
 
@@ -165,26 +175,37 @@ def section_map(page: Column, elements: dict[str, tuple[str, str | None, str | N
 
 
 def sections(page: Column, classes: list[str] = SECTION_CLASSES) -> Column:
-    """Map of class to text: the first section of each class that is present."""
-    return section_map(page, {c: ("div", "class", c) for c in classes})
+    """Map of class to text: the first section of each class in the page's content.
+
+    The content is cut out first, so that only it is searched for each class.
+    """
+    content = M.first_inner(page, None, "id", CONTENT_ID)
+    held = F.transform(
+        F.array(content), lambda c: section_map(c, {name: ("div", "class", name) for name in classes})
+    )
+    return F.get(held, F.lit(0))
 
 
 def brand_origin(page: Column) -> Column:
-    """Text of the block that precedes the brand row."""
-    pair = (
-        r"(?is)<div[^>]*>\s*(<span[^>]*>[^<]*</span\s*>)\s*</div\s*>"
-        rf"\s*<div[^>]*>\s*<span[^>]*>[^<]*{BRAND_LABEL}"
+    """Text of the first span in the ``div`` that precedes the brand row."""
+    first = BRAND_LABEL[0]
+    row = (
+        rf"<(?i:div)(?=[\s>])[^>]*+>[^<]*+(?:<(?!/?(?i:div|span)[\s/>])[^<]*+)*+<(?i:span)[^>]*+>"
+        rf"[^<{first}]*+(?:(?!</?(?i:div)[\s/>]|{BRAND_LABEL})[<{first}][^<{first}]*+)*+{BRAND_LABEL}"
+    )
+    head = F.when(page.contains(BRAND_LABEL), F.split(page, row, 2))
+    return F.get(
+        F.transform(
+            F.filter(F.array(head), lambda h: F.size(h) == 2),
+            lambda h: M.first_text(M.last_div(F.get(h, F.lit(0))), "span"),
+        ),
+        F.lit(0),
     )
-    return M.squashed_text(F.get(F.regexp_extract_all(page, F.lit(pair), F.lit(1)), F.lit(0)))
 
 
 def after_sku(page: Column) -> Column:
-    """Markup of the spans that follow the SKU among its siblings."""
-    tail = (
-        r"(?is)<span\s[^>]*data-test-id\s*=\s*[\"']sku[\"'][^>]*>.*?</span\s*>"
-        r"((?:\s*<span[^>]*>[^<]*</span\s*>)*+)"
-    )
-    return F.regexp_extract(page, tail, 1)
+    """Markup of the siblings that follow the SKU."""
+    return M.rest_of_parent(page, "span", "data-test-id", "sku")
 
 
 def spans_of(markup: Column, css_class: str) -> Column:
@@ -242,6 +263,28 @@ def with_state(pages: DataFrame, html: str = "html") -> DataFrame:
     return pages.select(*others, F.explode(products).alias("state"))
 
 
+NO_STATE, BAD_STATE, NO_PRODUCT = "page holds no state", "state is not JSON", "state holds no product"
+
+
+def state_rejects(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """``(url, reason)`` of the pages that ``with_state`` leaves out."""
+    # Past the generator no filter is pushed, so the script is cut out once.
+    read = pages.select(
+        F.col(url).alias("url"),
+        F.col(html).isNull().alias("no_page"),
+        F.explode(F.array(S.state_json(F.col(html)))).alias("text"),
+    )
+    product = F.from_json("text", S.STATE_SCHEMA)["props"]["pageProps"]["product"]
+    without = read.filter(product.isNull())
+    reason = (
+        F.when(F.col("no_page"), F.lit(MISSING_PAGE))
+        .when(F.col("text").isNull(), F.lit(NO_STATE))
+        .when(~S.is_json(F.col("text")), F.lit(BAD_STATE))
+        .otherwise(F.lit(NO_PRODUCT))
+    )
+    return without.select("url", reason.alias("reason"))
+
+
 # Columns of the flat and the nested product record, and where each
 # comes from: a path of the state, or a fact named in ``product_facts``.
 FLAT_FIELDS = {

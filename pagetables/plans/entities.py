@@ -127,9 +127,28 @@ from ({SUPPLIER_ROWS_SQL})
 """)
 def append_rows(spark: SparkSession, folder: str) -> DataFrame:
     old = entities(spark, folder)
-    rows = keyed.assign_ids(new_rows(spark, folder), [F.col("s_suppkey")], keyed.high_water(old))
-    grown = keyed.append(old, rows.select(*old.columns))
-    return keyed.commit(grown, "entities_appended")
+    held = keyed.KeyedTable(spark, fresh_path(spark, "entities"), schemas.ENTITY)
+    first = held.commit(old)
+    return held.commit(keyed.append(first, held.new_rows(new_rows(spark, folder), [F.col("s_suppkey")])))
+
+
+@plan(f"""
+select * from ({ENTITY_SQL}) where id < (select max(c_custkey) from customer)
+union all
+select (select max(c_custkey) from customer) + row_number() over (order by s_suppkey), name, age, major
+from ({SUPPLIER_ROWS_SQL})
+""")
+def append_after_delete(spark: SparkSession, folder: str) -> DataFrame:
+    """The top id is deleted and committed; who opens the table next goes on above it."""
+    root = fresh_path(spark, "entities")
+    held = keyed.KeyedTable(spark, root, schemas.ENTITY)
+    first = held.commit(entities(spark, folder))
+    top = held.mark().withColumnRenamed("high_water", "id")
+    held.commit(keyed.delete_by_key(first, top, "id"))
+    again = keyed.KeyedTable(spark, root, schemas.ENTITY)
+    return again.commit(
+        keyed.append(again.rows(), again.new_rows(new_rows(spark, folder), [F.col("s_suppkey")]))
+    )
 
 
 UPDATE_SQL = """

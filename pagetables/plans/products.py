@@ -111,6 +111,15 @@ def default_pick(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@plan(f"""
+select url, case when {P.BROKEN_STATE} then '{records.BAD_STATE}' else '{records.NO_STATE}' end as reason
+from ({BLOCKED})
+""")
+def state_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages that give no state record, and why."""
+    return records.state_rejects(P.product_pages(spark, folder))
+
+
 @plan(f"select p_partkey as page_id, unit, list_price from ({PRODUCTS})")
 def default_price(spark: SparkSession, folder: str) -> DataFrame:
     pick = S.default_price(F.col("state.product.prices"))

@@ -75,7 +75,7 @@ def _price(unit: str) -> str:
     default = str(unit == DEFAULT_UNIT).lower()
     return (
         f"if(price_{unit} IS NULL, null, named_struct('isSellDefault', {default}, "
-        f"'measureUnitName', 'unit {unit}', 'price', price_{unit}))"
+        f"'measureUnitName', 'unit {unit}', 'price', cast(price_{unit} AS double)))"
     )
 
 
@@ -122,7 +122,7 @@ def _shown(price: str) -> str:
 
 
 def _row(label: str, value: str) -> str:
-    return f"'<div><div><p> {label} </p></div><div><b>', {value}, '</b></div></div>'"
+    return f"'<div><div><p> {label} </p></div><div><div><b>', {value}, '</b></div></div></div>'"
 
 
 PAGE = f"""
@@ -130,15 +130,15 @@ concat('<!DOCTYPE html><html><head><title>', p_name, '</title>',
   coalesce(concat('<meta property="og:image" content="', {MAIN_IMAGE}, '">'), ''),
   '<!-- <h1 data-test="product_name">old</h1> --></head><body>',
   '<h1 data-test="product_name">', p_name, '</h1>',
-  '<section><div><span>', n_name, '</span></div>',
+  '<div class="usage">menu</div><section><div><i></i><div><span>', n_name, '</span></div></div>',
   '<div><span>{BRAND_LABEL}: </span><a href="{BRAND_PATH}', translate(p_brand, '#', '-'), '">',
   p_brand, '</a></div></section>',
   '<div><span data-test-id="sku">', {SKU}, '</span>',
-  '<span class="inline-flex items-center">', floor(quantity / reviews), '</span>',
+  '<span class="inline-flex items-center"><i class="star"></i><span>', floor(quantity / reviews), '</span></span>',
   if(p_size > 3, concat('<span class="cursor-pointer">', reviews, ' đánh giá</span>'), ''),
   '<span class="cursor-pointer">', comments, ' bình luận</span></div>',
-  '<span data-test="price">', {_shown(f"if(best_discount >= 10, low_price, {LIST_PRICE})")},
-  '</span>/<span data-test="unit">unit ',
+  '<span data-test="price"><span>', {_shown(f"if(best_discount >= 10, low_price, {LIST_PRICE})")},
+  '</span><i></i></span>/<span data-test="unit">unit ',
   CASE WHEN price_R IS NOT NULL THEN 'R' WHEN price_A IS NOT NULL THEN 'A' ELSE 'N' END, '</span>',
   if(best_discount >= 10,
      concat('<div data-test="strike_price"><p>', {_shown(LIST_PRICE)}, '</p></div>'), ''),
@@ -146,13 +146,20 @@ concat('<!DOCTYPE html><html><head><title>', p_name, '</title>',
   {_row("Số đăng ký", "p_partkey, '/', p_size")},
   {_row("Danh mục", "p_type")},
   {_row("Nhà sản xuất", "s_name")}, '</section>',
-  '<div id="content-wrapper"><div class="usage">For <b>', p_name, '</b> use.</div>',
+  '<div id="content-wrapper"><div class="usage"><div>For <b>', p_name, '</b></div> use.</div>',
   '<div class="box dosage"> take ', p_size, ' a day </div></div>',
+  '<!-- <script id="{STATE_SCRIPT_ID}">{{"props":1}}</script> -->',
   '<script id="{STATE_SCRIPT_ID}" type="application/json">', replace(state, '<', '\\\\u003c'),
   '</script></body></html>')
 """
 
-BLOCKED_PAGE = "'<html><head><title>Blocked</title></head><body>Please wait</body></html>'"
+# Some of the pages without a product hold a state that breaks off.
+BROKEN_STATE = "p_partkey % 2 = 0"
+BLOCKED_PAGE = f"""
+concat('<html><head><title>Blocked</title></head><body>Please wait', if({BROKEN_STATE},
+  '<script id="{STATE_SCRIPT_ID}" type="application/json">{{"props":{{"pageProps":{{"product"</script>', ''),
+  '</body></html>')
+"""
 
 
 def product_pages(spark: SparkSession, folder: str) -> DataFrame:

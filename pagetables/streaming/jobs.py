@@ -1,7 +1,7 @@
 """Harvest, upsert and run summary as Structured Streaming jobs.
 
-Sinks and checkpoints lie in the shared folder, so a lost executor or a
-restarted driver resumes from the last committed batch.
+Each job names the folder it lives in. Sink and checkpoint lie there, so a lost
+executor or a restarted driver goes on after the last committed batch.
 """
 
 from __future__ import annotations
@@ -15,18 +15,18 @@ from pyspark.sql import types as T
 from pagetables.functions.links import resolve_slug
 from pagetables.functions.state import recursive_slugs
 from pagetables.operators.keyed import latest
-from pagetables.session import fresh_path
+from pagetables.session import exists
 from pagetables.sources.tables import api_responses
 
-# Our parameters: how late a row may come, and the width of a summary window.
-WATERMARK = "10 minutes"
+# Our parameters: the width of a summary window, and after how many batches a
+# ledger is brought together.
 WINDOW = "1 hour"
+COMPACT_EVERY = 16
 
 
-def run_to_table(stream: DataFrame, label: str) -> DataFrame:
-    """Drain ``stream`` into Parquet files, exactly once, and read them."""
+def run_to_table(stream: DataFrame, root: str) -> DataFrame:
+    """Drain ``stream`` into Parquet files under ``root``, exactly once, and read them."""
     spark = stream.sparkSession
-    root = fresh_path(spark, label)
     query = (
         stream.writeStream.format("parquet")
         .outputMode("append")
@@ -39,62 +39,142 @@ def run_to_table(stream: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{root}/data")
 
 
+def sightings(responses: DataFrame, base: Column, hint: str) -> DataFrame:
+    """``(ts, url)`` of every link that a response names."""
+    found = api_responses(responses, hint=hint).select(
+        "ts", F.explode(recursive_slugs(F.col("body"))).alias("slug")
+    )
+    return found.select("ts", resolve_slug(base, F.col("slug")).alias("url"))
+
+
 def harvest(responses: DataFrame, base: Column, hint: str, within: str | None = None) -> DataFrame:
     """Each link once, as the responses that name it come in.
 
     Without ``within`` every link is remembered. With it, a link is remembered
-    for that long after its event time ``ts``, which bounds the state.
+    for that long after its event time ``ts``, which bounds the state. A ``Ledger``
+    fed with ``sightings`` keeps each link once without any state.
     """
-    found = api_responses(responses, hint=hint).select(
-        "ts", F.explode(recursive_slugs(F.col("body"))).alias("slug")
-    )
-    links = found.select("ts", resolve_slug(base, F.col("slug")).alias("url"))
+    links = sightings(responses, base, hint)
     if within is None:
         return links.select("url").dropDuplicates(["url"])
     return links.withWatermark("ts", within).dropDuplicatesWithinWatermark(["url"])
 
 
 def run_summary(
-    results: DataFrame, at: str, tool: str, ok: Column, seconds: Column,
-    window: str = WINDOW, watermark: str = WATERMARK,
+    results: DataFrame, at: str, tool: str, ok: Column, seconds: Column, window: str = WINDOW
 ) -> DataFrame:
-    """Per window and tool: pages, good pages and busy seconds, once it is closed."""
+    """Per window and tool: pages, good pages and busy seconds.
+
+    Sums over some of the rows, such as those of one micro-batch, add up to the
+    sums over all of them, however late a row comes.
+    """
     return (
-        results.withWatermark(at, watermark)
-        .groupBy(F.window(at, window).alias("w"), F.col(tool).alias("tool"))
+        results.groupBy(F.window(at, window).alias("w"), F.col(tool).alias("tool"))
         .agg(
             F.count("*").alias("pages"),
             F.count_if(ok).alias("ok_pages"),
-            F.sum(seconds.cast("decimal(18,2)")).cast("double").alias("busy_s"),
+            F.sum(seconds.cast("decimal(18,2)")).alias("busy_s"),
         )
         .select(F.col("w.start").alias("window_start"), "tool", "pages", "ok_pages", "busy_s")
     )
 
 
-class KeyedLedger:
-    """A ledger kept as one set of changes per micro-batch.
+Merge = Callable[[DataFrame, list[str]], DataFrame]
+
+
+def newest(*order: str) -> Merge:
+    """Per key the row with the greatest ``order``; the later batch if they tie."""
+    return lambda rows, keys: latest(rows, keys, [*order, "batch"])
+
+
+def totals(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Per key the sums of all other columns, each in its own type."""
+    sums = [
+        F.sum(f.name).cast(f.dataType).alias(f.name)
+        for f in rows.schema.fields
+        if f.name not in keys and f.name != "batch"
+    ]
+    merged = rows.groupBy(*keys).agg(*sums, F.max("batch").alias("batch"))
+    return merged.select(*rows.columns)
 
-    A batch writes only its own newest row per key, to a folder named by the
-    batch id: replaying it overwrites that folder with the same rows, and no
-    batch rewrites what is already there. The current state is the newest
-    change per key, one aggregate that combines before its shuffle.
+
+class Ledger:
+    """A table with one row per key, kept as one set of changes per micro-batch.
+
+    A batch writes only its own merged rows, to a folder named by the batch id:
+    replaying it overwrites that folder with the same rows. Every
+    ``compact_every`` batches the changes since the last snapshot are merged into a
+    new one; a snapshot counts once its mark is written. Reading merges the
+    last snapshot with the changes after it: one aggregate that combines before its
+    shuffle. Rows with a null in their key go to ``rejects``.
+
+    ``merge`` must not care in which order, or in how many steps, rows are merged.
     """
 
-    def __init__(self, spark: SparkSession, schema: T.StructType, keys: list[str], order: list[str],
-                 root: str | None = None):
-        self.spark = spark
-        self.keys = keys
-        self.order = order
-        self.schema = schema
-        self.root = root or fresh_path(spark, "ledger")
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        schema: T.StructType,
+        keys: list[str],
+        merge: Merge,
+        compact_every: int = COMPACT_EVERY,
+    ):
+        self.spark, self.root, self.schema, self.keys = spark, root.rstrip("/"), schema, keys
+        self.merge, self.compact_every = merge, compact_every
+        self.stored = T.StructType(schema.fields + [T.StructField("batch", T.LongType())])
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
-        complete = batch.select(*self.schema.names).dropna(subset=self.keys)
-        changes = latest(complete, self.keys, self.order)
-        changes.write.mode("overwrite").parquet(f"{self.root}/changes/batch={batch_id}")
+        rows = batch.select(*self.schema.names).withColumn("batch", F.lit(batch_id).cast("bigint"))
+        complete = F.lit(True)
+        for key in self.keys:
+            complete = complete & F.col(key).isNotNull()
+        merged = self.merge(rows.filter(complete), self.keys)
+        merged.drop("batch").write.mode("overwrite").parquet(f"{self.root}/changes/batch={batch_id}")
+        rows.filter(~complete).drop("batch").write.mode("overwrite").parquet(
+            f"{self.root}/rejects/batch={batch_id}"
+        )
+        if (batch_id + 1) % self.compact_every == 0:
+            self._compact(batch_id)
+
+    def _compact(self, upto: int) -> None:
+        """Write the state after batch ``upto``; a replay writes the same again."""
+        merged = self.merge(self._pieces(upto), self.keys)
+        merged.write.mode("overwrite").parquet(f"{self.root}/snapshots/upto={upto}")
+        mark = self.spark.range(1).select(F.lit(True).alias("done"))
+        mark.write.mode("overwrite").parquet(f"{self.root}/marks/upto={upto}")
+
+    def last_snapshot(self, before: int | None = None) -> int:
+        """The batch up to which rows are in a snapshot; -1 if there is none."""
+        if not exists(self.spark, f"{self.root}/marks"):
+            return -1
+        marks = self.spark.read.schema("done boolean, upto bigint").parquet(f"{self.root}/marks")
+        earlier = marks if before is None else marks.filter(F.col("upto") < before)
+        return earlier.agg(F.coalesce(F.max("upto"), F.lit(-1))).first()[0]
+
+    def _pieces(self, upto: int | None = None) -> DataFrame:
+        """The last snapshot and the changes after it, as after batch ``upto``."""
+        start = self.last_snapshot(upto)
+        later = self._read("changes").filter(F.col("batch") > start)
+        if upto is not None:
+            later = later.filter(F.col("batch") <= upto)
+        if start < 0:
+            return later
+        snapshot = self.spark.read.schema(self.stored).parquet(f"{self.root}/snapshots/upto={start}")
+        return snapshot.unionByName(later)
+
+    def _read(self, part: str) -> DataFrame:
+        path = f"{self.root}/{part}"
+        if not exists(self.spark, path):
+            return self.spark.createDataFrame([], self.stored)
+        return self.spark.read.schema(self.stored).parquet(path)
+
+    def drain(self, stream: DataFrame, prepare: Callable[[DataFrame], DataFrame] | None = None) -> None:
+        """Take in all that ``stream`` holds now; ``prepare`` runs on each batch."""
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            self.write_batch(prepare(batch) if prepare else batch, batch_id)
 
-    def drain(self, stream: DataFrame) -> None:
-        write: Callable[[DataFrame, int], None] = self.write_batch
         query = (
             stream.writeStream.foreachBatch(write)
             .option("checkpointLocation", f"{self.root}/checkpoint")
@@ -103,9 +183,9 @@ class KeyedLedger:
         )
         query.awaitTermination()
 
-    def changes(self) -> DataFrame:
-        stored = T.StructType(self.schema.fields + [T.StructField("batch", T.LongType())])
-        return self.spark.read.schema(stored).parquet(f"{self.root}/changes")
+    def rejects(self) -> DataFrame:
+        return self._read("rejects")
 
     def current(self) -> DataFrame:
-        return latest(self.changes(), self.keys, [*self.order, "batch"]).drop("batch")
+        """One row per key."""
+        return self.merge(self._pieces(), self.keys).drop("batch")

@@ -10,6 +10,7 @@ from pagetables.session import fresh_path, shared_dir
 from pagetables.sources import sinks
 from pagetables.sources.tables import create_if_absent
 
+# The first rows of the entity table.
 PEOPLE = [
     ("Nguyen Van An", 20, "IT"), ("Tran Thi Binh", 21, "AI"), ("Le Van Cuong", 20, "SE"),
     ("Pham Thi Dung", 22, "DS"), ("Hoang Van Em", 21, "IT"),
@@ -66,10 +67,23 @@ def test_lookup_delete_upsert(spark, people):
     assert once.count() == 6
 
 
-def test_commit_leaves_the_old_snapshot(spark, people):
-    first = keyed.commit(people, "people")
-    second = keyed.commit(first.filter("id > 2"), "people")
-    assert (first.count(), second.count(), spark.table("people").count()) == (5, 3, 3)
+def test_table_keeps_its_versions_and_its_mark(spark, people):
+    root = fresh_path(spark, "people")
+    held = keyed.KeyedTable(spark, root, schemas.ENTITY)
+    assert (held.version(), held.rows().count(), held.mark().first()[0]) == (0, 0, 0)
+    held.commit(people)
+    held.commit(held.rows().filter("id < 5"))
+    again = keyed.KeyedTable(spark, root, schemas.ENTITY)
+    one = spark.createDataFrame([("New", 30, "IT")], "name string, age int, major string")
+    grown = again.commit(keyed.append(again.rows(), again.new_rows(one, [F.col("name")])))
+    assert sorted(r.id for r in grown.collect()) == [1, 2, 3, 4, 6]
+    again.commit(keyed.truncate(grown))
+    assert [r.id for r in again.new_rows(one, [F.col("name")]).collect()] == [7]
+    assert again.rows(1).count() == 5
+    # A commit that broke off before its mark is not there.
+    people.write.parquet(f"{root}/rows/version=5")
+    assert (again.version(), again.rows().count()) == (4, 0)
+    assert again.commit(people).count() == 5
 
 
 def test_create_if_absent_keeps_the_first_schema(spark):

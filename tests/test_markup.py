@@ -24,6 +24,9 @@ def one(spark, fn, page):
         ("<p>1 &lt; 2 &amp;amp; 3</p>", "1 < 2 &amp; 3"),
         ("<script>var t='</p><p>x';</script><P class=q>Y</P>", "Y"),
         ("<pre>no block</pre>", "no block"),
+        ("<li><div>a</div> b</li><li>c<p>d</p>e</li>", "a b\nc\nd\ne"),
+        ("<div><p>a</div>b<ul><li>c<ul><li>d</li></ul>e</li></ul>f", "a\nc\nd\ne"),
+        ("<li><div><div>a</div>b</div>c</li>d", "abc"),
     ],
 )
 def test_block_text(spark, page, text):
@@ -101,12 +104,79 @@ def test_detail_rows_and_sections(spark):
         "<div><p>\n Số đăng   ký </p></div><div>12/3</div>"
         "<div><p>Danh mục</p></div><div> </div>"
         "<div><p>Số đăng ký</p></div><div>second</div><div><p>Other</p></div><div>no</div></div>"
-        "<div class='usage'>H<p>use</p></div><div class='usages'>no</div>"
+        "<div id='content-wrapper'><div class='usage'>H<p>use</p></div><div class='usages'>no</div></div>"
     )
     assert one(spark, records.detail_rows, page) == {"Số đăng ký": "12/3"}
     assert one(spark, records.sections, page) == {"usage": "Huse"}
 
 
+@pytest.mark.parametrize(
+    ("page", "inner"),
+    [
+        ("x<div class='q'><div>a</div><div>b</div></div>c", "<div>a</div><div>b</div>"),
+        ("<DIV class='q'><div>a</Div>b", "<div>a</Div>b"),
+        ("<div class='q'><divan>a</divan></div>b", "<divan>a</divan>"),
+        ("<span class='q'><span/>a</span>b", "<span/>a"),
+        ("<img class='q'>b", ""),
+        ("<i class='q'></i>b", ""),
+        ("<i>b</i>", None),
+        ("<div class='q'>" * 3 + "a" + "</div>" * 2 + "b</div>c", "<div class='q'><div class='q'>a</div></div>b"),
+        (None, None),
+    ],
+)
+def test_elements_are_balanced(spark, page, inner):
+    assert one(spark, lambda p: M.first_inner(p, None, "class", "q"), page) == inner
+
+
+def test_all_elements_with_nested_ones(spark):
+    page = "<div class='q'>a<div class='q'>b</div></div><div>c</div><p class='q'>d</p>"
+    found = one(spark, lambda p: M.all_inner(p, None, "class", "q"), page)
+    assert found == ["a<div class='q'>b</div>", "b", "d"]
+
+
+def test_long_and_deep_markup(spark):
+    deep = "<div class='q'>" + "<div>" * 3000 + "x" * 100_000 + "</div>" * 3000 + "y</div>z"
+    assert one(spark, lambda p: M.first_text(p, "div", "class", "q"), deep) == "x" * 100_000 + "y"
+
+
+def test_price_of_nested_spans(spark):
+    page = "<span data-test=\"price\"><span>380.000đ</span>/<span>Hộp</span></span>tail"
+    assert one(spark, lambda p: M.first_text(p, None, "data-test", "price"), page) == "380.000đ/Hộp"
+
+
+def test_details_and_sections_with_inner_markup(spark):
+    page = (
+        "<div class='usage'>menu</div><div>"
+        "<div><i></i><p><b>Quy cách</b></p><div>?</div></div><span>:</span>"
+        "<div><div>Hộp</div><div>8 ống</div></div>"
+        "<div><p>Danh mục</p></div></div><div>not a sibling</div>"
+        "<div><p>Danh mục</p></div><div><div>x</div></div>"
+        "<div id='content-wrapper'><div><div class='a dosage'><div>a</div><div>b</div></div></div>"
+        "<div class='usage'>real</div></div><div class='careful'>outside</div>"
+    )
+    assert one(spark, records.detail_rows, page) == {"Quy cách": "Hộp8 ống", "Danh mục": "x"}
+    assert one(spark, records.sections, page) == {"usage": "real", "dosage": "ab"}
+
+
+def test_siblings_with_inner_markup(spark):
+    page = (
+        "<h1 data-test='product_name'>N</h1><section>"
+        "<div><div><i></i><span>Nhật <b>Bản</b></span></div></div> <i>.</i>"
+        "<div><b>x</b><span><i></i>Thương hiệu: </span><a href='/thuong-hieu/a'>A</a></div></section>"
+        "<div><span data-test-id='sku'><span>0</span>1</span><b>-</b>"
+        "<span class='inline-flex'><svg><path/></svg><span>5</span></span><br>"
+        "<span class='cursor-pointer'><i></i>10 đánh giá</span><div>"
+        "</div><span class='cursor-pointer'>80 bình luận</span></div>"
+        "<span class='cursor-pointer'>other</span>"
+    )
+    row = records.dom_record(spark.createDataFrame([("u", page)], "url string, html string")).first()
+    assert (row.sku, row.xuat_xu, row.diem_danh_gia) == ("01", "Nhật Bản", "5")
+    assert (row.so_danh_gia, row.so_binh_luan) == ("10 đánh giá", "80 bình luận")
+    apart = page.replace("<i>.</i>", "</section><section>")
+    row = records.dom_record(spark.createDataFrame([("u", apart)], "url string, html string")).first()
+    assert row.xuat_xu is None
+
+
 def test_counts_need_two_spans(spark):
     head = "<h1 data-test='product_name'>N</h1><div><span data-test-id='sku'>1</span>"
     spans = "<span class='a inline-flex'>5</span><span class='cursor-pointer'>10 đánh giá</span>"

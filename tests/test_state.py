@@ -134,3 +134,36 @@ def test_reconcile_keeps_records_of_one_side(spark):
     right = spark.createDataFrame([("w", "2")], "url string, v string")
     rows = {r.url: r.status for r in ledger.reconcile(left, right, "url", ["v"]).collect()}
     assert rows == {"u": "only_a", "w": "only_b"}
+
+
+def test_state_is_not_read_from_comments(spark):
+    script = '<script id="__NEXT_DATA__">{"v":"%s"}</script>'
+    page = "<!-- " + script % "old" + " --><script>var x = '<!--'</script>" + script % "new"
+    df = spark.createDataFrame([(page,), ("<!--" + script % "old",), (None,)], "html string")
+    assert [r[0] for r in df.select(S.state_json(F.col("html"))).collect()] == ['{"v":"new"}', None, None]
+
+
+def test_prices_of_other_number_types(spark):
+    prices = [
+        {"isSellDefault": 0, "price": 1},
+        {"isSellDefault": 1, "price": 380000.0, "measureUnitName": "a"},
+        {"isSellDefault": True, "price": 2},
+    ]
+    row = records.flat_product(parsed(spark, page({"sku": "1", "prices": prices}))).first()
+    assert (row.gia_goc, row.gia_ban, row.don_vi_tinh) == (380000, 380000, "a")
+
+
+def test_kept_and_rejected_pages_are_all_pages(spark):
+    def held(text):
+        return f'<script id="__NEXT_DATA__">{text}</script>'
+
+    pages = {
+        "good": held('{"props":{"pageProps":{"product":{"sku":"1"}}}}'),
+        "none": "<p>", "bad": held('{"props":'), "other": held('{"props":{}}'), "missing": None,
+    }
+    df = spark.createDataFrame(list(pages.items()), "url string, html string")
+    assert [r.url for r in records.with_state(df).collect()] == ["good"]
+    assert {r.url: r.reason for r in records.state_rejects(df).collect()} == {
+        "none": records.NO_STATE, "bad": records.BAD_STATE, "other": records.NO_PRODUCT,
+        "missing": records.MISSING_PAGE,
+    }
