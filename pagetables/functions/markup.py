@@ -343,8 +343,31 @@ def first_inner(
 
     A rule is a tag (any, if None), an attribute, its value and how to match it.
     """
+    found = _first_element(page, tag, attr, value, match)
+    return _bound(found, lambda e: F.when(e != "", inside_element(e)))
+
+
+def _first_element(
+    page: Column,
+    tag: str | None,
+    attr: str | None = None,
+    value: str | None = None,
+    match: str = "=",
+) -> Column:
+    """The first matching element (see ``element``); empty or null if there is none."""
     found = F.regexp_extract(page, _rule_element(tag, attr, value, match), 1)
-    return _bound(_if_held(page, value, found), lambda e: F.when(e != "", inside_element(e)))
+    return _if_held(page, value, found)
+
+
+def first_inners(page: Column, rules: list[tuple[str | None, ...]]) -> Column:
+    """Array of ``first_inner``, one per rule: the plan holds the cutting once."""
+    found = F.array(*[_first_element(page, *rule) for rule in rules])
+    return F.transform(found, lambda e: F.when(e != "", inside_element(e)))
+
+
+def first_texts(page: Column, rules: list[tuple[str | None, ...]]) -> Column:
+    """Array of ``first_text``, one per rule."""
+    return F.transform(first_inners(page, rules), squashed_text)
 
 
 def rest_of_parent(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +48,11 @@ def prepared(pages: DataFrame, html: str = "html") -> DataFrame:
     return pages.withColumn(html, M.prepare(F.col(html)))
 
 
+def _named(array: str, names: Iterable[str]) -> list[Column]:
+    """The elements of an array as columns."""
+    return [F.get(array, F.lit(i)).alias(name) for i, name in enumerate(names)]
+
+
 def listing_record(
     pages: DataFrame, url: str = "url", html: str = "html", also: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -59,17 +64,20 @@ def listing_record(
     one text does not search the page again.
     """
     page = F.col(html)
+    texts = {
+        "own_name": (None, "data-test", "product_name"),
+        "heading": ("h1",),
+        "sku": (None, "data-test-id", "sku"),
+        "price_text": (None, "data-test", "price"),
+        "strike_text": (None, "data-test", "strike_price"),
+    }
     read = prepared(pages, html).select(
         F.col(url).alias("url"),
-        M.first_text(page, None, "data-test", "product_name").alias("own_name"),
-        M.first_text(page, "h1").alias("heading"),
-        M.first_text(page, None, "data-test-id", "sku").alias("sku"),
-        M.first_text(page, None, "data-test", "price").alias("price_text"),
-        M.first_text(page, None, "data-test", "strike_price").alias("strike_text"),
+        M.first_texts(page, list(texts.values())).alias("__texts"),
         M.first_attr(page, "content", "meta", "property", "og:image").alias("image"),
         page.isNull().alias("no_page"),
         *also,
-    )
+    ).select("url", *_named("__texts", texts), "image", "no_page", *also)
     found = F.col("own_name").isNotNull()
     problem = F.when(F.col("no_page"), F.lit(MISSING_PAGE)).otherwise(F.lit(MISSING_NAME))
     fields = {
@@ -105,14 +113,17 @@ def split_failures(records: DataFrame, error: str = "error") -> tuple[DataFrame,
 def simple_record(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """The 6-column record; prices stay text."""
     page = F.col(html)
+    texts = {
+        "name": (None, "data-test", "product_name"),
+        "sku": (None, "data-test-id", "sku"),
+        "price": (None, "data-test", "price"),
+        "original_price": (None, "data-test", "strike_price"),
+    }
     return prepared(pages, html).select(
         F.col(url).alias("url"),
-        M.first_text(page, None, "data-test", "product_name").alias("name"),
-        M.first_text(page, None, "data-test-id", "sku").alias("sku"),
-        M.first_text(page, None, "data-test", "price").alias("price"),
-        M.first_text(page, None, "data-test", "strike_price").alias("original_price"),
+        M.first_texts(page, list(texts.values())).alias("__texts"),
         M.first_attr(page, "content", "meta", "property", "og:image").alias("image"),
-    )
+    ).select("url", *_named("__texts", texts), "image")
 
 
 def detail_rows(page: Column, labels: list[str] = DETAIL_LABELS) -> Column:
@@ -162,14 +173,11 @@ def first_entries(cells: Column, keys: list[str]) -> Column:
 
 def section_map(page: Column, elements: dict[str, tuple[str, str | None, str | None]]) -> Column:
     """Map of name to text for the named elements that are present."""
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("key"),
-                strip_ends(M.raw_text(M.first_inner(page, tag, attr, value, "~="))).alias("value"),
-            )
-            for name, (tag, attr, value) in elements.items()
-        ]
+    inners = M.first_inners(page, [(*rule, "~=") for rule in elements.values()])
+    entries = F.zip_with(
+        F.array(*[F.lit(name) for name in elements]),
+        inners,
+        lambda name, inner: F.struct(name.alias("key"), strip_ends(M.raw_text(inner)).alias("value")),
     )
     return F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull()))
 
@@ -225,14 +233,17 @@ def dom_record(
     counts = F.col("__counts")
     both = F.size(counts) >= 2
     strike = M.first_inner(page, None, "data-test", "strike_price")
+    texts = {
+        "ten": (None, "data-test", "product_name"),
+        "sku": (None, "data-test-id", "sku"),
+        "gia_ban": (None, "data-test", "price"),
+        "don_vi": (None, "data-test", "unit"),
+        "thuong_hieu": ("a", "href", BRAND_PATH, "^="),
+    }
     read = prepared(pages, html).select(
         F.col(url).alias("url"),
-        M.first_text(page, None, "data-test", "product_name").alias("ten"),
-        M.first_text(page, None, "data-test-id", "sku").alias("sku"),
-        M.first_text(page, None, "data-test", "price").alias("gia_ban"),
+        M.first_texts(page, list(texts.values())).alias("__texts"),
         M.first_text(strike, "p").alias("gia_goc"),
-        M.first_text(page, None, "data-test", "unit").alias("don_vi"),
-        M.first_text(page, "a", "href", BRAND_PATH, match="^=").alias("thuong_hieu"),
         brand_origin(page).alias("xuat_xu"),
         M.first_attr(page, "content", "meta", "property", "og:image").alias("hinh_anh"),
         after_sku(page).alias("__after_sku"),
@@ -240,7 +251,9 @@ def dom_record(
         sections(page).alias("mo_ta"),
         *also,
     )
-    spans = read.withColumn("__counts", spans_of(F.col("__after_sku"), "cursor-pointer"))
+    spans = read.select(
+        "*", *_named("__texts", texts), spans_of(F.col("__after_sku"), "cursor-pointer").alias("__counts")
+    )
     return spans.select(
         "url", "ten", "sku", "gia_ban", "gia_goc", "don_vi", "thuong_hieu", "xuat_xu", "hinh_anh",
         F.get(spans_of(F.col("__after_sku"), "inline-flex"), F.lit(0)).alias("diem_danh_gia"),
@@ -378,8 +391,7 @@ def _with_texts(parsed: DataFrame, texts: dict[str, str], clean: Callable[[Colum
 
 
 def _fields(fields: dict[str, str], texts: dict[str, str]) -> list[Column]:
-    plain = [F.col(path).alias(name) for name, path in fields.items()]
-    return plain + [F.get("texts", F.lit(i)).alias(name) for i, name in enumerate(texts)]
+    return [F.col(path).alias(name) for name, path in fields.items()] + _named("texts", texts)
 
 
 def flat_product(parsed: DataFrame, url: str = "url") -> DataFrame:
