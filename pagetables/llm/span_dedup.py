@@ -1,12 +1,18 @@
-"""Substring dedup over sliding spans of sentences.
-
-A text is cut into sentences, and sentences longer than half the least span into
-parts of that length, counted from their start. From every sentence the shortest run of
-``sentences`` or more that has ``words`` words is hashed, and up to every sentence the
-shortest such run that ends there. Runs that stand twice or more anywhere are repeats;
-the first place keeps its text, and sentences under a repeat elsewhere are removed.
-A passage of at least twice ``words`` words that begins and ends with sentences is thus
-found whole, wherever it is repeated.
+"""Substring dedup over sliding spans of sentences and of words.
+
+Two kinds of runs of words are hashed. A text is cut into sentences, and sentences longer
+than the least span into parts of that length; from every sentence the shortest run
+of ``sentences`` or more that has ``words`` words, and up to every sentence the shortest
+such run that ends there. Besides, wherever sentences begin, the run of ``words`` words that
+has the least hash of ``words`` neighbouring ones (winnowing): any ``2 * words - 1`` words
+hold one, chosen by these words alone. Runs that stand twice or more anywhere are repeats;
+the first place keeps its text, and words under a repeat elsewhere are removed.
+
+Such runs cover a repeated passage but for less than ``words`` words at its ends. So
+where a removed stretch ends, every run of ``words`` words across that end is hashed too,
+at all places of the run that ends there and whose next word two of them share, and counted
+likewise. A passage of twice ``words``
+words is thus removed to the word, wherever it begins and whichever earlier place has it.
 
 Hashes are counted with partial sums before the shuffle, so a passage that a third
 of all documents share is one row per task there; only runs that are likely repeats,
@@ -22,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,79 +44,164 @@ class Spans:
     words: int = 25
 
 
-_SENTENCE = re.compile(r"[^\s.!?。！？][^\n.!?。！？]*(?:[.!?。！？]+(?!\s|$)[^\n.!?。！？]*)*[.!?。！？]*|[.!?。！？]+")
-
-
-def sentences(text: str, longest: int) -> tuple[list[str], list[tuple[int, int]]]:
-    """Sentences, white space as single spaces, and where they stand. They end at a line's
-    end or at a mark before white space; longer ones are cut after ``longest`` words."""
-    out, places = [], []
-    for m in _SENTENCE.finditer(text):
-        tokens = m.group().split()
-        if len(tokens) <= longest:
-            if tokens:
-                out.append(" ".join(tokens))
-                places.append((m.start(), m.start() + len(m.group().rstrip())))
-            continue
-        own = list(re.finditer(r"\S+", m.group()))
-        for at in range(0, len(own), longest):
-            part = own[at : at + longest]
-            out.append(" ".join(p.group() for p in part))
-            places.append((m.start() + part[0].start(), m.start() + part[-1].end()))
-    return out, places
-
-
-def runs(counts: np.ndarray, rule: Spans) -> tuple[np.ndarray, np.ndarray]:
-    """First and last sentence of every run, given the words of each sentence."""
-    n = len(counts)
-    if n < rule.sentences:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    before = np.r_[0, np.cumsum(counts)]
-    at = np.arange(n)
-    ahead = np.maximum(np.searchsorted(before, before[:-1] + rule.words), at + rule.sentences) - 1
-    behind = np.minimum(np.searchsorted(before, before[1:] - rule.words, "right") - 1, at - rule.sentences + 1)
-    first = np.r_[at[ahead < n], behind[behind >= 0]]
-    last = np.r_[ahead[ahead < n], at[behind >= 0]]
-    return tuple(np.unique(np.stack([first, last]), axis=1)) if len(first) else (first, last)
-
-
-def hashed_runs(docs: DataFrame, doc_id: str, text: str, rule: Spans) -> DataFrame:
-    """``hash``, ``doc_id``, ``row`` (a hash of the text), ``first``, ``last`` of all runs."""
-
-    def hash_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+_MARKS = frozenset(".!?。！？")
+_WORD = re.compile(r"\S+")
+_BASE = 0x9E3779B97F4A7C15
+_BACK = pow(_BASE, -1, 1 << 64)
+
+
+class Words:
+    """The words of some texts in one row, and where sentences (or parts) and texts begin.
+
+    A sentence ends at a line's end or at a mark before white space; longer ones are cut
+    after ``rule.words`` words.
+    """
+
+    def __init__(self, texts: list[str], rule: Spans) -> None:
+        self.rule, longest = rule, max(1, rule.words)
+        words: list[str] = []
+        lines, texts_end = [], [0]
+        for text in texts:
+            for line in text.split("\n"):
+                words += line.split()
+                lines.append(len(words))
+            texts_end.append(len(words))
+        self.words, self.n = words, len(words)
+        self.texts = np.array(texts_end, np.int64)
+        ends = np.fromiter((w[-1] in _MARKS for w in words), bool, self.n)
+        line_ends = np.array(lines, np.int64)
+        ends[line_ends[line_ends > 0] - 1] = True
+        last = np.flatnonzero(ends) + 1
+        first = np.r_[0, last[:-1]] if len(last) else last
+        parts = -(-(last - first) // longest)
+        step = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+        self.begin = np.repeat(first, parts) + step * longest
+        self.end = np.minimum(self.begin + longest, np.repeat(last, parts))
+
+    def text_of(self, at: np.ndarray) -> np.ndarray:
+        """The number of the text that a word belongs to."""
+        return np.searchsorted(self.texts, at, "right") - 1
+
+    def sums(self) -> None:
         import xxhash
 
-        digest, mix = xxhash.xxh3_64_intdigest, np.uint64(0x9E3779B97F4A7C15)
-        for batch in batches:
-            ids, rows = batch.column(0).to_pylist(), batch.column(2).to_pylist()
-            for at in range(0, batch.num_rows, 500):
-                parts: list[list] = [[], [], [], [], []]
-                for k, one in enumerate(batch.column(1).slice(at, 500), at):
-                    found, _ = sentences(one.as_py() or "", max(1, rule.words))
-                    counts = np.fromiter((s.count(" ") + 1 for s in found), np.int64, len(found))
-                    first, last = runs(counts, rule)
-                    if not len(first):
-                        continue
-                    own = np.fromiter((digest(s) for s in found), np.uint64, len(found))
-                    mixed = (last - first + 1).astype(np.uint64)
-                    for step in range(int((last - first).max()) + 1):
-                        inside = first + step <= last
-                        part = own[np.minimum(first + step, len(own) - 1)]
-                        mixed = np.where(inside, ((mixed ^ (mixed >> np.uint64(31))) * mix) ^ part, mixed)
-                    mixed = (mixed ^ (mixed >> np.uint64(32))) * mix
-                    parts[0].append(mixed.view(np.int64))
-                    parts[1].append(np.full(len(first), ids[k]))
-                    parts[2].append(np.full(len(first), rows[k]))
-                    parts[3].append(first)
-                    parts[4].append(last)
-                if parts[0]:
-                    columns = [pa.array(np.concatenate(p), t) for p, t in zip(parts, kinds, strict=True)]
-                    yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    names = ["hash", "doc_id", "row", "first", "last"]
-    kinds = [pa.int64()] * 3 + [pa.int32()] * 2
-    given = _given(docs, doc_id, text).filter("doc_id is not null")
-    return given.mapInArrow(hash_runs, "hash long, doc_id long, row long, first int, last int")
+        own = np.fromiter(map(xxhash.xxh3_64_intdigest, self.words), np.uint64, self.n)
+        #: 31 bits of each word's hash, never 0.
+        self.short = np.append((own >> np.uint64(33)).astype(np.int32) | np.int32(1), np.int32(0))
+        power = np.full(self.n + 1, _BASE, np.uint64)
+        self.back = np.full(self.n + 1, _BACK, np.uint64)
+        power[0] = self.back[0] = 1
+        np.cumprod(power, out=power)
+        np.cumprod(self.back, out=self.back)
+        self.before = np.r_[np.uint64(0), np.cumsum(own * power[:-1], dtype=np.uint64)]
+
+    def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """A hash of the words from ``start`` to ``end``, the same wherever they stand."""
+        mixed = (self.before[end] - self.before[start]) * self.back[start] + (end - start).astype(np.uint64)
+        for shift, times in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(times)
+        return mixed ^ (mixed >> np.uint64(31))
+
+    def sentence_runs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Shortest runs of enough sentences and words, from and up to every sentence."""
+        begin, end, n, k = self.begin, self.end, len(self.begin), self.rule.sentences - 1
+        at, text = np.arange(n), self.text_of(self.begin)
+        ahead = np.maximum(np.searchsorted(end, begin + self.rule.words), at + k)
+        behind = np.minimum(np.searchsorted(begin, end - self.rule.words, "right") - 1, at - k)
+        a = np.flatnonzero(ahead < n)
+        a = a[text[ahead[a]] == text[a]]
+        b = np.flatnonzero(behind >= 0)
+        b = b[text[behind[b]] == text[b]]
+        return np.r_[begin[a], begin[behind[b]]], np.r_[end[ahead[a]], end[b]]
+
+    def word_runs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of ``words`` neighbouring runs of ``words`` words, the one of least hash."""
+        size = max(1, self.rule.words)
+        many = np.maximum(np.diff(self.texts) - size + 1, 0)  # places of a run in each text
+        if not many.any():
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        ahead = np.cumsum(many + size) - many - size  # each text's places, then a gap
+        place = np.repeat(np.arange(len(many)), many)
+        inside = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        start, slot = self.texts[place] + inside, ahead[place] + inside
+        value = np.full(int(ahead[-1] + many[-1] + size), ~np.uint64(0))
+        value[slot] = self.hashes(start, start + size)
+        least, width = np.arange(len(value)), 1
+        while width < size:
+            step = min(width, size - width)
+            left, right = least[: len(least) - step], least[step:]
+            least = np.where(value[right] < value[left], right, left)
+            width += step
+        # A window lies in its text; of a text with few places, one window has them all.
+        window = slot[inside <= np.maximum(many[place] - size, 0)]
+        chosen = np.zeros(len(value), bool)
+        chosen[least[window]] = True
+        start = start[chosen[slot]]
+        return start, start + size
+
+    def across(self, text: int, ends: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """All runs of ``words`` words across some places (before a word) of one text."""
+        size, low, high = max(1, self.rule.words), int(self.texts[text]), int(self.texts[text + 1])
+        start = np.unique((np.array(ends, np.int64)[:, None] + low - np.arange(1, size)).ravel())
+        start = start[(start >= low) & (start + size <= high)]
+        return start, start + size
+
+
+def _portions(batch: pa.RecordBatch, rows: int, chars: int) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch, at most so many and of about so many characters at a time."""
+    first, size = 0, 0
+    for at, one in enumerate(pc.utf8_length(batch.column(1)).to_pylist()):
+        if at > first and (at - first == rows or size + one > chars):
+            yield batch.slice(first, at - first)
+            first, size = at, 0
+        size += one
+    if first < batch.num_rows:
+        yield batch.slice(first)
+
+
+_FOUND = "hash long, doc_id long, row long, start int, end int, before int, after int"
+
+
+def _hasher(rule: Spans, rim: bool):
+    """From ``doc_id``, ``text``, ``row`` (and ``ends``): the hashed runs of a text (or
+    those across the given ends), with the words before and after (0: none)."""
+    kinds = [pa.int64()] * 3 + [pa.int32()] * 4
+    names = ["hash", "doc_id", "row", "start", "end", "before", "after"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in _portions(whole, 500, 1 << 20):
+                ids, texts, rows = (batch.column(i).to_pylist() for i in range(3))
+                words = Words(texts, rule)
+                if not words.n:
+                    continue
+                words.sums()
+                if rim:
+                    parts = [words.across(k, own) for k, own in enumerate(batch.column(3).to_pylist())]
+                else:
+                    parts = [words.sentence_runs(), words.word_runs()]
+                start, end = (np.concatenate(p) for p in zip(*parts, strict=True))
+                if not len(start):
+                    continue
+                length = int((end - start).max()) + 1
+                key = np.unique(start * length + end - start)
+                start, end = key // length, key // length + key % length
+                text = words.text_of(start)
+                first = words.texts[text]
+                columns = [
+                    words.hashes(start, end).view(np.int64),
+                    np.array(ids, np.int64)[text],
+                    np.array(rows, np.int64)[text],
+                    start - first,
+                    end - first,
+                    np.where(start > first, words.short[start - 1], 0),
+                    np.where(end < words.texts[text + 1], words.short[end], 0),
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c).cast(k) for c, k in zip(columns, kinds, strict=True)], names=names
+                )
+
+    return run
 
 
 def _given(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -120,24 +212,82 @@ def _given(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
 
-def repeated_runs(docs: DataFrame, doc_id: str, text: str, rule: Spans) -> DataFrame:
-    """``doc_id``, ``row``, ``runs`` (array of ``first``, ``last``): repeats that are not the first.
-
-    The first place of a run is the least by document, text and position.
-    """
-    found = materialize(hashed_runs(docs, doc_id, text, rule), "runs")
-    place = F.struct("doc_id", "row", "first", "last")
+def _places(found: DataFrame) -> DataFrame:
+    """``found`` where a hash stands twice or more, and whether a place is ``again``: not
+    the first one by document, text and position."""
+    place = F.struct("doc_id", "row", "start", "end")
     heads = found.groupBy("hash").agg(F.min(place).alias("head"), F.count("*").alias("n")).filter("n > 1")
     heads = materialize(heads.select("hash", "head"), "repeated-runs")
     likely = maybe_in(found, F.col("hash"), heads.select("hash"), "maybe").filter("maybe").drop("maybe")
-    again = likely.join(heads, "hash").filter(place != F.col("head"))
-    return again.groupBy("doc_id", "row").agg(F.collect_set(F.struct("first", "last")).alias("runs"))
+    return likely.join(heads, "hash").select(*found.columns, (place != F.col("head")).alias("again"))
+
+
+def _ends_of(rule: Spans):
+    """From ``runs``, the runs removed: for both ends of each removed stretch, the keys of
+    the runs that end there and of the outermost of ``words`` words, unless the text ends."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(0)
+            flat = lists.flatten()
+            if not len(flat):
+                continue
+            own = {n: flat.field(n).to_numpy(zero_copy_only=False) for n in ("start", "end", "before", "after", "hash")}
+            text = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy())).astype(np.int64) << 32
+            start, end = own["start"] + text, own["end"] + text
+            order = np.lexsort((end, start))
+            own = {n: v[order] for n, v in own.items()}
+            start, end = start[order], end[order]
+            begins = np.r_[True, start[1:] > np.maximum.accumulate(end)[:-1]]
+            first, stretch = np.flatnonzero(begins), np.cumsum(begins) - 1
+            plain = end - start == rule.words
+            left, right = np.zeros(len(start), bool), np.zeros(len(start), bool)
+            for some in (np.ones(len(start), bool), plain):
+                left |= some & (start == np.minimum.reduceat(np.where(some, start, 1 << 62), first)[stretch])
+                right |= some & (end == np.maximum.reduceat(np.where(some, end, -1), first)[stretch])
+            keys = np.r_[own["hash"][left & (own["before"] != 0)], ~own["hash"][right & (own["after"] != 0)]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(keys), pa.int64())], names=["key"])
+
+    return run
+
+
+def repeated_runs(docs: DataFrame, doc_id: str, text: str, rule: Spans) -> DataFrame:
+    """``doc_id``, ``row``, ``runs`` (array of ``start``, ``end`` in words): repeats that are
+    not the first."""
+    given = _given(docs, doc_id, text).filter("doc_id is not null")
+    found = materialize(given.mapInArrow(_hasher(rule, False), _FOUND), "runs")
+    places = materialize(_places(found), "places")
+    again = places.filter("again")
+    run = F.struct("start", "end", "before", "after", "hash")
+    removed = again.groupBy("doc_id", "row").agg(F.collect_list(run).alias("runs"))
+    ends = materialize(removed.select("runs").mapInArrow(_ends_of(rule), "key long").distinct(), "ends")
+    # A run that is taken for one at an end only adds hashes, of real repeats or of none.
+    sides = F.array(
+        F.struct(F.col("hash").alias("key"), F.col("before").alias("word"), F.col("start").alias("at")),
+        F.struct(F.expr("~hash").alias("key"), F.col("after").alias("word"), F.col("end").alias("at")),
+    )
+    sides = places.select("doc_id", "row", F.inline(sides)).filter("word != 0")
+    sides = maybe_in(sides, F.col("key"), ends, "maybe").filter("maybe")
+    sides = materialize(sides.select("doc_id", "row", "at", F.xxhash64("key", "word").alias("next")), "next-words")
+    shared = materialize(sides.groupBy("next").count().filter("count > 1").select("next"), "shared-next-words")
+    near = maybe_in(sides, F.col("next"), shared, "maybe").filter("maybe")
+    near = near.groupBy("doc_id", "row").agg(F.collect_set("at").alias("ends"))
+    near = materialize(near, "ends-of-texts")
+    wanted = maybe_in(given, F.col("row"), near.select("row"), "maybe").filter("maybe")
+    # Rows equal in id and text are one document.
+    wanted = wanted.join(near, ["doc_id", "row"]).select("doc_id", "text", "row", "ends")
+    rim = wanted.mapInArrow(_hasher(rule, True), _FOUND).drop("before", "after")
+    rim = materialize(rim, "runs-across")
+    every = again.select("doc_id", "row", "start", "end").union(
+        _places(rim).filter("again").select("doc_id", "row", "start", "end")
+    )
+    return every.groupBy("doc_id", "row").agg(F.collect_set(F.struct("start", "end")).alias("runs"))
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rule: Spans = Spans()) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ``n_sentences``, ``n_removed``, ``spans``
-    (array of ``start``, ``end``: the characters removed, apart from white space around
-    them) and ``text`` without them.
+    """One row per row of ``docs``: ``doc_id``, ``n_sentences``, ``n_removed`` (sentences,
+    or parts of long ones, that go whole), ``spans`` (array of ``start``, ``end``: the
+    characters removed, apart from white space around them) and ``text`` without them.
 
     Null texts count as empty. Rows without an id are never called repeats and do not
     make others so. Rows equal in id and text are one document, and are cleaned alike.
@@ -153,12 +303,14 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rule: Spa
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for part in _portions(batch, 500, 1 << 20):
+                ids, texts, runs = (c.to_pylist() for c in part.columns)
+                words = Words(texts, rule)
+                many = np.diff(np.searchsorted(words.begin, words.texts)).tolist()
                 rows = []
-                for doc, one, covered in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                    found, places = sentences(one, max(1, rule.words))
-                    rows.append((doc, len(found), *_without(one, places, covered or [])))
+                for doc, one, n, covered in zip(ids, texts, many, runs, strict=True):
+                    cut_out = _without(one, Words([one], rule), covered) if covered else (0, [], one)
+                    rows.append((doc, n, *cut_out))
                 columns = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names
@@ -171,22 +323,20 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rule: Spa
     return joined.select("doc_id", "text", "runs").mapInArrow(cut, schema)
 
 
-def _without(text: str, places: list[tuple[int, int]], covered: list[dict]) -> tuple[int, list[dict], str]:
-    """How many sentences go, their characters as spans, and the text that stays."""
-    if not covered:
-        return 0, [], text
-    depth = np.zeros(len(places) + 1, np.int64)
+def _without(text: str, words: Words, covered: list[dict]) -> tuple[int, list[dict], str]:
+    """How many sentences go, the characters that go as spans, and the text that stays."""
+    depth = np.zeros(words.n + 1, np.int64)
     for run in covered:
-        depth[run["first"]] += 1
-        depth[run["last"] + 1] -= 1
+        depth[run["start"]] += 1
+        depth[run["end"]] -= 1
     gone = np.cumsum(depth)[:-1] > 0
-    spans: list[dict] = []
-    for i in np.flatnonzero(gone).tolist():
-        start, end = places[i]
-        if spans and i and gone[i - 1]:
-            spans[-1]["end"] = end
-        else:
-            spans.append({"start": start, "end": end})
+    places = [m.span() for m in _WORD.finditer(text)]
+    edge = np.flatnonzero(np.diff(np.r_[False, gone, False]))
+    spans = [
+        {"start": places[a][0], "end": places[z - 1][1]} for a, z in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)
+    ]
+    total = np.r_[0, np.cumsum(gone)]
+    whole = total[words.end] - total[words.begin] == words.end - words.begin
     left, at = "", 0
     for s in [*spans, {"start": len(text), "end": len(text)}]:
         more = text[at : s["start"]]
@@ -198,4 +348,4 @@ def _without(text: str, places: list[tuple[int, int]], covered: list[dict]) -> t
             elif not more.startswith("\n"):
                 more = " " + more.lstrip(" ") if more.strip() else ""
         left, at = left + more, s["end"]
-    return int(gone.sum()), spans, left
+    return int(whole.sum()), spans, left

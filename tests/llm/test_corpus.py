@@ -267,6 +267,23 @@ def test_spans(spark):
         assert [text[s["start"] : s["end"]] for s in found[i]["spans"]] == ([p] if left != text else [])
 
 
+def test_spans_inside_sentences(spark):
+    """Passages that begin and end in the middle of sentences, one of them longer at some places."""
+    rng = random.Random(4)
+
+    def some(n, mark=0):
+        own = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(5, 9))) for _ in range(n)]
+        return " ".join(w + "." * bool(mark and i % mark == mark - 1) for i, w in enumerate(own))
+
+    core, more = some(70, 31), some(20)
+    passages = [some(50), some(60, 40), some(90, 13), core, f"{core} {more}", f"{core} {more}"]
+    rows = [(i, f"{some(3 + 5 * (i % 4))} {passages[i % 6]} {some(2 + i % 17)}.") for i in range(24)]
+    found = {r["doc_id"]: r for r in span_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        wanted = [passages[i % 6]] if i > 5 or i == 5 else [core] if i == 4 else []
+        assert [text[s["start"] : s["end"]] for s in found[i]["spans"]] == wanted, i
+
+
 def test_leaks(spark, docs, texts):
     items = {r["item_id"]: decontam.normal(r["text"]) for r in table(spark, SMALL, "benchmark").collect()}
     wanted = {(d, i) for d, t in texts.items() for i, x in items.items() if x in decontam.normal(t)}
