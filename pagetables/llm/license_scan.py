@@ -3,7 +3,7 @@
 A template is a licence notice as a run of words, with key phrases it must not lack.
 Its words are weighed by inverse document frequency, counted over all documents; the
 index holds, for the rarest of them, the templates and places where they stand. A
-file looks up the rarest licence words it has, and each place found votes for a
+file looks up every index word it has, and each place found votes for a
 template at a relative position (file place less template place). Positions with
 enough weight are alignments, whose key phrases are then verified word by word. A
 template that is one phrase is found at every place where the phrase stands.
@@ -78,11 +78,9 @@ TEMPLATES = (
 @dataclass(frozen=True)
 class Scan:
     """A template is found where ``least`` of its index words' weight aligns within
-    ``slack`` words; ``rare`` words of a template are indexed, ``looked_up`` different
-    ones looked up per file."""
+    ``slack`` words; ``rare`` words of a template are indexed."""
 
     rare: int = 6
-    looked_up: int = 12
     least: float = 0.6
     slack: int = 2
 
@@ -168,11 +166,16 @@ class Index:
 
     def _aligned(self, tokens: list[str], places: dict[str, list[int]]) -> list[tuple[int, int, float]]:
         rule = self.rule
-        rare = sorted(self.postings.keys() & places.keys(), key=lambda w: (-self.idf[w], w))[: rule.looked_up]
+        held: dict[int, float] = defaultdict(float)
+        for word in sorted(self.postings.keys() & places.keys()):
+            for i in {i for i, _ in self.postings[word]}:
+                held[i] += self.idf[word]
         votes: dict[int, list[tuple[int, str]]] = defaultdict(list)
-        for word in rare:
+        for word in self.postings.keys() & places.keys():
             for i, offset in self.postings[word]:
-                votes[i] += [(at - offset, word) for at in places[word]]
+                # Templates whose words in this file cannot weigh enough are not aligned.
+                if held[i] >= rule.least * self.weight[i] - 1e-9:
+                    votes[i] += [(at - offset, word) for at in places[word]]
         found = []
         for i, own in votes.items():
             best = self._best(sorted(own))

@@ -146,6 +146,21 @@ def test_licenses(docs, texts, spark):
     assert {"apache-2.0", "gpl-3.0"} <= set(found[-1]["labels"].split(","))
 
 
+def test_licenses_of_files_with_several_notices(docs, spark):
+    notice = {t.label: t.text for t in license_scan.TEMPLATES}
+    files = [
+        ("mit-text", "bsd", "apache-2.0"),
+        ("mit-text", "bsd", "gpl-3.0"),
+        ("mit-text", "bsd", "isc", "mpl-2.0"),
+        tuple(notice),
+    ]
+    rows = [(-1 - i, " filler words between . ".join(notice[label] for label in own)) for i, own in enumerate(files)]
+    extra = spark.createDataFrame(rows, "doc_id long, text string")
+    found = license_scan.scan(docs.select("doc_id", "text").union(extra)).filter("doc_id < 0").collect()
+    for r in found:
+        assert set(files[-1 - r["doc_id"]]) <= set(r["labels"].split(",")), r["doc_id"]
+
+
 def shingles(text, size):
     words = "".join(c.lower() if c.isascii() else c for c in text).replace("\x0b", " ").replace("\x0c", " ")
     tokens = [w for line in words.split("\n") for part in line.split("\t") for c in part.split("\r") for w in c.split(" ") if w]
