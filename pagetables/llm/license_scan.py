@@ -4,8 +4,9 @@ A template is a licence notice as a run of words, with key phrases it must not l
 Its words are weighed by inverse document frequency, counted over all documents; the
 index holds, for the rarest of them, the templates and places where they stand. A
 file looks up every index word it has, and each place found votes for a
-template at a relative position (file place less template place). Positions with
-enough weight are alignments, whose key phrases are then verified word by word. A
+template at a relative position (file place less template place). All
+positions with enough weight are alignments, whose key phrases are then verified word by
+word; each notice found so has a span. A
 template that is one phrase is found at every place where the phrase stands.
 
 Two passes over the texts: document frequencies of the licence words (partial counts
@@ -124,7 +125,7 @@ class Index:
     def __init__(self, base, templates, total: int, seen: dict[str, int], rule: Scan) -> None:
         self.rule, self.templates = rule, templates
         self.phrases = [(tuple(words_of(p)), label) for p, label in base]
-        texts = [tuple(words_of(t.text)) for t in templates]
+        self.texts = texts = [tuple(words_of(t.text)) for t in templates]
         self.needed = [[tuple(words_of(p)) for p in t.phrases] for t in templates]
         every = set().union(*texts, *(p for p, _ in self.phrases))
         self.idf = {w: math.log((1 + total) / (1 + seen.get(w, 0))) + 1 for w in every}
@@ -178,34 +179,43 @@ class Index:
                     votes[i] += [(at - offset, word) for at in places[word]]
         found = []
         for i, own in votes.items():
-            best = self._best(sorted(own))
-            if best is None or best[0] < rule.least * self.weight[i]:
-                continue
-            start = max(0, best[1])
-            region = tokens[start : start + len(words_of(self.templates[i].text)) + 2 * rule.slack + 1]
-            if all(_holds(region, phrase) for phrase in self.needed[i]):
-                found.append((i, start, min(1.0, best[0] / self.weight[i])))
+            # One span per notice, told by where its first key phrase stands.
+            notices: dict[int, tuple[float, int]] = {}
+            run = self.texts[i]
+            for left, weight in self._windows(sorted(own), rule.least * self.weight[i] - 1e-9):
+                start = max(0, left)
+                region = tokens[start : start + len(run) + 2 * rule.slack + 1]
+                stand = [_places(region, phrase) for phrase in self.needed[i]]
+                if not all(stand):
+                    continue
+                # Of a phrase that stands twice there, the place that this alignment means.
+                key = start
+                if stand:
+                    meant = left - start + (_places(run, self.needed[i][0]) or [0])[0]
+                    key += min(stand[0], key=lambda at: abs(at - meant))
+                if key not in notices or (-weight, start) < (-notices[key][0], notices[key][1]):
+                    notices[key] = (weight, start)
+            found += [(i, start, min(1.0, weight / self.weight[i])) for weight, start in notices.values()]
         return found
 
-    def _best(self, votes: list[tuple[int, str]]) -> tuple[float, int] | None:
-        """The most weight of different words within ``slack`` positions, and where."""
-        best, left, inside, weight = None, 0, Counter(), 0.0
+    def _windows(self, votes: list[tuple[int, str]], least: float) -> list[tuple[int, float]]:
+        """Positions where different words within ``slack`` weigh enough, and the most there."""
+        found: dict[int, float] = {}
+        left, inside = 0, Counter()
         for at, word in votes:
             inside[word] += 1
-            weight += self.idf[word] * (inside[word] == 1)
             while votes[left][0] < at - self.rule.slack:
-                gone = votes[left][1]
-                inside[gone] -= 1
-                weight -= self.idf[gone] * (inside[gone] == 0)
+                inside[votes[left][1]] -= 1
                 left += 1
-            if best is None or weight > best[0] + 1e-9:
-                best = (weight, votes[left][0])
-        return best
+            weight = sum(self.idf[w] for w, n in inside.items() if n)
+            if weight >= least:
+                found[votes[left][0]] = max(weight, found.get(votes[left][0], 0.0))
+        return sorted(found.items())
 
 
-def _holds(region: list[str], phrase: tuple[str, ...]) -> bool:
+def _places(words: list[str] | tuple[str, ...], phrase: tuple[str, ...]) -> list[int]:
     n = len(phrase)
-    return any(tuple(region[s : s + n]) == phrase for s in range(len(region) - n + 1))
+    return [s for s in range(len(words) - n + 1) if tuple(words[s : s + n]) == phrase]
 
 
 def scan(

@@ -161,6 +161,28 @@ def test_licenses_of_files_with_several_notices(docs, spark):
         assert set(files[-1 - r["doc_id"]]) <= set(r["labels"].split(",")), r["doc_id"]
 
 
+def test_licenses_verify_every_alignment():
+    """Version digits are common words here, so they are not indexed and both notices weigh the same."""
+    notice = {t.label: t.text for t in license_scan.TEMPLATES}
+    seen = {w: 900 for w in ("2", "3", "version", "0", "4")}
+    index = license_scan.Index(license_scan.BASE, license_scan.TEMPLATES, 1000, seen, license_scan.Scan())
+    names = [t.label for t in license_scan.TEMPLATES]
+    own = ("gpl-2.0", "gpl-3.0", "gpl-3.0", "mit-text", "gpl-2.0", "mit-text", "gpl-3.0")
+    text, starts = "", []
+    for label in own:
+        text += "some words of the file itself . "
+        starts.append((label, len(license_scan.words_of(text))))
+        text += notice[label] + " . "
+    found = [(names[i], at) for i, at, _ in index.scan(text)[2]]
+    for label in set(own):
+        wanted = [at for name, at in starts if name == label]
+        at = sorted(at for name, at in found if name == label)
+        assert len(at) == len(wanted) and all(abs(a - w) <= 2 for a, w in zip(at, wanted, strict=True)), (label, at)
+    # A notice at the very start, and two in a row with nothing between.
+    twice = [at for i, at, _ in index.scan(notice["gpl-3.0"] + " " + notice["gpl-3.0"])[2] if names[i] == "gpl-3.0"]
+    assert sorted(twice) == [0, 9]
+
+
 def shingles(text, size):
     words = "".join(c.lower() if c.isascii() else c for c in text).replace("\x0b", " ").replace("\x0c", " ")
     tokens = [w for line in words.split("\n") for part in line.split("\t") for c in part.split("\r") for w in c.split(" ") if w]
