@@ -244,14 +244,30 @@ def leaks(
     once each. Ids may be null and come out as they are. Rows that repeat an id and
     hold the same item come out once, with the fewest edits and the first place.
     """
+    found = _held(docs, items, doc_id, text, item_id, item_text, rule)
+    return (
+        found.groupBy("doc_id", "item_id")
+        .agg(F.min(F.struct("edits", "start", "end")).alias("best"))
+        .select("doc_id", "item_id", "best.*")
+    )
+
+
+def _held(
+    docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: str, item_text: str, rule: Leaks
+) -> DataFrame:
+    """All places of items in rows of ``docs``, with ``row``, a hash of the row's text."""
     spark = docs.sparkSession
     wanted = items.select(
         F.col(f"`{item_id}`").cast("long").alias("id"), F.col(f"`{item_text}`").alias("text")
     ).filter("text is not null")
     total = wanted.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-total // rule.block_chars))
-    given = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
-    schema = "doc_id long, item_id long, edits long, start long, end long"
+    given = docs.select(
+        F.col(f"`{doc_id}`").cast("long").alias("id"),
+        F.col(f"`{text}`").alias("text"),
+        F.xxhash64(f"`{text}`").alias("row"),
+    )
+    schema = "doc_id long, row long, item_id long, edits long, start long, end long"
     found = spark.createDataFrame([], schema)
     for block in range(blocks):
         own = wanted.filter(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == block) if blocks > 1 else wanted
@@ -259,24 +275,21 @@ def leaks(
         texts = [(i, t) for i, t in texts if len(t) >= max(rule.min_chars, rule.q)]
         if texts:
             found = found.union(given.mapInArrow(_searcher(texts, rule), schema))
-    return (
-        found.groupBy("doc_id", "item_id")
-        .agg(F.min(F.struct("edits", "start", "end")).alias("best"))
-        .select("doc_id", "item_id", "best.*")
-    )
+    return found
 
 
 def _searcher(texts: list[tuple[int, str]], rule: Leaks):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(texts, rule)
         for batch in batches:
-            ids = batch.column(0).to_pylist()
+            ids, hashes = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             for at in range(0, batch.num_rows, 500):
                 normals = [normal(x.as_py()) for x in batch.column(1).slice(at, 500)]
-                rows = [(ids[at + t], index.ids[i], e, s, z) for t, i, e, s, z in search(normals, index)]
-                columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
+                rows = [(ids[at + t], hashes[at + t], index.ids[i], e, s, z) for t, i, e, s, z in search(normals, index)]
+                columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in columns], names=["doc_id", "item_id", "edits", "start", "end"]
+                    [pa.array(c, pa.int64()) for c in columns],
+                    names=["doc_id", "row", "item_id", "edits", "start", "end"],
                 )
 
     return run
@@ -289,8 +302,10 @@ def clean(
     text: str = "text",
     rule: Leaks = Leaks(),
 ) -> DataFrame:
-    """The rows of ``docs`` whose document holds no item; rows without an id are judged
-    by whether any such row holds one."""
-    held = leaks(docs, items, doc_id, text, rule=rule).select(F.col("doc_id").alias("__held")).distinct()
+    """The rows of ``docs`` whose own text holds no item, whatever their ids: null ids and
+    ids that come twice are no reason to drop a row."""
+    held = _held(docs, items, doc_id, text, "item_id", "text", rule)
+    held = held.select(F.col("doc_id").alias("__held"), F.col("row").alias("__row")).distinct()
     same = docs[f"`{doc_id}`"].cast("long").eqNullSafe(held["__held"])
-    return docs.join(held, same, "left_anti")
+    own = F.xxhash64(docs[f"`{text}`"]) == held["__row"]
+    return docs.join(held, same & own, "left_anti")

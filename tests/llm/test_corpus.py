@@ -329,6 +329,17 @@ def test_leaks(spark, docs, texts):
     assert decontam.leaks(docs, table(spark, SMALL, "benchmark").limit(0)).count() == 0
 
 
+def test_clean_drops_only_rows_that_hold_an_item(spark, docs):
+    benchmark = table(spark, SMALL, "benchmark")
+    item = benchmark.first()["text"]
+    rows = [(None, f"Before it. {item} After it."), (None, "A clean text."), (None, None), (None, ""), (None, "Other."),
+            (1, f"Again {item}"), (1, "A clean text of a repeated id."), (2, "A clean text."), (3, item), (3, item), (4, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row", F.lit(1))
+    kept = [(r["doc_id"], r["text"]) for r in decontam.clean(frame, benchmark).collect()]
+    wanted = [r for r in rows if item not in (r[1] or "")]
+    assert sorted(kept, key=str) == sorted(wanted, key=str)
+
+
 def distance(item, text):
     """The fewest edits between ``item`` and any part of ``text``."""
     row = [0] * (len(text) + 1)
