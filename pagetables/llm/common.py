@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import sys
+import types
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,3 +59,15 @@ def maybe_in(df: DataFrame, value: Column, ids: DataFrame, name: str) -> DataFra
     held = df.select("*", own_slot.alias("__slot"), own_bit.alias("__bit")).join(F.broadcast(bitmap), "__slot", "left")
     flag = F.expr("coalesce(shiftright(__bits, __bit) & 1, 0) = 1")
     return held.select(*(f"`{c}`" for c in df.columns), flag.alias(name))
+
+
+def worker_state(name: str, make: Callable[[], object]) -> object:
+    """What ``make`` gave when this Python worker first asked for ``name``.
+
+    Functions travel to the workers by value, so a global of theirs begins anew with
+    every task; a module of this name in ``sys.modules`` lives as long as the worker.
+    """
+    held = sys.modules.setdefault("_pagetables_worker", types.ModuleType("_pagetables_worker"))
+    if not hasattr(held, name):
+        setattr(held, name, make())
+    return getattr(held, name)

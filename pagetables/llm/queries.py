@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagetables.llm import (
+    alignment,
     chat_format,
     decontam,
     license_scan,
@@ -19,18 +20,21 @@ from pagetables.llm import (
     quality_rules,
     sharding,
     span_dedup,
+    spelling,
     url_filter,
+    warc,
 )
 from pagetables.llm import sql
 from pagetables.llm.common import literal_rows
 from pagetables.sources.tables import table
 
 
-def tokenizer_file() -> str:
-    """The vocabulary that op7 packs by; it lies at the same place on every machine."""
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    """A vocabulary, by default the one op7 packs by; it lies at the same place on every
+    machine."""
     import public_tokenizers
 
-    return str(public_tokenizers.path("word_bpe_49k.json"))
+    return str(public_tokenizers.path(name))
 
 
 def op1_url_filters(spark: SparkSession, folder: str) -> DataFrame:
@@ -107,6 +111,31 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.leaks(docs, table(spark, folder, "benchmark").select("item_id", "text"))
 
 
+def op11_warc(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    archive = warc.new_folder(spark)
+    shards = warc.index(warc.write(pages, archive), archive)
+    found = warc.lookup(pages.select(warc.url_key(F.col("url")).alias("key")), shards, archive)
+    return warc.fetch(found, archive, with_payload=False).select(
+        "page_id",
+        F.col("bytes").alias("payload_bytes"),
+        F.col("digest").alias("payload_digest"),
+        F.col("type").alias("record_type"),
+        "refers_to",
+    )
+
+
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    rule = alignment.Alignment(tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+    return alignment.align(docs, rule)[0]
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return spelling.variants(spelling.word_counts(docs, misspell=31))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -126,6 +155,9 @@ QUERIES = {
         op8_sharding,
         op9_substring_dedup,
         op10_decontamination,
+        op11_warc,
+        op12_token_alignment,
+        op13_spelling_variants,
         pipeline,
     )
 }
@@ -136,4 +168,5 @@ ORACLES = {
     "op5_line_dedup": sql.OP5,
     "op6_quality_rules": sql.OP6,
     "op8_sharding": sql.OP8,
+    "op11_warc": sql.OP11,
 }

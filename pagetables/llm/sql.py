@@ -173,3 +173,17 @@ select doc_id, bytes, depth, shard_bytes,
     else right(lpad(bin(hash >> ({sharding.KEY_BITS} - depth)::int), {sharding.KEY_BITS}, '0'), depth) end as shard
 from docs join leaves using (r)
 """
+
+OP11 = """
+with records as (
+  select page_id, strlen(coalesce(html, '')) as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages
+), firsts as (
+  select payload_digest, min(page_id) as first from records where payload_bytes >= 100 group by all
+), judged as (
+  select r.*, case when first is not null and r.page_id is distinct from first then first end as refers_to
+  from records r left join firsts f on f.payload_digest = r.payload_digest
+)
+select page_id, payload_bytes, payload_digest,
+  case when refers_to is null then 'response' else 'revisit' end as record_type, refers_to
+from judged
+"""
