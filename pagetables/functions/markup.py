@@ -319,19 +319,6 @@ def _if_held(page: Column, value: str | None, found: Column) -> Column:
     return found if value is None else F.when(page.contains(value), found)
 
 
-def all_inner(
-    page: Column,
-    tag: str | None,
-    attr: str | None = None,
-    value: str | None = None,
-    match: str = "=",
-) -> Column:
-    """Markup inside every matching element, in page order."""
-    pattern = _rule_element(tag, attr, value, match)
-    found = F.regexp_extract_all(page, F.lit(pattern), F.lit(1))
-    return F.transform(_if_held(page, value, found), inside_element)
-
-
 def first_inner(
     page: Column,
     tag: str | None,
@@ -359,93 +346,6 @@ def _first_element(
     return _if_held(page, value, found)
 
 
-def first_inners(page: Column, rules: list[tuple[str | None, ...]]) -> Column:
-    """Array of ``first_inner``, one per rule: the plan holds the cutting once."""
-    found = F.array(*[_first_element(page, *rule) for rule in rules])
-    return F.transform(found, lambda e: F.when(e != "", inside_element(e)))
-
-
-def first_texts(page: Column, rules: list[tuple[str | None, ...]]) -> Column:
-    """Array of ``first_text``, one per rule."""
-    return F.transform(first_inners(page, rules), squashed_text)
-
-
-def rest_of_parent(
-    page: Column,
-    tag: str | None,
-    attr: str | None = None,
-    value: str | None = None,
-    match: str = "=",
-) -> Column:
-    """Markup of the siblings that follow the first matching element, or null.
-
-    Every end tag counts here, so a sibling that is left open takes in the next.
-    """
-    start = _open_tag(tag, attr, value, match)
-    found = _if_held(page, value, F.regexp_extract(page, rf"(?is){start}.*+", 0))
-
-    def after(e: Column) -> Column:
-        name = F.lower(F.regexp_extract(e, r"\A<([A-Za-z0-9]+)", 1))
-        tail = F.regexp_replace(e, r"\A<[^>]*+>", "")
-        return _bound(tail, lambda t: _after(t, _tags_of(name)))
-
-    return _bound(
-        found, lambda e: F.when(e != "", _bound(after(e), lambda t: _inside(t, _ANY_TAG)))
-    )
-
-
-def _after(tail: Column, tags: str | Column) -> Column:
-    """What follows the element that ``tail`` starts in."""
-    rest = F.substr(tail, _inside_length(tail, tags) + 1)
-    return F.regexp_replace(rest, r"\A<[^>]*+>", "")
-
-
-# Siblings that hold no others, and text between them.
-_FLAT = (
-    rf"[^<]*+(?:(?:<{_VOID}(?=[\s/>])[^>]*+>|<(?!div[\s/>])([a-z0-9]++)[^>]*+>[^<]*+</\1\s*+>)[^<]*+)*+"
-)
-
-
-def next_div(tail: Column) -> Column:
-    """Inside of the ``div`` that follows the one ``tail`` starts in, or null."""
-    found = F.regexp_extract(
-        _after(tail, DIV_TAGS), rf"(?is)\A{_FLAT}(<div(?=[\s>])[^>]*+>.*+)", 2
-    )
-    return _bound(found, lambda e: F.when(e != "", inside_element(e)))
-
-
-def last_div(head: Column) -> Column:
-    """Inside of the ``div`` that ``head`` ends with, or null: its tags are
-    counted from the end."""
-    tags = F.regexp_extract_all(head, F.lit(DIV_TAGS), F.lit(0))
-    sizes = F.zip_with(
-        F.concat(tags, F.array(F.lit(""))),
-        F.split(head, DIV_TAGS),
-        lambda tag, text: F.struct(
-            tag.alias("tag"), (F.char_length(text) + F.char_length(tag)).alias("length")
-        ),
-    )
-
-    def walk(at: Column, piece: Column) -> Column:
-        step = F.when(piece["tag"] == "", 0).when(piece["tag"].startswith("</"), 1).otherwise(-1)
-        depth = at["depth"] + step
-        done = (piece["tag"] != "") & (depth <= 0)
-        length = at["length"] + F.when(done, 0).otherwise(piece["length"])
-        return F.when(at["done"], at).otherwise(
-            F.struct(depth.alias("depth"), length.alias("length"), done.alias("done"))
-        )
-
-    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("length"), F.lit(False).alias("done"))
-    siblings = F.element_at(F.split(head, DIV_TAGS), -1).rlike(rf"(?is)\A{_FLAT}\z")
-    return _bound(
-        F.when(siblings, F.aggregate(F.reverse(sizes), start, walk)),
-        lambda at: F.when(at["done"] & (at["depth"] == 0), F.right(head, at["length"])),
-    )
-
-
-DIV_TAGS = r"(?i)</?div(?=[\s/>])[^>]*+>"
-
-
 def first_text(page: Column, *rule: str | None, **kw: str | None) -> Column:
     """Squashed text of the first matching element, or null."""
     return squashed_text(first_inner(page, *rule, **kw))

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagetables.functions import elements as E
 from pagetables.functions import markup as M
 from pagetables.functions import state as S
 from pagetables.functions.text import (
@@ -60,22 +60,21 @@ def listing_record(
     is missing or has no product name becomes a row of its URL and an error; the
     others go on.
 
-    Texts are read in a projection of their own, so that what is derived from
-    one text does not search the page again.
+    All fields are read from one index of the page's elements.
     """
-    page = F.col(html)
+    page = E.Page("__page")
     texts = {
-        "own_name": (None, "data-test", "product_name"),
-        "heading": ("h1",),
-        "sku": (None, "data-test-id", "sku"),
-        "price_text": (None, "data-test", "price"),
-        "strike_text": (None, "data-test", "strike_price"),
+        "own_name": page.first(None, "data-test", "product_name"),
+        "heading": page.first("h1"),
+        "sku": page.first(None, "data-test-id", "sku"),
+        "price_text": page.first(None, "data-test", "price"),
+        "strike_text": page.first(None, "data-test", "strike_price"),
     }
-    read = prepared(pages, html).select(
+    read = E.with_index(pages, html, "__page").select(
         F.col(url).alias("url"),
-        M.first_texts(page, list(texts.values())).alias("__texts"),
-        M.first_attr(page, "content", "meta", "property", "og:image").alias("image"),
-        page.isNull().alias("no_page"),
+        _texts(page, texts),
+        page.attribute(page.first("meta", "property", "og:image"), "content").alias("image"),
+        F.col("__page").isNull().alias("no_page"),
         *also,
     ).select("url", *_named("__texts", texts), "image", "no_page", *also)
     found = F.col("own_name").isNotNull()
@@ -112,45 +111,54 @@ def split_failures(records: DataFrame, error: str = "error") -> tuple[DataFrame,
 
 def simple_record(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """The 6-column record; prices stay text."""
-    page = F.col(html)
+    page = E.Page("__page")
     texts = {
-        "name": (None, "data-test", "product_name"),
-        "sku": (None, "data-test-id", "sku"),
-        "price": (None, "data-test", "price"),
-        "original_price": (None, "data-test", "strike_price"),
+        "name": page.first(None, "data-test", "product_name"),
+        "sku": page.first(None, "data-test-id", "sku"),
+        "price": page.first(None, "data-test", "price"),
+        "original_price": page.first(None, "data-test", "strike_price"),
     }
-    return prepared(pages, html).select(
+    return E.with_index(pages, html, "__page").select(
         F.col(url).alias("url"),
-        M.first_texts(page, list(texts.values())).alias("__texts"),
-        M.first_attr(page, "content", "meta", "property", "og:image").alias("image"),
+        _texts(page, texts),
+        page.attribute(page.first("meta", "property", "og:image"), "content").alias("image"),
     ).select("url", *_named("__texts", texts), "image")
 
 
-def detail_rows(page: Column, labels: list[str] = DETAIL_LABELS) -> Column:
+def detail_rows(page: E.Page, labels: list[str] = DETAIL_LABELS) -> Column:
     """Map of label to value: the ``div`` after the one whose paragraph is the label.
 
-    All labelled rows are cut out in one pass; for each label the first row
-    counts, and empty values are dropped.
+    For each label the first row counts, and empty values are dropped.
     """
-    spaced = "|".join(r"\s+".join(re.escape(word) for word in label.split()) for label in labels)
-    around = r"(?:\s|<(?!/?p[\s/>])[^>]*+>)*+"
-    label_cell = rf"<p(?=[\s>])[^>]*+>{around}(?:{spaced}){around}</p\s*+>"
-    simple = rf"\s*+</div\s*+>\s*+<div(?=[\s>])[^>]*+>({M.without('div')})"
-    rows = F.regexp_extract_all(
-        page, F.lit(rf"(?is)(?=({label_cell}(?:{simple}(?=</div[\s>]|\z)|.*+)))<"), F.lit(1)
+    wanted = F.array(*[F.lit(label) for label in labels])
+    held = F.transform(
+        page.find("p"),
+        lambda p: F.struct(p["up"].alias("at"), F.when(p["around"] == "div", page.text(p)).alias("label")),
     )
 
-    def cell(row: Column) -> Column:
-        rest = F.regexp_replace(row, rf"(?is)\A{label_cell}", "")
-        whole = rf"(?is)\A{simple}\z"
-        value = F.when(rest.rlike(whole), F.regexp_extract(rest, whole, 1)).otherwise(M.next_div(rest))
-        return F.struct(
-            M.squashed_text(F.regexp_extract(row, rf"(?is)\A{label_cell}", 0)).alias("label"),
-            M.squashed_text(value).alias("value"),
+    def rows(cells: Column) -> Column:
+        boxes = F.filter(
+            page.elements, lambda e: (e["name"] == "div") & F.exists(cells, lambda c: c["at"] == e["at"])
         )
 
-    cells = F.filter(F.transform(rows, cell), lambda c: c["value"].isNotNull())
-    return first_entries(cells, labels)
+        def entries(pairs: Column) -> Column:
+            found = F.transform(
+                cells,
+                lambda c: F.struct(
+                    F.get(F.filter(pairs, lambda p: p["of"] == c["at"]), F.lit(0))["next"].alias("value"),
+                    c["label"].alias("label"),
+                ),
+            )
+            # In the order of the values, as they stand on the page.
+            ordered = F.array_sort(F.filter(found, lambda c: c["value"].isNotNull()))
+            return F.transform(
+                ordered, lambda c: F.struct(c["label"].alias("label"), page.text(c["value"]).alias("value"))
+            )
+
+        return M._bound(page.next_to(boxes, page.find("div"), 1), entries)
+
+    labelled = F.filter(held, lambda c: F.array_contains(wanted, c["label"]))
+    return first_entries(M._bound(labelled, rows), labels)
 
 
 def first_entries(cells: Column, keys: list[str]) -> Column:
@@ -171,55 +179,35 @@ def first_entries(cells: Column, keys: list[str]) -> Column:
     return F.map_from_entries(F.filter(firsts, lambda e: e["value"] != ""))
 
 
-def section_map(page: Column, elements: dict[str, tuple[str, str | None, str | None]]) -> Column:
+def section_map(page: E.Page, elements: dict[str, Column]) -> Column:
     """Map of name to text for the named elements that are present."""
-    inners = M.first_inners(page, [(*rule, "~=") for rule in elements.values()])
-    entries = F.zip_with(
-        F.array(*[F.lit(name) for name in elements]),
-        inners,
-        lambda name, inner: F.struct(name.alias("key"), strip_ends(M.raw_text(inner)).alias("value")),
+    entries = F.transform(
+        F.array(*[F.struct(F.lit(name).alias("key"), element.alias("value")) for name, element in elements.items()]),
+        lambda e: F.struct(e["key"].alias("key"), strip_ends(page.raw(e["value"])).alias("value")),
     )
     return F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull()))
 
 
-def sections(page: Column, classes: list[str] = SECTION_CLASSES) -> Column:
-    """Map of class to text: the first section of each class in the page's content.
-
-    The content is cut out first, so that only it is searched for each class.
-    """
-    content = M.first_inner(page, None, "id", CONTENT_ID)
-    held = F.transform(
-        F.array(content), lambda c: section_map(c, {name: ("div", "class", name) for name in classes})
-    )
-    return F.get(held, F.lit(0))
-
-
-def brand_origin(page: Column) -> Column:
-    """Text of the first span in the ``div`` that precedes the brand row."""
-    first = BRAND_LABEL[0]
-    row = (
-        rf"<(?i:div)(?=[\s>])[^>]*+>[^<]*+(?:<(?!/?(?i:div|span)[\s/>])[^<]*+)*+<(?i:span)[^>]*+>"
-        rf"[^<{first}]*+(?:(?!</?(?i:div)[\s/>]|{BRAND_LABEL})[<{first}][^<{first}]*+)*+{BRAND_LABEL}"
-    )
-    head = F.when(page.contains(BRAND_LABEL), F.split(page, row, 2))
-    return F.get(
-        F.transform(
-            F.filter(F.array(head), lambda h: F.size(h) == 2),
-            lambda h: M.first_text(M.last_div(F.get(h, F.lit(0))), "span"),
-        ),
-        F.lit(0),
+def sections(page: E.Page, classes: list[str] = SECTION_CLASSES) -> Column:
+    """Map of class to text: the first section of each class in the page's content."""
+    content = page.inside(page.find(None, "id", CONTENT_ID), page.find("div"))
+    return M._bound(
+        content,
+        lambda divs: section_map(page, {name: page.first("div", "class", name, "~=", divs) for name in classes}),
     )
 
 
-def after_sku(page: Column) -> Column:
-    """Markup of the siblings that follow the SKU."""
-    return M.rest_of_parent(page, "span", "data-test-id", "sku")
+def brand_origin(page: E.Page) -> Column:
+    """The first span in the ``div`` that precedes the brand row."""
+    labels = F.filter(page.find("span"), lambda e: (e["around"] == "div") & page.raw(e).contains(BRAND_LABEL))
+    rows = page.next_to(page.parents(labels), page.find("div"), -1)
+    origins = page.inside(F.transform(rows, lambda r: r["next"]), page.find("span"))
+    return F.get(origins, F.lit(0))
 
 
-def spans_of(markup: Column, css_class: str) -> Column:
-    """Texts of the spans whose class holds ``css_class``."""
-    spans = M.all_inner(markup, "span", "class", css_class, "*=")
-    return F.transform(spans, lambda s: strip_ends(M.raw_text(s)))
+def _texts(page: E.Page, elements: dict[str, Column]) -> Column:
+    """Texts of some elements as one array: the plan holds their cleaning once."""
+    return F.transform(F.array(*elements.values()), page.text).alias("__texts")
 
 
 def dom_record(
@@ -227,42 +215,54 @@ def dom_record(
 ) -> DataFrame:
     """The record as the page shows it: scalars, two counts and two maps.
 
-    Columns named in ``also`` are passed on.
+    All fields are read from one index of the page's elements. Columns named in ``also``
+    are passed on.
     """
-    page = F.col(html)
-    counts = F.col("__counts")
-    both = F.size(counts) >= 2
-    strike = M.first_inner(page, None, "data-test", "strike_price")
+    return dom_fields(E.with_index(pages, html, "__page"), url, also)
+
+
+def dom_fields(
+    indexed: DataFrame, url: str = "url", also: tuple[str, ...] = (), index: str = "__page"
+) -> DataFrame:
+    """``dom_record`` of pages that are indexed already."""
+    page = E.Page(index)
     texts = {
-        "ten": (None, "data-test", "product_name"),
-        "sku": (None, "data-test-id", "sku"),
-        "gia_ban": (None, "data-test", "price"),
-        "don_vi": (None, "data-test", "unit"),
-        "thuong_hieu": ("a", "href", BRAND_PATH, "^="),
+        "ten": page.first(None, "data-test", "product_name"),
+        "sku": page.first(None, "data-test-id", "sku"),
+        "gia_ban": page.first(None, "data-test", "price"),
+        "gia_goc": F.get(page.inside(page.find(None, "data-test", "strike_price"), page.find("p")), F.lit(0)),
+        "don_vi": page.first(None, "data-test", "unit"),
+        "thuong_hieu": page.first("a", "href", BRAND_PATH, "^="),
     }
-    read = prepared(pages, html).select(
+    beside = page.after(page.find("span", "data-test-id", "sku"), page.find("span"))
+    read = indexed.select(
         F.col(url).alias("url"),
-        M.first_texts(page, list(texts.values())).alias("__texts"),
-        M.first_text(strike, "p").alias("gia_goc"),
-        brand_origin(page).alias("xuat_xu"),
-        M.first_attr(page, "content", "meta", "property", "og:image").alias("hinh_anh"),
-        after_sku(page).alias("__after_sku"),
+        _texts(page, texts | {"xuat_xu": brand_origin(page)}),
+        page.attribute(page.first("meta", "property", "og:image"), "content").alias("hinh_anh"),
+        F.transform(
+            M._bound(beside, lambda s: _beside_sku(page, s)), lambda e: strip_ends(page.raw(e))
+        ).alias("__beside"),
         detail_rows(page).alias("thong_tin_khac"),
         sections(page).alias("mo_ta"),
         *also,
     )
-    spans = read.select(
-        "*", *_named("__texts", texts), spans_of(F.col("__after_sku"), "cursor-pointer").alias("__counts")
-    )
-    return spans.select(
+    # The rating, or null, and then the counts.
+    both = F.size("__beside") >= 3
+    return read.select("*", *_named("__texts", [*texts, "xuat_xu"])).select(
         "url", "ten", "sku", "gia_ban", "gia_goc", "don_vi", "thuong_hieu", "xuat_xu", "hinh_anh",
-        F.get(spans_of(F.col("__after_sku"), "inline-flex"), F.lit(0)).alias("diem_danh_gia"),
-        F.when(both, F.get(counts, F.lit(0))).alias("so_danh_gia"),
-        F.when(both, F.get(counts, F.lit(1))).alias("so_binh_luan"),
+        F.get("__beside", F.lit(0)).alias("diem_danh_gia"),
+        F.when(both, F.get("__beside", F.lit(1))).alias("so_danh_gia"),
+        F.when(both, F.get("__beside", F.lit(2))).alias("so_binh_luan"),
         "thong_tin_khac", "mo_ta", *also,
     )
 
 
+def _beside_sku(page: E.Page, spans: Column) -> Column:
+    """The rating and the counts, as elements, among the spans that follow the SKU."""
+    rating, counts = (page.find("span", "class", c, "*=", spans) for c in ("inline-flex", "cursor-pointer"))
+    return F.concat(F.array(F.get(rating, F.lit(0))), counts)
+
+
 # ---------------------------------------------------------------- state
 
 def with_state(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -415,11 +415,13 @@ def two_source(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
 
     Pages whose markup names no product, or that hold no state, give no row.
     """
-    shown = dom_record(pages.withColumn("page", F.col(html)), url, html, also=("page",))
-    fields = [c for c in shown.columns if c not in ("url", "page")]
-    named = shown.filter(F.col("ten").isNotNull())
-    dom = named.select("url", "page", F.struct(*fields).alias("dom"))
-    held = nested_product(with_state(dom, "page"), also=("dom",))
+    raw = pages.select(F.col(url).alias("url"), F.col(html).alias("html"), F.col(html).alias("__raw"))
+    shown = dom_record(raw, also=("__raw",))
+    fields = [c for c in shown.columns if c not in ("url", "__raw")]
+    # A generator again: a filter on a field would read all fields a second time.
+    named = F.filter(F.array(F.struct(*fields)), lambda d: d["ten"].isNotNull())
+    dom = shown.select("url", "__raw", F.explode(named).alias("dom"))
+    held = nested_product(with_state(dom, "__raw"), also=("dom",))
     fields = [c for c in held.columns if c not in ("url", "dom")]
     return held.select("url", "dom", F.struct(*fields).alias("nextdata"))
 

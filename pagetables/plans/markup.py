@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagetables.functions import elements as E
 from pagetables.functions import links as L
 from pagetables.functions import markup as M
-from pagetables.operators import records, rules
+from pagetables.operators import records
 from pagetables.plans.registry import plan
 from pagetables.plans.texts import SPACE_RE2
 from pagetables.sources.tables import table
@@ -123,16 +124,15 @@ select page_id, {text_of('<title>', 'title')} as title, {text_of('<h1>', 'h1')}
 from pages
 """)
 def rule_fields(spark: SparkSession, folder: str) -> DataFrame:
-    """The same kind of fields by rules that follow the nesting of elements."""
-    wanted = [
-        rules.Rule("title", "title"),
-        rules.Rule("heading", "h1"),
-        rules.Rule("body", "article"),
-        rules.Rule("footer", "footer"),
-        rules.Rule("lang", "html", take="lang"),
-        rules.Rule("t_link", "a", "href", "/t", "^=", take="href"),
-    ]
-    return rules.extract(raw_pages(spark, folder), ["page_id"], "html", wanted)
+    """The same kind of fields from the index of the page's elements."""
+    page = E.Page("page")
+    fields = {"title": "title", "heading": "h1", "body": "article", "footer": "footer"}
+    return E.with_index(raw_pages(spark, folder).select("page_id", "html")).select(
+        "page_id",
+        *[page.text(page.first(tag)).alias(name) for name, tag in fields.items()],
+        page.attribute(page.first("html"), "lang").alias("lang"),
+        page.attribute(page.first("a", "href", "/t", "^="), "href").alias("t_link"),
+    )
 
 
 # ------------------------------------------------------------ anchors
@@ -285,9 +285,12 @@ def _section_sql() -> str:
 
 @plan(_section_sql())
 def section_map(spark: SparkSession, folder: str) -> DataFrame:
-    elements = {css or tag: (tag, "class" if css else None, css) for tag, css in _SECTIONS}
-    found = pages(spark, folder).select(
-        "page_id", records.section_map(F.col("html"), elements).alias("m")
+    page = E.Page("page")
+    elements = {
+        css or tag: page.first(tag, "class" if css else None, css, "~=") for tag, css in _SECTIONS
+    }
+    found = E.with_index(raw_pages(spark, folder).select("page_id", "html")).select(
+        "page_id", records.section_map(page, elements).alias("m")
     )
     return found.select("page_id", F.explode("m").alias("section", "text"))
 

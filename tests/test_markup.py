@@ -3,8 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from pagetables.functions import elements as E
 from pagetables.functions import markup as M
-from pagetables.operators import records, rules
+from pagetables.operators import records
 
 
 def one(spark, fn, page):
@@ -72,30 +73,9 @@ def test_first_matches(spark):
     assert one(spark, M.anchor_hrefs, PAGE) == ["/one.html", "/two.html"]
 
 
-def test_rules_agree_with_patterns(spark):
-    wanted = [
-        rules.Rule("title", "title"),
-        rules.Rule("name", None, "data-test", "product_name"),
-        rules.Rule("image", "meta", "property", "og:image", take="content"),
-        rules.Rule("link", "a", "href", ".html", "$=", take="href"),
-        rules.Rule("usage", "div", "class", "usage", "~="),
-        rules.Rule("none", "h5"),
-    ]
-    df = spark.createDataFrame([(1, PAGE), (2, None)], "id int, html string")
-    found = {r.id: r.asDict() for r in rules.extract(df, ["id"], "html", wanted).collect()}
-    assert found[1] == {
-        "id": 1, "title": "A & B", "name": "Name here", "image": "/i.jpg", "link": "/one.html",
-        "usage": "never closed", "none": None,
-    }
-    assert set(found[2].values()) == {2, None}
-
-
-def test_rules_follow_nesting(spark):
-    page = '<div class="usage">a<div>b</div>c</div><div>d</div><p>x<p>y'
-    df = spark.createDataFrame([(1, page)], "id int, html string")
-    wanted = [rules.Rule("usage", "div", "class", "usage"), rules.Rule("para", "p")]
-    row = rules.extract(df, ["id"], "html", wanted).first()
-    assert (row.usage, row.para) == ("abc", "x")
+def indexed(spark, fn, page):
+    df = spark.createDataFrame([(page,)], "html string")
+    return E.with_index(df).select(fn(E.Page("page"))).first()[0]
 
 
 def test_detail_rows_and_sections(spark):
@@ -106,8 +86,8 @@ def test_detail_rows_and_sections(spark):
         "<div><p>Số đăng ký</p></div><div>second</div><div><p>Other</p></div><div>no</div></div>"
         "<div id='content-wrapper'><div class='usage'>H<p>use</p></div><div class='usages'>no</div></div>"
     )
-    assert one(spark, records.detail_rows, page) == {"Số đăng ký": "12/3"}
-    assert one(spark, records.sections, page) == {"usage": "Huse"}
+    assert indexed(spark, records.detail_rows, page) == {"Số đăng ký": "12/3"}
+    assert indexed(spark, records.sections, page) == {"usage": "Huse"}
 
 
 @pytest.mark.parametrize(
@@ -130,8 +110,8 @@ def test_elements_are_balanced(spark, page, inner):
 
 def test_all_elements_with_nested_ones(spark):
     page = "<div class='q'>a<div class='q'>b</div></div><div>c</div><p class='q'>d</p>"
-    found = one(spark, lambda p: M.all_inner(p, None, "class", "q"), page)
-    assert found == ["a<div class='q'>b</div>", "b", "d"]
+    found = indexed(spark, lambda p: F.transform(p.find(None, "class", "q"), p.raw), page)
+    assert found == ["ab", "b", "d"]
 
 
 def test_long_and_deep_markup(spark):
@@ -154,8 +134,8 @@ def test_details_and_sections_with_inner_markup(spark):
         "<div id='content-wrapper'><div><div class='a dosage'><div>a</div><div>b</div></div></div>"
         "<div class='usage'>real</div></div><div class='careful'>outside</div>"
     )
-    assert one(spark, records.detail_rows, page) == {"Quy cách": "Hộp8 ống", "Danh mục": "x"}
-    assert one(spark, records.sections, page) == {"usage": "real", "dosage": "ab"}
+    assert indexed(spark, records.detail_rows, page) == {"Quy cách": "Hộp8 ống", "Danh mục": "x"}
+    assert indexed(spark, records.sections, page) == {"usage": "real", "dosage": "ab"}
 
 
 def test_siblings_with_inner_markup(spark):
