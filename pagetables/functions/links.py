@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from pagetables.functions.text import strip_ends
 
-# The suffix that marks a detail page, and the text of the button
-# that says more results remain.
+# The suffix that marks a detail page, the section of a listing page that
+# holds its products, and the text of the button that says more results remain.
 PAGE_SUFFIX = ".html"
+SECTION_ID = "category-page__products-section"
 MORE_MARKER = r"(?U)Xem thêm\s*\d+\s*sản phẩm"
 
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:"

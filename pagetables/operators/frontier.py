@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagetables.functions.links import resolve_href, resolve_slug
@@ -76,30 +76,16 @@ def growth(
     """Links gained per round, the first stop rule each round meets, and whether
     the harvest was still going when the round began.
 
-    ``rounds(round, more)`` says whether a round showed that more remain. The
-    windows run over one row per round; rounds are the load-more steps of a
-    listing, not a quantity that grows with the links.
+    ``rounds(round, more)`` says whether a round showed that more remain. This is
+    ``listing.progress`` of one listing.
     """
-    gained = frontier.groupBy("round").agg(F.count("*").alias("new_links"))
-    per_round = rounds.groupBy("round").agg(F.bool_or("more").alias("more")).join(
-        gained, "round", "left"
-    )
-    by_round = Window.orderBy("round")
-    so_far = by_round.rowsBetween(Window.unboundedPreceding, 0)
-    earlier = by_round.rowsBetween(Window.unboundedPreceding, -1)
-    counted = per_round.select(
-        "round", "more", F.coalesce("new_links", F.lit(0)).alias("new_links")
-    ).withColumns(
-        {"total_links": F.sum("new_links").over(so_far), "step": F.row_number().over(by_round)}
-    )
-    stop = (
-        F.when(F.col("total_links") >= max_links, "enough")
-        .when(~F.col("more"), "no more")
-        .when(F.col("new_links") == 0, "stalled")
-        .when(F.col("step") >= max_rounds, "round limit")
+    from pagetables.operators.listing import progress
+
+    one = F.lit(None).cast("string").alias("listing")
+    told = progress(frontier.select("*", one), rounds.select("*", one), max_links, max_rounds)
+    return told.select(
+        "round", "new_links", "total_links", F.col("step").cast("int").alias("step"), "stop_rule", "going"
     )
-    ruled = counted.withColumn("stop_rule", stop).drop("more")
-    return ruled.withColumn("going", F.count("stop_rule").over(earlier) == 0)
 
 
 def url_table(frontier: DataFrame, category: Column) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pagetables.plans import entities, ledgers, links, markup, products, streams, texts  # noqa: F401
+from pagetables.plans import entities, ledgers, links, listings, markup, products, streams, texts  # noqa: F401
 from pagetables.plans.registry import PLANS, Build
 
 
