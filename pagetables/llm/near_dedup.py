@@ -140,9 +140,14 @@ def _signer(rule: Similar) -> Callable[[np.ndarray], tuple[bytes, np.ndarray, np
     return sign
 
 
+def hash_of(text: str) -> Column:
+    """128 bits that tell texts apart; a null text counts as empty."""
+    return F.unhex(F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")))
+
+
 def signatures(docs: DataFrame, doc_id: str, text: str, rule: Similar = Similar()) -> DataFrame:
-    """``id``, ``text_hash``, ``n_shingles``, ``digest`` of the set, ``bands`` and ``sketch``; the last
-    three are null for an empty set. One row per row of ``docs``."""
+    """``id``, ``text_hash`` (see ``hash_of``), ``n_shingles``, ``digest`` of the set, ``bands`` and
+    ``sketch``; the last three are null for an empty set. One row per row of ``docs``."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make, signed = shingle_maker(rule.shingle), _signer(rule)
@@ -172,31 +177,19 @@ def signatures(docs: DataFrame, doc_id: str, text: str, rule: Similar = Similar(
     given = docs.select(
         F.col(f"`{doc_id}`").cast("long").alias("id"),
         F.col(f"`{text}`").alias("text"),
-        F.xxhash64(F.coalesce(f"`{text}`", F.lit(""))).alias("text_hash"),
+        hash_of(text).alias("text_hash"),
     )
-    schema = "id long, text_hash long, n_shingles long, digest binary, bands array<bigint>, sketch array<bigint>"
+    schema = "id long, text_hash binary, n_shingles long, digest binary, bands array<bigint>, sketch array<bigint>"
     return given.mapInArrow(sign, schema)
 
 
-def chosen(signed: DataFrame) -> DataFrame:
-    """One row per id with a set: ``id``, ``digest``, and whether it has ``others`` too.
-    Of several texts the one with the least hash counts."""
-    known = signed.filter("digest is not null and id is not null")
-    return known.groupBy("id").agg(
-        F.min(F.struct("text_hash", "digest"))["digest"].alias("digest"),
-        (F.min("digest") != F.max("digest")).alias("others"),
-    )
-
-
-def classes(signed: DataFrame, ids: DataFrame) -> DataFrame:
-    """One row per distinct set: ``rep`` (its smallest id), ``n``, ``bands``, ``sketch``."""
-    # Ids with several texts are rare; their other texts are left out.
-    several = ids.filter("others").select("id", F.col("digest").alias("own"))
-    known = signed.filter("digest is not null and id is not null").join(several, "id", "left")
-    known = known.filter("own is null or own = digest")
-    signature = F.min_by(F.struct("n_shingles", "bands", "sketch"), "id").alias("s")
-    reps = known.groupBy("digest").agg(F.min("id").alias("rep"), signature)
-    return reps.select("rep", F.col("s.n_shingles").alias("n"), "s.bands", "s.sketch")
+def classes(signed: DataFrame) -> DataFrame:
+    """One row per distinct set: ``digest``, its ``first`` row (of least id, none last, then of
+    least text hash), ``n``, ``bands``, ``sketch``."""
+    signature = F.min_by(F.struct("n_shingles", "bands", "sketch"), "text_hash").alias("s")
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash", "row")).alias("first")
+    found = signed.filter("digest is not null").groupBy("digest").agg(first, signature)
+    return found.select("digest", "first", F.col("s.n_shingles").alias("n"), "s.bands", "s.sketch")
 
 
 def xor_bits(left: Column, right: Column) -> Column:
@@ -209,14 +202,14 @@ def sizes_allow(n: Column, m: Column, rule: Similar) -> Column:
     return F.least(n, m) * 100 >= F.greatest(n, m) * rule.percent
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, rule: Similar) -> DataFrame:
-    """Those of the pairs (``a``, ``b``) whose full shingle sets are similar enough.
+def confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame, text: str, rule: Similar) -> DataFrame:
+    """Those of the pairs (``a``, ``b``) of classes whose full shingle sets are similar enough.
 
     Only texts that occur in a pair are moved. A text that is in many pairs is a hot
     key of one join side, which adaptive execution splits.
     """
-    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "pair-ids")
-    texts = materialize(_texts(docs, doc_id, text, ids), "pair-texts")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    texts = materialize(_texts(docs, text, reps, wanted), "pair-texts")
     # Joined by ``a`` last, so that pairs of one text come one after another.
     both = pairs.join(texts.toDF("b", "right"), "b").join(texts.toDF("a", "left"), "a")
 
@@ -267,28 +260,25 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
             return state
 
 
-def _texts(docs: DataFrame, doc_id: str, text: str, ids: DataFrame) -> DataFrame:
-    """``id`` and ``text`` of the documents in ``ids``; hardly any other text is moved."""
-    given = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.coalesce(f"`{text}`", F.lit("")).alias("text"))
-    return (
-        maybe_in(given, F.col("id"), ids, "maybe")
-        .filter("maybe")
-        .join(ids, "id", "left_semi")
-        .groupBy("id")
-        .agg(F.min_by("text", F.xxhash64("text")).alias("text"))
-    )
+def _texts(docs: DataFrame, text: str, reps: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``rep`` and ``text`` of the classes in ``wanted``; hardly any other text is moved, and
+    copies of one text are one before they are."""
+    hashes = materialize(reps.select("rep", "first.text_hash").join(wanted, "rep"), "wanted-texts")
+    given = docs.select(hash_of(text).alias("text_hash"), F.coalesce(f"`{text}`", F.lit("")).alias("text"))
+    held = maybe_in(given, F.col("text_hash"), hashes.select("text_hash"), "maybe").filter("maybe")
+    return held.groupBy("text_hash").agg(F.min("text").alias("text")).join(hashes, "text_hash").select("rep", "text")
 
 
 def _shingle_sets(texts: DataFrame, rule: Similar) -> DataFrame:
-    """``id`` and ``shingles``, the sorted hashes of its text's set as bytes."""
+    """``rep`` and ``shingles``, the sorted hashes of its text's set as bytes."""
 
     def make_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = shingle_maker(rule.shingle)
         for batch in batches:
             sets = pa.array([make(x.as_py()).tobytes() for x in batch.column(1)], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), sets], names=["id", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), sets], names=["rep", "shingles"])
 
-    return texts.select("id", "text").mapInArrow(make_sets, "id long, shingles binary")
+    return texts.select("rep", "text").mapInArrow(make_sets, "rep long, shingles binary")
 
 
 def _meetings(members: DataFrame, rule: Similar) -> DataFrame:
@@ -375,14 +365,23 @@ def near_duplicates(
     Documents are linked when their shingle sets are similar enough; a component is
     what links reach, named by its smallest id, and the document of that id is kept.
 
-    Null and empty texts have no shingles and are linked with nothing. A row without
-    an id cannot be named: its component is null and it is kept. Rows that repeat an
-    id are one document with one component, and come out once each; if their texts
-    differ, the one with the least hash counts. Other columns are not read.
+    Null and empty texts have no shingles, are linked with nothing and kept, each a component
+    of its own. Every distinct text is compared, whatever its id: a row without an id, or with one
+    that other texts have as well, belongs to the component that its own text is in.
+    A component whose rows have no ids has no name, its ``component_id`` is null. One row of
+    each component is kept: the one of least id (none comes last), then of least text hash,
+    then one of those that repeat it. Other columns are not read; an empty table has no rows.
     """
-    signed = materialize(signatures(docs, doc_id, text, rule), "signatures")
-    ids = materialize(chosen(signed), "sets")
-    reps = materialize(classes(signed, ids), "classes")
+    judged = _judged(docs, doc_id, text, rule)
+    return judged.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
+def _judged(docs: DataFrame, doc_id: str, text: str, rule: Similar) -> DataFrame:
+    """``near_duplicates`` with ``text_hash``."""
+    row = F.monotonically_increasing_id().alias("row")
+    signed = materialize(signatures(docs, doc_id, text, rule).select("*", row), "signatures")
+    # Classes are numbered as they are written, once.
+    reps = materialize(classes(signed).withColumn("rep", F.monotonically_increasing_id()), "classes")
     banded = reps.select("rep", F.explode("bands").alias("key"))
     least, most = F.min("rep").alias("first"), F.max("rep").alias("last")
     buckets = banded.groupBy("key").agg(least, most, F.count("*").alias("members")).filter("members > 1")
@@ -400,7 +399,7 @@ def near_duplicates(
         sizes_allow(F.col("n1"), F.col("n2"), rule) & (xor_bits(F.col("s1"), F.col("s2")) <= rule.most_bits)
     )
     pairs = materialize(likely.select(F.col("first").alias("a"), F.col("rep").alias("b")), "stars")
-    links = materialize(confirmed(pairs, docs, doc_id, text, rule), "star-links")
+    links = materialize(confirmed(pairs, reps, docs, text, rule), "star-links")
     state = components(links, "star-components")
 
     # Two members are the star itself; more may hold a pair that no star has tried.
@@ -410,35 +409,50 @@ def near_duplicates(
     mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     left = materialize(labelled.join(mixed.filter("lo < hi").select("key"), "key").join(sides, "rep"), "open-buckets")
     near = materialize(_in_likely_pairs(left, rule), "likely-members")
-    in_near = materialize(near.select(F.col("rep").alias("id")).distinct(), "likely-ids")
-    sets = _shingle_sets(_texts(docs, doc_id, text, in_near), rule).withColumnRenamed("id", "rep")
+    sets = _shingle_sets(_texts(docs, text, reps, near.select("rep").distinct()), rule)
     sets = materialize(sets.join(reps.select("rep", "bands"), "rep"), "likely-sets")
     tried = left.join(near, ["key", "rep"]).join(sets, "rep")
     more = materialize(_links_in_blocks(tried, rule), "more-links")
     state = components(links.union(more), "components")
 
-    of_set = ids.groupBy("digest").agg(F.min("id").alias("node")).join(state, "node", "left")
-    of_set = of_set.select("digest", F.coalesce("component", "node").alias("component"))
-    of_id = ids.join(of_set, "digest").select("id", "component")
-    component = F.coalesce("component", "id")
-    return (
-        signed.select("id", "n_shingles")
-        .join(of_id, "id", "left")
-        .select(
-            F.col("id").alias("doc_id"),
-            "n_shingles",
-            component.alias("component_id"),
-            F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"),
-        )
+    # A class without links is a component by itself. Its first row names it and stays.
+    linked = reps.select("rep", "digest", "first").join(state.withColumnRenamed("node", "rep"), "rep", "left")
+    named = linked.select("digest", F.coalesce("component", "rep").alias("component"), "first")
+    heads = named.groupBy("component").agg(F.min("first").alias("head"))
+    of_set = named.select("digest", "component").join(heads, "component").select("digest", "head")
+    rows = signed.select("row", "id", "text_hash", "n_shingles", "digest").join(of_set, "digest", "left")
+    return rows.select(
+        "id",
+        "text_hash",
+        "n_shingles",
+        F.when(F.col("head").isNull(), F.col("id")).otherwise(F.col("head.id")).alias("component_id"),
+        F.coalesce(F.col("row") == F.col("head.row"), F.lit(True)).alias("kept"),
     )
 
 
 def clean(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rule: Similar = Similar()) -> DataFrame:
-    """The rows of ``docs`` whose document is kept."""
-    judged = near_duplicates(docs, doc_id, text, rule)
-    gone = materialize(judged.filter("not kept").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
-    own = F.col(f"`{doc_id}`").cast("long")
-    flagged = maybe_in(docs, own, gone, "__maybe")
-    sure = flagged.filter("not __maybe").drop("__maybe")
-    tried = flagged.filter("__maybe").drop("__maybe").withColumn("__id", own)
-    return sure.union(tried.join(gone, F.col("__id") == F.col("__gone"), "left_anti").drop("__id"))
+    """One row of ``docs`` for each component, and all rows without a shingle.
+
+    A row goes only if its own text was compared and another row of its component is kept.
+    Of rows that are equal in id and text one stays, whatever their other columns.
+    """
+    judged = _judged(docs, doc_id, text, rule)
+    per_text = judged.groupBy("id", "text_hash").agg(F.bool_or("kept").alias("stays"), F.count_if(~F.col("kept")).alias("less"))
+    # What is not here stays as it is: once and for all, or as often as it comes.
+    judged_texts = per_text.filter("less > 0").select(
+        F.xxhash64("id", "text_hash").alias("__key"),
+        F.col("id").alias("__gone"),
+        F.col("text_hash").alias("__gone_hash"),
+        F.col("stays").alias("__stays"),
+    )
+    gone = materialize(judged_texts, "gone")
+    own = docs.select("*", F.col(f"`{doc_id}`").cast("long").alias("__id"), hash_of(text).alias("__hash"))
+    flagged = maybe_in(own, F.xxhash64("__id", "__hash"), gone.select("__key").distinct(), "__maybe")
+    sure = flagged.filter("not __maybe")
+    tried = flagged.filter("__maybe").join(
+        gone.drop("__key"), F.expr("__hash = __gone_hash and __id <=> __gone"), "left"
+    )
+    free = tried.filter("__stays is null")
+    one = tried.filter("__stays").dropDuplicates(["__id", "__hash"])
+    columns = [f"`{c}`" for c in docs.columns]
+    return sure.select(*columns).union(free.select(*columns)).union(one.select(*columns))

@@ -229,6 +229,36 @@ def test_near_copies_of_one_text(spark):
     assert {r["doc_id"]: r["component_id"] for r in found} == reach({i: shingles(t, 2) for i, t in texts.items()})
 
 
+def test_every_text_is_compared_whatever_its_id(spark):
+    """A third of the rows has no id; ids come twice with one text and with several."""
+    rng = random.Random(9)
+
+    def words(n):
+        return [f"w{rng.randrange(10**6)}" for _ in range(n)]
+
+    def near(own):
+        return " ".join([*own[:-1], "else"])
+
+    a, b, c, d, e = (words(60) for _ in range(5))
+    texts = {n: " ".join(x) for n, x in zip("abcde", (a, b, c, d, e), strict=True)}
+    rows = [(1, texts["a"]), (2, texts["a"]), (2, texts["c"])]  # a unique text under the id of a copy
+    rows += [(None, texts["a"]), (None, near(a)), (None, texts["b"]), (None, texts["b"]), (None, near(b))]
+    rows += [(5, texts["d"]), (5, texts["d"]), (5, near(d)), (4, near(d)), (6, texts["e"]), (None, None), (None, ""), (7, ""), (7, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row", F.lit(1)).withColumn("kept", F.lit(2))
+    kept = [(r["doc_id"], r["text"]) for r in near_dedup.clean(frame).collect()]
+    b_texts = {texts["b"], near(b)}
+    assert len([t for _, t in kept if t in b_texts]) == 1
+    others = sorted([r for r in kept if r[1] not in b_texts], key=str)
+    assert others == sorted([(1, texts["a"]), (2, texts["c"]), (4, near(d)), (6, texts["e"]), (None, None), (None, ""), (7, ""), (7, "")], key=str)
+    judged = near_dedup.near_duplicates(frame).collect()
+    assert len(judged) == len(rows)
+    found = sorted((str(r["doc_id"]), str(r["component_id"]), r["n_shingles"] > 0) for r in judged)
+    wanted = [(1, 1), (2, 1), (2, 2), (None, 1), (None, 1), *[(None, None)] * 3, *[(5, 4)] * 3, (4, 4), (6, 6)]
+    empty = [(None, None), (None, None), (7, 7), (7, 7)]
+    assert found == sorted([(str(x), str(y), True) for x, y in wanted] + [(str(x), str(y), False) for x, y in empty])
+    assert sum(r["kept"] for r in judged) == len(kept)
+
+
 def test_packing_round_trip(docs, texts):
     from tokenizers import Tokenizer
 
