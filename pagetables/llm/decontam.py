@@ -12,6 +12,7 @@ one pass over the documents, which are neither shuffled nor collected.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,14 +21,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagetables.llm.common import worker_state
+
 
 @dataclass(frozen=True)
 class Leaks:
-    """Items of ``min_chars`` normalised characters or more, found with up to
-    ``edit_percent`` of their length in edits, by grams of ``q`` characters (5 to 8).
+    """Items of ``min_chars`` normalised characters or more are found with up to
+    ``edit_percent`` of their length in edits, by grams of ``q`` characters (5 to 8);
+    shorter ones, from ``q`` characters on, as they are and between word borders.
 
     ``block_chars`` bounds the benchmark text that one pass carries; ``segment`` is
-    how many characters of documents are searched at a time.
+    how many characters of documents are searched at a time, ``hits`` how many shared
+    grams are held at a time.
     """
 
     q: int = 8
@@ -35,10 +40,11 @@ class Leaks:
     min_chars: int = 40
     block_chars: int = 4_000_000
     segment: int = 1 << 21
+    hits: int = 1 << 20
 
     def edits(self, m: int) -> int:
         """The edit budget, lowered where the lemma would no longer ask for a gram."""
-        return max(0, min(m * self.edit_percent // 100, (m - self.q) // self.q))
+        return 0 if m < self.min_chars else max(0, min(m * self.edit_percent // 100, (m - self.q) // self.q))
 
 
 def normal(text: str | None) -> str:
@@ -64,7 +70,9 @@ class Index:
         gram = np.concatenate(grams)
         order = np.argsort(gram, kind="stable")
         self.item, self.place = np.concatenate(item)[order], np.concatenate(place)[order]
-        self.grams, self.first, self.times = np.unique(gram[order], return_index=True, return_counts=True)
+        self.grams, rank = np.unique(gram[order], return_inverse=True)
+        # Places of a gram lie together, in order of their items: any range of items is a range here.
+        self.key = rank * len(items) + self.item
         self.bits = max(16, min(26, int(len(self.grams)).bit_length() + 4))
         self.known = np.zeros(1 << self.bits, bool)
         self.known[self.slots((self.grams >> np.uint64(32)).astype(np.uint32), self.grams.astype(np.uint32))] = True
@@ -111,18 +119,51 @@ def candidates(code: np.ndarray, index: Index) -> np.ndarray:
     at, found = at[real], found[real]
     if not len(at):
         return np.empty((0, 3), np.int64)
-    # One row for every place of the gram in an item.
-    times = index.times[found]
-    row = np.repeat(index.first[found] - np.r_[0, np.cumsum(times)[:-1]], times) + np.arange(times.sum())
-    item = index.item[row]
-    step = index.k[item] + 1
-    band = (np.repeat(at, times) - index.place[row] + index.gap) // step
     span = len(code) + 2 * index.gap
-    low = item * span + band
-    low.sort()
+    every = _hits(index, found, 0, len(index.texts))[1].sum()
+    # Items are taken a few at a time if their counts could become many, and the hits of
+    # those too: what is held at a time does not grow with how common a gram is.
+    few = len(index.texts) if every <= index.rule.hits else max(1, index.rule.hits // span)
+    regions = [_regions(at, found, index, lo, min(lo + few, len(index.texts)), span) for lo in range(0, len(index.texts), few)]
+    return np.concatenate(regions)
+
+
+def _hits(index: Index, found: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+    """For grams by rank: the first of their places in items from ``lo`` to ``hi``, and how many."""
+    n = len(index.texts)
+    first = np.searchsorted(index.key, found * n + lo)
+    return first, np.searchsorted(index.key, found * n + hi) - first
+
+
+def _regions(at: np.ndarray, found: np.ndarray, index: Index, lo: int, hi: int, span: int) -> np.ndarray:
+    """``candidates`` of the items from ``lo`` to ``hi``, for grams found at some places."""
+    first, times = _hits(index, found, lo, hi)
+    held = np.flatnonzero(times)
+    at, first, times = at[held], first[held], times[held]
+    if not len(at):
+        return np.empty((0, 3), np.int64)
+    ends = np.cumsum(times)
+    keys, count = np.empty(0, np.int64), np.empty(0, np.int64)
+    start = 0
+    while start < len(at):
+        begun = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, begun + index.rule.hits, "right")))
+        # One row for every place of the gram in an item.
+        n = times[start:stop]
+        row = np.repeat(first[start:stop] - (ends[start:stop] - n - begun), n) + np.arange(n.sum())
+        item = index.item[row]
+        low = (np.repeat(at[start:stop], n) - index.place[row] + index.gap) // (index.k[item] + 1)
+        low += item * span
+        more, times_of = np.unique(low, return_counts=True)
+        if start:
+            both, place = np.unique(np.concatenate([keys, more]), return_inverse=True)
+            summed = np.zeros(len(both), np.int64)
+            np.add.at(summed, place, np.concatenate([count, times_of]))
+            keys, count = both, summed
+        else:
+            keys, count = more, times_of
+        start = stop
     # Every hit counts in its own band and in the one before, which overlaps it.
-    first = np.flatnonzero(np.r_[True, low[1:] != low[:-1]])
-    keys, count = low[first], np.diff(np.r_[first, len(low)])
     after = np.searchsorted(keys, keys + 1)
     after[after == len(keys)] = 0
     both = count + np.where(keys[after] == keys + 1, count[after], 0)
@@ -177,6 +218,20 @@ def align(item: str, region: str, low: int, high: int, k: int) -> tuple[int, int
     return (int(cost[best]), int(start[best]), low + best + len(x)) if cost[best] <= k else None
 
 
+def _between_borders(item: str, text: str, left: int, right: int) -> tuple[int, int, int] | None:
+    """The first place of ``item`` in ``text`` from ``left`` to ``right``, not inside a word: (0,
+    start, end) from ``left`` on."""
+    at = text.find(item, left, right)
+    while at >= 0:
+        end = at + len(item)
+        before = at > 0 and text[at - 1].isalnum() and item[0].isalnum()
+        behind = end < len(text) and text[end].isalnum() and item[-1].isalnum()
+        if not before and not behind:
+            return 0, at - left, end - left
+        at = text.find(item, at + 1, right)
+    return None
+
+
 def search(texts: list[str], index: Index) -> Iterator[tuple[int, int, int, int, int]]:
     """(text number, item number, edits, start, end) of the items in normalised texts."""
     rule, gap, at = index.rule, index.gap, 0
@@ -221,7 +276,10 @@ def _search_group(group: list[tuple[int, int, str]], index: Index) -> Iterator[t
         base = low - int(starts[which]) - k
         left = max(0, base)
         right = max(left, base + wide + 2 * k + m)
-        found = align(index.texts[item], t[left:right], base - left, base - left + wide + 2 * k, k)
+        if m < index.rule.min_chars:
+            found = _between_borders(index.texts[item], t, left, right)
+        else:
+            found = align(index.texts[item], t[left:right], base - left, base - left + wide + 2 * k, k)
         if found:
             yield text_no, int(item), found[0], cut + left + found[1], cut + left + found[2]
 
@@ -240,9 +298,12 @@ def leaks(
     case, white space as single spaces).
 
     Null and empty texts hold nothing; items under ``min_chars`` normalised characters
-    are words rather than passages and are not sought. Items with one text are found
+    are sought as they are and not inside words, those under ``q`` are single words and
+    not sought. Items with one text are found
     once each. Ids may be null and come out as they are. Rows that repeat an id and
-    hold the same item come out once, with the fewest edits and the first place.
+    hold the same item come out once, with the fewest edits and the first place. Very long
+    texts are searched whole, in parts that overlap. Other columns are not read; an empty
+    table on either side gives no rows.
     """
     found = _held(docs, items, doc_id, text, item_id, item_text, rule)
     return (
@@ -272,15 +333,22 @@ def _held(
     for block in range(blocks):
         own = wanted.filter(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == block) if blocks > 1 else wanted
         texts = [(r["id"], normal(r["text"])) for r in own.collect()]
-        texts = [(i, t) for i, t in texts if len(t) >= max(rule.min_chars, rule.q)]
+        texts = [(i, t) for i, t in texts if len(t) >= rule.q]
         if texts:
             found = found.union(given.mapInArrow(_searcher(texts, rule), schema))
     return found
 
 
 def _searcher(texts: list[tuple[int, str]], rule: Leaks):
+    # A worker keeps the index of the block it searched last.
+    name = hashlib.sha256(repr((texts, rule)).encode("utf-8", "surrogatepass")).hexdigest()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(texts, rule)
+        kept: dict[str, Index] = worker_state("leaks", dict)
+        if name not in kept:
+            kept.clear()
+            kept[name] = Index(texts, rule)
+        index = kept[name]
         for batch in batches:
             ids, hashes = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             for at in range(0, batch.num_rows, 500):

@@ -397,6 +397,49 @@ def test_edited_leaks_against_full_alignment(texts):
         assert all(distance(item, text[r[3] : r[4]]) <= r[2] for r in found)
 
 
+def test_templated_items_in_bounded_memory(texts):
+    """Thousands of items with one stem, and a text full of its words."""
+    import tracemalloc
+
+    stem = "which of the following statements about the history of the old town of {} is true according to the text"
+    items = [(i, stem.format(f"q{i * 7919 % 100_003}x")) for i in range(14_000)]
+    index = decontam.Index(items, decontam.Leaks())
+    rng = random.Random(1)
+    words = stem.replace("{}", "place").split()
+    code = decontam.codes(" ".join(rng.choice(words) for _ in range(3_500)))
+    tracemalloc.start()
+    decontam.candidates(code, index)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 200e6
+    text = f"words of the town, {items[7][1].replace('history', 'hystory')} and more of the text"
+    found = {r[1]: r[2] for r in decontam.search([text, "clean"], decontam.Index(items[:20], decontam.Leaks()))}
+    assert found[7] == 1 == min(found.values())
+
+
+def test_hits_a_few_at_a_time(texts):
+    """The regions do not depend on how many hits are held at a time."""
+    pool = [decontam.normal(t) for t in texts.values() if len(t) > 300]
+    items = [(i, pool[i][20:180]) for i in range(12)] + [(12, "a b " * 30)]
+    code = decontam.codes(" ".join([*(p[:300] for p in pool[:20]), "a b " * 90]))
+    whole = decontam.candidates(code, decontam.Index(items, decontam.Leaks()))
+    for hits in (500, 5_000):
+        part = decontam.candidates(code, decontam.Index(items, decontam.Leaks(hits=hits)))
+        assert part.tolist() == whole.tolist() and len(whole) >= 13
+
+
+def test_short_items_on_word_borders(spark):
+    items = spark.createDataFrame([(1, "What is the capital city of Peru?"), (2, "in Peru now"), (3, "tiny"), (4, None)], "item_id long, text string")
+    rows = [(1, "He asked: what is  the capital\ncity of peru? Lima."), (2, "again in Peru nowhere, within peru now"), (3, "tiny"),
+            (4, "within peru now, in peru now!"), (5, "What is the capital town of Peru?"), (6, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("item_id", F.lit(1)).withColumn("row", F.lit(1))
+    found = {(r["doc_id"], r["item_id"], r["edits"], r["start"], r["end"]) for r in decontam.leaks(docs, items).collect()}
+    assert found == {(1, 1, 0, 10, 43), (4, 2, 0, 17, 28)}
+    assert {r["doc_id"] for r in decontam.clean(docs, items).collect()} == {2, 3, 5, 6}
+    long = spark.createDataFrame([(1, "word " * 500_000 + "what is the capital city of peru?")], "doc_id long, text string")
+    assert decontam.leaks(long, items).count() == 1
+
+
 def test_pipeline_against_its_stages(spark, texts):
     """What the stages keep, by plain rules: no rejected, no second copy, no leak; all ids packed."""
     rows = corpus_pipeline.run(spark, SMALL).collect()
