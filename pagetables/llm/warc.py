@@ -370,7 +370,9 @@ def fetch(captures: DataFrame, folder: str, rule: Archive = Archive(), with_payl
     """
     stretch = F.floor(F.col("offset") / rule.read_bytes)
     placed = captures.select("file", "offset", "length", stretch.alias("stretch"))
-    placed = placed.repartition("file", "stretch").sortWithinPartitions("file", "offset").drop("stretch")
+    # By number: places are small, and a few tasks would do for them, but not for what they name.
+    tasks = int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = placed.repartition(tasks, "file", "stretch").sortWithinPartitions("file", "offset").drop("stretch")
 
     def get(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = store(folder)
