@@ -44,15 +44,7 @@ def stream_harvest(spark: SparkSession, folder: str) -> DataFrame:
     return links.current()
 
 
-@plan("""
-select event_type as cong_cu, cast(user_id % 10 as integer) as lan, '/u/' || user_id as url,
-  case when value >= 50 then 'ok' else 'slow' end as trang_thai, null::varchar as ten,
-  cast(floor(value) as bigint) as gia, null::varchar as don_vi, null::varchar as thuong_hieu,
-  null::varchar as so_dang_ky, value as thoi_gian_xu_ly, ts as thoi_diem
-from events
-qualify row_number() over (partition by event_type, user_id order by ts desc, value desc) = 1
-""")
-def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
+def event_results(spark: SparkSession, folder: str) -> DataFrame:
     """Events as results of crawls, under the 11 columns of the results ledger."""
     results = event_stream(spark, folder).select(
         F.col("event_type").alias("cong_cu"),
@@ -63,11 +55,43 @@ def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
         F.col("value").alias("thoi_gian_xu_ly"),
         F.col("ts").cast("timestamp").alias("thoi_diem"),
     )
+    return sinks.fixed_columns(results, schemas.RESULTS)
+
+
+@plan("""
+with tries as (
+  select event_type as cong_cu, cast(user_id % 10 as integer) as lan, user_id, value, ts,
+    cast(value as decimal(18,6)) as seconds,
+    row_number() over (partition by event_type, user_id order by ts desc, value desc) = 1 as stands
+  from events)
+select cong_cu, lan, count(*) filter (stands) as so_url, count(*) filter (stands and value >= 50) as so_trang_ok,
+  cast(sum(seconds) as double) as tong_thoi_gian,
+  cast(sum(seconds) filter (stands) as double) as thoi_gian_xu_ly, null::double as ram_dinh_mb,
+  max(ts) as thoi_diem
+from tries group by all
+""")
+def result_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """The run ledger, fed by results; a replaced result is taken out of its run."""
+    ledger = jobs.RunLedger(spark, fresh_path(spark, "runs"))
+    ledger.drain(event_results(spark, folder))
+    return ledger.current().withColumn("thoi_diem", F.col("thoi_diem").cast("timestamp_ntz"))
+
+
+@plan("""
+select event_type as cong_cu, cast(user_id % 10 as integer) as lan, '/u/' || user_id as url,
+  case when value >= 50 then 'ok' else 'slow' end as trang_thai, null::varchar as ten,
+  cast(floor(value) as bigint) as gia, null::varchar as don_vi, null::varchar as thuong_hieu,
+  null::varchar as so_dang_ky, value as thoi_gian_xu_ly, ts as thoi_diem
+from events
+qualify row_number() over (partition by event_type, user_id order by ts desc, value desc) = 1
+""")
+def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest result of each tool, run and URL."""
     ledger = jobs.Ledger(
         spark, fresh_path(spark, "ledger"), schemas.RESULTS, schemas.RESULT_KEY,
         jobs.newest("thoi_diem", "thoi_gian_xu_ly"),
     )
-    ledger.drain(sinks.fixed_columns(results, schemas.RESULTS))
+    ledger.drain(event_results(spark, folder))
     return ledger.current().withColumn("thoi_diem", F.col("thoi_diem").cast("timestamp_ntz"))
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from pagetables.functions.links import resolve_slug
 from pagetables.functions.state import recursive_slugs
 from pagetables.operators.keyed import latest
+from pagetables.schemas import RESULT_KEY, RESULTS, RUNS
 from pagetables.session import exists
 from pagetables.sources.tables import api_responses
 
@@ -163,6 +164,11 @@ class Ledger:
         snapshot = self.spark.read.schema(self.stored).parquet(f"{self.root}/snapshots/upto={start}")
         return snapshot.unionByName(later)
 
+    def before(self, batch_id: int) -> DataFrame:
+        """One row per key as it was before a batch, also when that batch comes again;
+        ``batch`` tells when a row came."""
+        return self.merge(self._pieces(batch_id - 1), self.keys)
+
     def _read(self, part: str) -> DataFrame:
         path = f"{self.root}/{part}"
         if not exists(self.spark, path):
@@ -189,3 +195,99 @@ class Ledger:
     def current(self) -> DataFrame:
         """One row per key."""
         return self.merge(self._pieces(), self.keys).drop("batch")
+
+
+RUN_KEY = ["cong_cu", "lan"]
+_SUMS = T.StructType(
+    [
+        T.StructField("cong_cu", T.StringType()),
+        T.StructField("lan", T.IntegerType()),
+        T.StructField("so_url", T.LongType()),
+        T.StructField("so_trang_ok", T.LongType()),
+        T.StructField("tong_thoi_gian", T.DecimalType(28, 6)),
+        T.StructField("thoi_gian_xu_ly", T.DecimalType(28, 6)),
+        T.StructField("thoi_diem", T.TimestampType()),
+    ]
+)
+
+
+def _run_sums(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Per run the sums of its changes, and the latest time."""
+    merged = totals(rows.drop("thoi_diem"), keys)
+    latest_at = rows.groupBy(*keys).agg(F.max("thoi_diem").alias("thoi_diem"))
+    same = [F.col(f"s.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys]
+    both = merged.alias("s").join(latest_at.alias("t"), same)
+    return both.select(*[F.col(f"s.{c}") if c != "thoi_diem" else F.col("t.thoi_diem") for c in rows.columns])
+
+
+class RunLedger:
+    """The run ledger, fed by results as they come: two ledgers under one folder.
+
+    ``results`` holds the newest result per tool, run and URL. When a batch replaces a
+    result, the run's changes take the old one out and put the new one in; a result
+    that is older than the one that stands changes neither. Only the batch's keys
+    are sought among the results, and a batch that comes again is compared with the results
+    before it, so it writes the same changes.
+
+    A run's ``so_url``, ``so_trang_ok`` and ``thoi_gian_xu_ly`` are of the results that
+    stand; ``tong_thoi_gian`` is the time of all tries, replaced ones too, and ``thoi_diem``
+    that of the last try. Nothing measures ``ram_dinh_mb``, which is null. Results with a
+    null in their key go to the rejects of ``results`` and count for no run.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, ok: str = "ok", compact_every: int = COMPACT_EVERY):
+        self.ok = ok
+        order = newest("thoi_diem", "thoi_gian_xu_ly")
+        self.results = Ledger(spark, f"{root}/results", RESULTS, RESULT_KEY, order, compact_every)
+        self.runs = Ledger(spark, f"{root}/runs", _SUMS, RUN_KEY, _run_sums, compact_every)
+
+    def _counted(self, rows: DataFrame, sign: int) -> DataFrame:
+        """What results that stand (1) or go (-1) add to their runs."""
+        seconds = F.coalesce(F.col("thoi_gian_xu_ly").cast("decimal(18,6)"), F.lit(0))
+        return rows.select(
+            *RUN_KEY,
+            F.lit(sign).cast("long").alias("so_url"),
+            (F.coalesce(F.col("trang_thai") == self.ok, F.lit(False)).cast("long") * sign).alias("so_trang_ok"),
+            F.lit(0).cast("decimal(28,6)").alias("tong_thoi_gian"),
+            (seconds * sign).cast("decimal(28,6)").alias("thoi_gian_xu_ly"),
+            F.lit(None).cast("timestamp").alias("thoi_diem"),
+        )
+
+    def write_batch(self, batch: DataFrame, batch_id: int) -> None:
+        complete = F.lit(True)
+        for key in RESULT_KEY:
+            complete = complete & F.col(key).isNotNull()
+        rows = batch.select(*RESULTS.names).filter(complete).withColumn("batch", F.lit(batch_id).cast("long"))
+        came = self.results.merge(rows, RESULT_KEY)
+        earlier = self.results.before(batch_id)
+        stood = earlier.join(came.select(*RESULT_KEY), RESULT_KEY, "left_semi")
+        stands = self.results.merge(came.unionByName(stood), RESULT_KEY)
+        replacing = stands.filter(F.col("batch") == batch_id)
+        replaced = stood.join(replacing.select(*RESULT_KEY), RESULT_KEY, "left_semi")
+        tried = rows.groupBy(*RUN_KEY).agg(
+            F.coalesce(F.sum(F.col("thoi_gian_xu_ly").cast("decimal(18,6)")), F.lit(0)).cast("decimal(28,6)").alias("tong_thoi_gian"),
+            F.max("thoi_diem").alias("thoi_diem"),
+        )
+        none = F.lit(0).cast("long")
+        tries = tried.select(
+            *RUN_KEY, none.alias("so_url"), none.alias("so_trang_ok"), "tong_thoi_gian",
+            F.lit(0).cast("decimal(28,6)").alias("thoi_gian_xu_ly"), "thoi_diem",
+        )
+        changes = self._counted(replacing, 1).unionByName(self._counted(replaced, -1)).unionByName(tries)
+        self.runs.write_batch(changes, batch_id)
+        self.results.write_batch(batch, batch_id)
+
+    def drain(self, stream: DataFrame) -> None:
+        """Take in all results that ``stream`` holds now."""
+        query = (
+            stream.writeStream.foreachBatch(self.write_batch)
+            .option("checkpointLocation", f"{self.runs.root}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+
+    def current(self) -> DataFrame:
+        """One row per run, under the fixed columns."""
+        sums = self.runs.current().withColumn("ram_dinh_mb", F.lit(None).cast("double"))
+        return sums.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RUNS.fields])
