@@ -22,6 +22,21 @@ def _unquote(path: Column) -> Column:
     return F.coalesce(F.try_url_decode(safe), path)
 
 
+def _pattern(value: Column) -> Column:
+    """A rule with ``*`` (any characters) or a last ``$`` (the end) as a pattern; null for others.
+
+    Parts between are plain text, percent-decoded on their own, so that ``%2A`` stays a star.
+    """
+    to_end = value.endswith("$")
+    whole = F.when(to_end, F.left(value, F.char_length(value) - 1)).otherwise(value)
+    parts = F.transform(
+        F.split(whole, r"\*"),
+        lambda part: F.concat(F.lit(r"\Q"), F.replace(_unquote(part), F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E")),
+    )
+    pattern = F.concat(F.lit(r"(?s)\A"), F.array_join(parts, ".*"), F.when(to_end, r"\z").otherwise(""))
+    return F.when(value.contains("*") | to_end, pattern)
+
+
 def robots_lines(robots: DataFrame) -> DataFrame:
     """Lines of ``robots(host, status, body)`` as ``(host, status, n, kind, value)``.
 
@@ -89,6 +104,7 @@ def policies(robots: DataFrame, agent: str) -> DataFrame:
         "n",
         ((F.col("kind") == "allow") | (F.col("value") == "")).alias("allow"),
         _unquote(F.col("value")).alias("path"),
+        _pattern(F.col("value")).alias("pattern"),
     )
     seconds = F.when(is_delay & F.col("value").rlike(r"\A[0-9]+\z"), F.col("value")).try_cast("double")
     groups = grouped.groupBy("host", "group").agg(
@@ -112,12 +128,18 @@ def policies(robots: DataFrame, agent: str) -> DataFrame:
 def may_fetch(path: Column, status: Column, rules: Column, longest: bool = False) -> Column:
     """Whether a path may be fetched: the first fitting rule decides.
 
-    With ``longest`` the longest one does, and allow wins a tie (RFC 9309).
-    401 and 403 for the robots file forbid everything, other 4xx nothing; no
+    With ``longest`` the longest one does, ``*`` and a last ``$`` in rules mean any
+    characters and the end, and allow wins a tie (RFC 9309). 401 and 403 for the robots file forbid everything, other 4xx nothing; no
     file or no fitting rule means allowed.
     """
     target = _unquote(path)
-    fitting = F.filter(rules, lambda r: target.startswith(r["path"]))
+    fits = lambda r: target.startswith(r["path"])
+    if longest:
+        # Plain rules need no pattern; most files have no others.
+        fits = lambda r: F.when(r["pattern"].isNotNull(), F.rlike(target, r["pattern"])).otherwise(
+            target.startswith(r["path"])
+        )
+    fitting = F.filter(rules, fits)
     if longest:
         ordered = F.transform(
             fitting,

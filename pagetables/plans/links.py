@@ -196,6 +196,31 @@ def robots_verdict(spark: SparkSession, folder: str) -> DataFrame:
     return policy.verdicts(urls, robots(spark, folder))
 
 
+# Rules with wildcards, and the same as patterns for the other engine.
+WILD_RULES = [
+    ("Disallow", "/*?page=", r"^/.*\?page="), ("Disallow", "/fr/", "^/fr/"), ("Allow", "/fr/*5", "^/fr/.*5"),
+    ("Disallow", "/en/*1$", "^/en/.*1$"), ("Allow", "/en/1", "^/en/1"), ("Disallow", "/es/9", "^/es/9"),
+    ("Allow", "/es/$", "^/es/$"), ("Allow", "/e%2A", r"^/e\*"), ("Disallow", "/*/2*4$", "^/.*/2.*4$"),
+]
+_WILD_SQL = ", ".join(f"('{p}', {len(r) - 2 * r.count('%2A')}, {k == 'Allow'})" for k, r, p in WILD_RULES)
+
+
+@plan(rf"""
+select page_id, url, coalesce(arg_max(allow, size * 2 + allow::int), true) as allowed
+from pages left join (values {_WILD_SQL}) rules(pattern, size, allow)
+  on regexp_matches(regexp_replace(url, '^[a-z]+://[^/]+', ''), pattern)
+group by page_id, url
+""")
+def robots_rfc9309(spark: SparkSession, folder: str) -> DataFrame:
+    """The longest rule that fits decides; rules hold wildcards and ends."""
+    lines = "\n".join(f"{kind}: {rule}" for kind, rule, _ in WILD_RULES)
+    urls = table(spark, folder, "pages").select("page_id", "url")
+    files = urls.select(L.host(F.col("url")).alias("host")).distinct().select(
+        "host", F.lit(200).alias("status"), F.lit(f"User-agent: *\n{lines}\n").alias("body")
+    )
+    return policy.verdicts(urls, files, longest=True).select("page_id", "url", "allowed")
+
+
 @plan(f"""
 select host, case when host not like 'm.%' then cast(n as double) end as delay from ({HOSTS_SQL})
 """)

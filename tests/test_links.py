@@ -94,6 +94,29 @@ def test_robots_status_sitemaps_and_longest(spark):
     assert maps == ["s1", "s2"]
 
 
+@pytest.mark.parametrize(
+    ("rule", "path", "fits"),
+    [
+        ("/*.pdf$", "/x/a.pdf", True), ("/*.pdf$", "/x/a.pdfs", False), ("/*.pdf", "/x/a.pdf?q", True),
+        ("/a*b*c", "/aXbYYcZ", True), ("/a*b*c", "/aXcYYb", False), ("/a$", "/a", True), ("/a$", "/ab", False),
+        ("/a.c", "/abc", False), ("/a$b", "/a$bc", True), ("/%2A", "/*x", True), ("/%2A", "/x", False),
+        ("/*\\E.+", "/z\\E.+", True), ("/*\\E.+", "/z\\Exx", False), ("*", "/", True), ("/x%20*y$", "/x zzy", True),
+    ],
+)
+def test_robots_wildcards(spark, rule, path, fits):
+    robots = spark.createDataFrame([("h", 200, f"User-agent: *\nDisallow: {rule}\nAllow: /zzzzzzzzzzzz\n")], "host string, status int, body string")
+    urls = spark.createDataFrame([(f"https://h{path}",)], "url string")
+    assert policy.verdicts(urls, robots, longest=True).first().allowed is not fits
+
+
+def test_longest_wildcard_rule_decides(spark):
+    body = "User-agent: *\nDisallow: /*.php$\nAllow: /shop/*.php$\nDisallow: /a\nAllow: /a\n"
+    robots = spark.createDataFrame([("h", 200, body)], "host string, status int, body string")
+    urls = spark.createDataFrame([(f"https://h{p}",) for p in ("/x.php", "/shop/x.php", "/shop/x.php5", "/a")], "url string")
+    found = {r.url[9:]: r.allowed for r in policy.verdicts(urls, robots, longest=True).collect()}
+    assert found == {"/x.php": False, "/shop/x.php": True, "/shop/x.php5": True, "/a": True}
+
+
 def test_schedule_of_a_hot_host(spark):
     host = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("h"), (F.col("id") % 7).cast("string")))
     links = spark.range(2500).select("id", F.concat(F.lit("https://"), host, F.lit("/p")).alias("url"))
