@@ -23,6 +23,7 @@ HEADLINE = [
     "default_pick", "composite_key_violations", "unique_violations", "assign_ids", "update_by_key",
     "upsert_by_key", "lookup_batch", "category_crawl", "url_table", "substring_search", "squash_whitespace", "csv_roundtrip",
     "run_ledger", "harvest_growth", "stream_harvest", "stream_upsert", "stream_run_summary",
+    "card_frontier", "listing_harvest", "listing_records", "robots_rfc9309", "result_runs",
 ]
 
 

@@ -16,7 +16,7 @@ from pagetables.functions.links import resolve_slug
 from pagetables.functions.state import recursive_slugs
 from pagetables.operators.keyed import latest
 from pagetables.schemas import RESULT_KEY, RESULTS, RUNS
-from pagetables.session import exists
+from pagetables.session import children, exists, remove
 from pagetables.sources.tables import api_responses
 
 # Our parameters: the width of a summary window, and after how many batches a
@@ -109,6 +109,10 @@ class Ledger:
     last snapshot with the changes after it: one aggregate that combines before its
     shuffle. Rows with a null in their key go to ``rejects``.
 
+    Two snapshots are kept; older ones, and changes that the older of the two holds, are
+    removed when a new one is marked. A reader should therefore not hold a ledger's rows
+    over many batches.
+
     ``merge`` must not care in which order, or in how many steps, rows are merged.
     """
 
@@ -144,6 +148,25 @@ class Ledger:
         merged.write.mode("overwrite").parquet(f"{self.root}/snapshots/upto={upto}")
         mark = self.spark.range(1).select(F.lit(True).alias("done"))
         mark.write.mode("overwrite").parquet(f"{self.root}/marks/upto={upto}")
+        self._forget(upto)
+
+    def _forget(self, upto: int) -> None:
+        """Remove what the last two snapshots have made needless.
+
+        The last batch may come again and is then merged with what was before it: the
+        snapshot before this one stays, and so do the changes after it. Marks go first, so that
+        no mark is left without its snapshot.
+        """
+        done = sorted(int(name.split("=")[1]) for name in children(self.spark, f"{self.root}/marks") if "=" in name)
+        earlier = [n for n in done if n < upto]
+        if not earlier:
+            return
+        for old in earlier[:-1]:
+            remove(self.spark, f"{self.root}/marks/upto={old}")
+            remove(self.spark, f"{self.root}/snapshots/upto={old}")
+        for name in children(self.spark, f"{self.root}/changes"):
+            if "=" in name and int(name.split("=")[1]) <= earlier[-1]:
+                remove(self.spark, f"{self.root}/changes/{name}")
 
     def last_snapshot(self, before: int | None = None) -> int:
         """The batch up to which rows are in a snapshot; -1 if there is none."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagetables.functions.state import API_HINT
-from pagetables.session import fresh_path
+from pagetables.session import children, fresh_path
 from pagetables.streaming import jobs
 
 LEDGER = T.StructType(
@@ -37,6 +37,20 @@ def test_ledger_keeps_the_newest_and_replays(spark):
     assert [(r.at, r.v, r.batch) for r in book.rejects().collect()] == [(9, "no", 0)]
 
 
+def test_a_ledger_keeps_two_snapshots(spark):
+    root = fresh_path(spark, "book")
+    book = jobs.Ledger(spark, root, LEDGER, ["k"], jobs.newest("at"), compact_every=2)
+    days = [spark.createDataFrame([(f"k{n % 3}", n, str(n)), ("a", n, str(n))], LEDGER) for n in range(9)]
+    for n, day in enumerate(days):
+        book.write_batch(day, n)
+        # The batch comes again, and once more after a restart.
+        jobs.Ledger(spark, root, LEDGER, ["k"], jobs.newest("at"), compact_every=2).write_batch(day, n)
+    assert sorted(map(tuple, book.current().collect())) == [("a", 8, "8"), ("k0", 6, "6"), ("k1", 7, "7"), ("k2", 8, "8")]
+    assert sorted(children(spark, f"{root}/snapshots")) == ["upto=5", "upto=7"] == sorted(children(spark, f"{root}/marks"))
+    assert sorted(children(spark, f"{root}/changes")) == ["batch=6", "batch=7", "batch=8"]
+    assert {(r.k, r.at) for r in book.before(8).collect()} == {("a", 7), ("k0", 6), ("k1", 7), ("k2", 5)}
+
+
 @pytest.mark.parametrize("every", [2])
 def test_ledgers_resume_and_compact(spark, every):
     """Each job is stopped and started anew on its folder, with more input."""
