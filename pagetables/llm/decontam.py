@@ -70,7 +70,9 @@ class Index:
         gram = np.concatenate(grams)
         order = np.argsort(gram, kind="stable")
         self.item, self.place = np.concatenate(item)[order], np.concatenate(place)[order]
-        self.grams, rank = np.unique(gram[order], return_inverse=True)
+        self.grams, self.first, rank, self.times = np.unique(
+            gram[order], return_index=True, return_inverse=True, return_counts=True
+        )
         # Places of a gram lie together, in order of their items: any range of items is a range here.
         self.key = rank * len(items) + self.item
         self.bits = max(16, min(26, int(len(self.grams)).bit_length() + 4))
@@ -131,6 +133,8 @@ def candidates(code: np.ndarray, index: Index) -> np.ndarray:
 def _hits(index: Index, found: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
     """For grams by rank: the first of their places in items from ``lo`` to ``hi``, and how many."""
     n = len(index.texts)
+    if (lo, hi) == (0, n):
+        return index.first[found], index.times[found]
     first = np.searchsorted(index.key, found * n + lo)
     return first, np.searchsorted(index.key, found * n + hi) - first
 
