@@ -18,10 +18,10 @@ nothing.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +31,7 @@ from pagetables.functions import markup as M
 # Elements whose end tag may be left out before another of their name.
 _ENDED_BY_NEXT = frozenset(("p", "li", "dt", "dd", "tr", "td", "th", "option"))
 _TAG = re.compile(r"<[/!?A-Za-z][^>]*(?:>|\Z)")
+_TAGS = re.compile(f"({_TAG.pattern})")
 _NAME = re.compile(r"</?([A-Za-z][^\s/>]*)")
 _ALONE = re.compile(rf"(?i){M._VOID}\Z")
 
@@ -43,59 +44,96 @@ _INDEX = T.StructType(
 )
 
 
-def scan(page: str) -> tuple[list[str], list[list]]:
-    """Texts between the tags, and the elements ``[at, end, depth, up, name, around, tag]``."""
-    texts, found, last = [], [], 0
-    open_at: list[int] = []  # of each open element its place in ``found``
-    open_names: Counter[str] = Counter()
+# A portion of a batch holds about so many characters of pages, and a worker remembers
+# so many tags of so many characters.
+_PORTION = 1 << 20
+_KNOWN_TAGS, _KNOWN_LENGTH = 4096, 100
+
+
+def _kind(tag: str) -> tuple[str, bool, bool, bool]:
+    """A tag's name (empty if it has none), whether it is an end tag, whether it stands
+    alone, and whether the next of its name ends it."""
+    named = _NAME.match(tag)
+    name = named[1].lower() if named else ""
+    alone = tag.endswith("/>") or _ALONE.match(name) is not None
+    return name, tag[1] == "/", alone, name in _ENDED_BY_NEXT
+
+
+def _scan_into(page: str, texts: list[str], columns: list[list], known: dict[str, tuple]) -> None:
+    """Add a page's texts and elements to lists, one for each field of an element."""
+    ats, ends, depths, ups, names, arounds, tags = columns
+    parts = _TAGS.split(page)
+    texts.extend(parts[::2])
+    open_at: list[int] = []  # of each open element its place in the columns
+    open_names: dict[str, int] = {}
 
     def end_top(at: int) -> str:
-        element = found[open_at.pop()]
-        element[1] = at
-        open_names[element[4]] -= 1
-        return element[4]
-
-    for at, match in enumerate(_TAG.finditer(page), 1):
-        texts.append(page[last : match.start()])
-        last, tag = match.end(), match[0]
-        named = _NAME.match(tag)
-        if not named:
+        place = open_at.pop()
+        ends[place] = at
+        open_names[names[place]] -= 1
+        return names[place]
+
+    for at, tag in enumerate(parts[1::2], 1):
+        kind = known.get(tag)
+        if kind is None:
+            kind = _kind(tag)
+            if len(tag) <= _KNOWN_LENGTH and len(known) < _KNOWN_TAGS:
+                known[tag] = kind
+        name, is_end, alone, ended_by_next = kind
+        if not name:
             continue
-        name = named[1].lower()
-        if tag[1] == "/":
+        if is_end:
             # Only where such an element is open is the stack unwound to it.
-            while open_names[name] and end_top(at) != name:
+            while open_names.get(name) and end_top(at) != name:
                 pass
             continue
-        alone = tag.endswith("/>") or _ALONE.match(name) is not None
-        if open_at and not alone and name in _ENDED_BY_NEXT and found[open_at[-1]][4] == name:
+        if open_at and not alone and ended_by_next and names[open_at[-1]] == name:
             end_top(at)
-        up, around = (found[open_at[-1]][0], found[open_at[-1]][4]) if open_at else (0, "")
-        found.append([at, at, len(open_at), up, name, around, tag])
+        ats.append(at)
+        ends.append(at)
+        depths.append(len(open_at))
+        ups.append(ats[open_at[-1]] if open_at else 0)
+        arounds.append(names[open_at[-1]] if open_at else "")
+        names.append(name)
+        tags.append(tag)
         if not alone:
-            open_at.append(len(found) - 1)
-            open_names[name] += 1
-    texts.append(page[last:])
+            open_at.append(len(names) - 1)
+            open_names[name] = open_names.get(name, 0) + 1
     while open_at:
-        end_top(len(texts))
-    return texts, found
+        end_top(len(parts) // 2 + 1)
+
+
+def scan(page: str) -> tuple[list[str], list[list]]:
+    """Texts between the tags, and the elements ``[at, end, depth, up, name, around, tag]``."""
+    texts, columns = [], [[] for _ in _ELEMENT.names]
+    _scan_into(page, texts, columns, {})
+    return texts, [list(e) for e in zip(*columns, strict=True)]
+
+
+def _portions(pages: pa.Array) -> Iterator[pa.Array]:
+    """Parts of a batch, of about ``_PORTION`` bytes or a single page each."""
+    first, size = 0, 0
+    for at, one in enumerate(pc.binary_length(pages).to_pylist()):
+        if at > first and size + (one or 0) > _PORTION:
+            yield pages.slice(first, at - first)
+            first, size = at, 0
+        size += one or 0
+    yield pages.slice(first)
 
 
 @F.arrow_udf(_INDEX)
 def _scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     kinds = [pa.int32()] * 4 + [pa.string()] * 3
-    for pages in batches:
-        texts, elements, text_ends, ends, nulls = [], [], [0], [0], []
-        for page in pages:
-            page = page.as_py()
+    known: dict[str, tuple] = {}
+    # An index is many times its page, so that of a whole batch is never held at once.
+    for pages in (part for batch in batches for part in _portions(batch)):
+        texts, columns, text_ends, ends, nulls = [], [[] for _ in kinds], [0], [0], []
+        for page in pages.to_pylist():
             nulls.append(page is None)
             if page is not None:
-                own, found = scan(page)
-                texts.extend(own)
-                elements.extend(found)
+                _scan_into(page, texts, columns, known)
             text_ends.append(len(texts))
-            ends.append(len(elements))
-        columns = list(zip(*elements, strict=True)) or [[]] * 7
+            ends.append(len(columns[0]))
         values = pa.StructArray.from_arrays(
             [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=_ELEMENT.names
         )

@@ -3,6 +3,7 @@
 import random
 import time
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,3 +98,14 @@ def test_broken_markup(spark, page):
     texts, elements = E.scan(page)
     assert len(texts) == len(M.re.findall(E._TAG, page)) + 1
     assert all(e[1] <= len(texts) for e in elements)
+
+
+def test_a_batch_is_indexed_in_portions():
+    pages = ["<p>x</p>" * 20_000] * 30 + [None, "", "<b>y"]
+    found = list(E._scan.func(iter([pa.array(pages)])))
+    assert sum(map(len, found)) == len(pages)
+    # No portion holds the index of more than a megabyte of markup, or of one page.
+    assert max(len(part.field("elements").flatten()) for part in found) <= 7 * 20_000
+    last = [row for part in found for row in part.to_pylist()][-4:]
+    assert len(last[0]["elements"]) == 20_000
+    assert [r and (r["texts"], len(r["elements"])) for r in last[1:]] == [None, ([""], 0), (["", "y"], 1)]
