@@ -22,7 +22,6 @@ splits where one is hot. Texts without a repeat stay where they are.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagetables.llm.common import maybe_in
-from pagetables.session import materialize
+from pagetables.session import fresh_path, materialize, remove
 
 
 @dataclass(frozen=True)
@@ -45,7 +44,8 @@ class Spans:
 
 
 _MARKS = frozenset(".!?。！？")
-_WORD = re.compile(r"\S+")
+# White space by code point; U+3000 is the last.
+_SPACE = np.array([chr(c).isspace() for c in range(0x3002)])
 _BASE = 0x9E3779B97F4A7C15
 _BACK = pow(_BASE, -1, 1 << 64)
 
@@ -216,10 +216,12 @@ def _places(found: DataFrame) -> DataFrame:
     """``found`` where a hash stands twice or more, and whether a place is ``again``: not
     the first one by document, text and position."""
     place = F.struct("doc_id", "row", "start", "end")
-    heads = found.groupBy("hash").agg(F.min(place).alias("head"), F.count("*").alias("n")).filter("n > 1")
-    heads = materialize(heads.select("hash", "head"), "repeated-runs")
-    likely = maybe_in(found, F.col("hash"), heads.select("hash"), "maybe").filter("maybe").drop("maybe")
-    return likely.join(heads, "hash").select(*found.columns, (place != F.col("head")).alias("again"))
+    # Of most runs only the hash is moved; first places are sought among the few that repeat.
+    often = found.groupBy("hash").count().filter("count > 1").select("hash")
+    often = materialize(often, "repeated-hashes")
+    likely = maybe_in(found, F.col("hash"), often, "maybe").filter("maybe").drop("maybe")
+    heads = likely.groupBy("hash").agg(F.min(place).alias("head"), F.count("*").alias("n")).filter("n > 1")
+    return likely.join(heads.drop("n"), "hash").select(*found.columns, (place != F.col("head")).alias("again"))
 
 
 def _ends_of(rule: Spans):
@@ -255,8 +257,12 @@ def repeated_runs(docs: DataFrame, doc_id: str, text: str, rule: Spans) -> DataF
     """``doc_id``, ``row``, ``runs`` (array of ``start``, ``end`` in words): repeats that are
     not the first."""
     given = _given(docs, doc_id, text).filter("doc_id is not null")
-    found = materialize(given.mapInArrow(_hasher(rule, False), _FOUND), "runs")
+    # The two large tables that nothing reads any more are removed as soon as that is so.
+    spark = docs.sparkSession
+    runs_path, sides_path = fresh_path(spark, "runs"), fresh_path(spark, "next-words")
+    found = materialize(given.mapInArrow(_hasher(rule, False), _FOUND), "runs", runs_path)
     places = materialize(_places(found), "places")
+    remove(spark, runs_path)
     again = places.filter("again")
     run = F.struct("start", "end", "before", "after", "hash")
     removed = again.groupBy("doc_id", "row").agg(F.collect_list(run).alias("runs"))
@@ -268,11 +274,13 @@ def repeated_runs(docs: DataFrame, doc_id: str, text: str, rule: Spans) -> DataF
     )
     sides = places.select("doc_id", "row", F.inline(sides)).filter("word != 0")
     sides = maybe_in(sides, F.col("key"), ends, "maybe").filter("maybe")
-    sides = materialize(sides.select("doc_id", "row", "at", F.xxhash64("key", "word").alias("next")), "next-words")
+    sides = sides.select("doc_id", "row", "at", F.xxhash64("key", "word").alias("next"))
+    sides = materialize(sides, "next-words", sides_path)
     shared = materialize(sides.groupBy("next").count().filter("count > 1").select("next"), "shared-next-words")
     near = maybe_in(sides, F.col("next"), shared, "maybe").filter("maybe")
     near = near.groupBy("doc_id", "row").agg(F.collect_set("at").alias("ends"))
     near = materialize(near, "ends-of-texts")
+    remove(spark, sides_path)
     wanted = maybe_in(given, F.col("row"), near.select("row"), "maybe").filter("maybe")
     # Rows equal in id and text are one document.
     wanted = wanted.join(near, ["doc_id", "row"]).select("doc_id", "text", "row", "ends")
@@ -304,13 +312,19 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rule: Spa
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _portions(batch, 500, 1 << 20):
-                ids, texts, runs = (c.to_pylist() for c in part.columns)
+                ids, texts = (part.column(i).to_pylist() for i in range(2))
                 words = Words(texts, rule)
-                many = np.diff(np.searchsorted(words.begin, words.texts)).tolist()
+                covered = pc.fill_null(pc.list_value_length(part.column(2)), 0).to_numpy()
+                gone = _covered(words, part.column(2).flatten(), covered)
+                total = np.r_[0, np.cumsum(gone)]
+                whole = np.r_[0, np.cumsum(total[words.end] - total[words.begin] == words.end - words.begin)]
+                first = np.searchsorted(words.begin, words.texts)
+                many, removed = np.diff(first).tolist(), np.diff(whole[first]).tolist()
                 rows = []
-                for doc, one, n, covered in zip(ids, texts, many, runs, strict=True):
-                    cut_out = _without(one, Words([one], rule), covered) if covered else (0, [], one)
-                    rows.append((doc, n, *cut_out))
+                for k, (doc, one) in enumerate(zip(ids, texts, strict=True)):
+                    own = gone[words.texts[k] : words.texts[k + 1]]
+                    spans, left = _without(one, own) if covered[k] else ([], one)
+                    rows.append((doc, many[k], removed[k], spans, left))
                 columns = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names
@@ -323,20 +337,29 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rule: Spa
     return joined.select("doc_id", "text", "runs").mapInArrow(cut, schema)
 
 
-def _without(text: str, words: Words, covered: list[dict]) -> tuple[int, list[dict], str]:
-    """How many sentences go, the characters that go as spans, and the text that stays."""
-    depth = np.zeros(words.n + 1, np.int64)
-    for run in covered:
-        depth[run["start"]] += 1
-        depth[run["end"]] -= 1
-    gone = np.cumsum(depth)[:-1] > 0
-    places = [m.span() for m in _WORD.finditer(text)]
+def _covered(words: Words, runs: pa.StructArray, many: np.ndarray) -> np.ndarray:
+    """Which words lie under a run; ``many`` of the runs belong to each text."""
+    low = np.repeat(words.texts[:-1], many)
+    start, end = (runs.field(n).to_numpy(zero_copy_only=False).astype(np.int64) + low for n in ("start", "end"))
+    depth = np.bincount(start, minlength=words.n + 1) - np.bincount(end, minlength=words.n + 1)
+    return np.cumsum(depth)[:-1] > 0
+
+
+def _word_places(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The characters before which words start and end."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    space = _SPACE[np.minimum(codes, len(_SPACE) - 1)]
+    edge = np.flatnonzero(np.diff(np.r_[True, space, True]))
+    return edge[::2], edge[1::2]
+
+
+def _without(text: str, gone: np.ndarray) -> tuple[list[dict], str]:
+    """The characters that go with some words, as spans, and the text that stays."""
+    begin, end = _word_places(text)
     edge = np.flatnonzero(np.diff(np.r_[False, gone, False]))
     spans = [
-        {"start": places[a][0], "end": places[z - 1][1]} for a, z in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)
+        {"start": a, "end": z} for a, z in zip(begin[edge[::2]].tolist(), end[edge[1::2] - 1].tolist(), strict=True)
     ]
-    total = np.r_[0, np.cumsum(gone)]
-    whole = total[words.end] - total[words.begin] == words.end - words.begin
     left, at = "", 0
     for s in [*spans, {"start": len(text), "end": len(text)}]:
         more = text[at : s["start"]]
@@ -348,4 +371,4 @@ def _without(text: str, words: Words, covered: list[dict]) -> tuple[int, list[di
             elif not more.startswith("\n"):
                 more = " " + more.lstrip(" ") if more.strip() else ""
         left, at = left + more, s["end"]
-    return int(whole.sum()), spans, left
+    return spans, left

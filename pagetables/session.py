@@ -77,13 +77,14 @@ def remove(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to a fresh Parquet table and read it back.
+def materialize(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` to a fresh Parquet table and read it back. A caller that removes the
+    table again names the ``path``, one of ``fresh_path``.
 
     Unlike a cached plan, the written table survives the loss of executors, and
     later readers can prune its columns.
     """
     spark = df.sparkSession
-    path = fresh_path(spark, label)
+    path = path or fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

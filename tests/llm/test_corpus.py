@@ -351,6 +351,18 @@ def test_spans_inside_sentences(spark):
         assert [text[s["start"] : s["end"]] for s in found[i]["spans"]] == wanted, i
 
 
+def test_spans_remove_their_largest_tables(spark):
+    from pagetables.session import children, shared_dir
+
+    text = " ".join(f"word{i}" for i in range(120)) + "."
+    before = set(children(spark, shared_dir(spark)))
+    rows = [(1, text), (2, f"Before it. {text}"), (3, None)]
+    found = span_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["text"] for r in found} == {1: text, 2: "Before it.", 3: ""}
+    made = {n.rsplit("-", 1)[0] for n in set(children(spark, shared_dir(spark))) - before}
+    assert "places" in made and not made & {"runs", "next-words"}
+
+
 def test_leaks(spark, docs, texts):
     items = {r["item_id"]: decontam.normal(r["text"]) for r in table(spark, SMALL, "benchmark").collect()}
     wanted = {(d, i) for d, t in texts.items() for i, x in items.items() if x in decontam.normal(t)}
