@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,9 @@ from pyspark.sql import functions as F
 from pagetables.llm.common import maybe_in
 from pagetables.session import fresh_path, materialize, remove
 
+# Each shuffle here is a good part of the input, and nothing reads it after its write.
+_written = partial(materialize, frees=True)
+
 
 @dataclass(frozen=True)
 class Spans:
@@ -218,7 +222,7 @@ def _places(found: DataFrame) -> DataFrame:
     place = F.struct("doc_id", "row", "start", "end")
     # Of most runs only the hash is moved; first places are sought among the few that repeat.
     often = found.groupBy("hash").count().filter("count > 1").select("hash")
-    often = materialize(often, "repeated-hashes")
+    often = _written(often, "repeated-hashes")
     likely = maybe_in(found, F.col("hash"), often, "maybe").filter("maybe").drop("maybe")
     heads = likely.groupBy("hash").agg(F.min(place).alias("head"), F.count("*").alias("n")).filter("n > 1")
     return likely.join(heads.drop("n"), "hash").select(*found.columns, (place != F.col("head")).alias("again"))
@@ -260,13 +264,13 @@ def repeated_runs(docs: DataFrame, doc_id: str, text: str, rule: Spans) -> DataF
     # The two large tables that nothing reads any more are removed as soon as that is so.
     spark = docs.sparkSession
     runs_path, sides_path = fresh_path(spark, "runs"), fresh_path(spark, "next-words")
-    found = materialize(given.mapInArrow(_hasher(rule, False), _FOUND), "runs", runs_path)
-    places = materialize(_places(found), "places")
+    found = _written(given.mapInArrow(_hasher(rule, False), _FOUND), "runs", runs_path)
+    places = _written(_places(found), "places")
     remove(spark, runs_path)
     again = places.filter("again")
     run = F.struct("start", "end", "before", "after", "hash")
     removed = again.groupBy("doc_id", "row").agg(F.collect_list(run).alias("runs"))
-    ends = materialize(removed.select("runs").mapInArrow(_ends_of(rule), "key long").distinct(), "ends")
+    ends = _written(removed.select("runs").mapInArrow(_ends_of(rule), "key long").distinct(), "ends")
     # A run that is taken for one at an end only adds hashes, of real repeats or of none.
     sides = F.array(
         F.struct(F.col("hash").alias("key"), F.col("before").alias("word"), F.col("start").alias("at")),
@@ -275,17 +279,17 @@ def repeated_runs(docs: DataFrame, doc_id: str, text: str, rule: Spans) -> DataF
     sides = places.select("doc_id", "row", F.inline(sides)).filter("word != 0")
     sides = maybe_in(sides, F.col("key"), ends, "maybe").filter("maybe")
     sides = sides.select("doc_id", "row", "at", F.xxhash64("key", "word").alias("next"))
-    sides = materialize(sides, "next-words", sides_path)
-    shared = materialize(sides.groupBy("next").count().filter("count > 1").select("next"), "shared-next-words")
+    sides = _written(sides, "next-words", sides_path)
+    shared = _written(sides.groupBy("next").count().filter("count > 1").select("next"), "shared-next-words")
     near = maybe_in(sides, F.col("next"), shared, "maybe").filter("maybe")
     near = near.groupBy("doc_id", "row").agg(F.collect_set("at").alias("ends"))
-    near = materialize(near, "ends-of-texts")
+    near = _written(near, "ends-of-texts")
     remove(spark, sides_path)
     wanted = maybe_in(given, F.col("row"), near.select("row"), "maybe").filter("maybe")
     # Rows equal in id and text are one document.
     wanted = wanted.join(near, ["doc_id", "row"]).select("doc_id", "text", "row", "ends")
     rim = wanted.mapInArrow(_hasher(rule, True), _FOUND).drop("before", "after")
-    rim = materialize(rim, "runs-across")
+    rim = _written(rim, "runs-across")
     every = again.select("doc_id", "row", "start", "end").union(
         _places(rim).filter("again").select("doc_id", "row", "start", "end")
     )
@@ -301,7 +305,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rule: Spa
     make others so. Rows equal in id and text are one document, and are cleaned alike.
     Other columns are not read.
     """
-    gone = materialize(repeated_runs(docs, doc_id, text, rule), "covered")
+    gone = _written(repeated_runs(docs, doc_id, text, rule), "covered")
     # Texts without a repeat, the most of them, are not moved.
     flagged = maybe_in(_given(docs, doc_id, text), F.col("row"), gone.select("row"), "maybe")
     none = F.lit(None).cast(gone.schema["runs"].dataType).alias("runs")

@@ -77,14 +77,28 @@ def remove(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def materialize(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+# Whether the shuffle files of a query are removed when it ends.
+_FREES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialize(df: DataFrame, label: str, path: str | None = None, frees: bool = False) -> DataFrame:
     """Write ``df`` to a fresh Parquet table and read it back. A caller that removes the
-    table again names the ``path``, one of ``fresh_path``.
+    table again names the ``path``, one of ``fresh_path``. With ``frees`` the shuffle files of
+    the write go as soon as it ends, not when the driver next collects its garbage.
 
     Unlike a cached plan, the written table survives the loss of executors, and
     later readers can prune its columns.
     """
     spark = df.sparkSession
     path = path or fresh_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(_FREES, None)
+    if frees:
+        spark.conf.set(_FREES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if frees and before is None:
+            spark.conf.unset(_FREES)
+        elif frees:
+            spark.conf.set(_FREES, before)
     return spark.read.schema(df.schema).parquet(path)
