@@ -18,7 +18,7 @@ nothing.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -162,11 +162,23 @@ def with_index(pages: DataFrame, html: str = "html", name: str = "page") -> Data
 
 
 class Page:
-    """Reads a column that holds an index. Elements are found in page order."""
+    """Reads a column that holds an index. Elements are found in page order.
 
-    def __init__(self, column: str | Column = "page") -> None:
+    ``lists`` holds columns of ``parts``: rules look through these alone.
+    """
+
+    def __init__(self, column: str | Column = "page", lists: dict[str, Column] | None = None) -> None:
         self.at = F.col(column) if isinstance(column, str) else column
         self.texts, self.elements = self.at["texts"], self.at["elements"]
+        self.lists = lists or {}
+
+    def parts(self, tags: Iterable[str]) -> dict[str, Column]:
+        """The elements of some names, and under ``=`` those whose tag sets a value."""
+        named = {tag: self.find(tag) for tag in tags}
+        return named | {"=": F.filter(self.elements, lambda e: e["tag"].contains("="))}
+
+    def _among(self, tag: str | None, value: str | None) -> Column:
+        return self.lists.get("=" if value is not None else tag, self.elements)
 
     def find(
         self,
@@ -188,7 +200,7 @@ class Page:
                 result = result & e["tag"].contains(value)
             return result & e["tag"].rlike(pattern) if attr is not None else result
 
-        return F.filter(self.elements if among is None else among, fits)
+        return F.filter(self._among(tag, value) if among is None else among, fits)
 
     def first(
         self,

@@ -23,10 +23,11 @@ from pyspark.sql import functions as F
 from pagetables.functions.text import squash, strip_ends
 
 _TAG = r"<[/!?A-Za-z][^>]*(?:>|\z)"
-# Possessive loops run from one candidate end to the next without backtracking.
+# Possessive loops run from one candidate end to the next without backtracking. What all
+# branches begin with stands before them: a search then tests one character per place.
 _HIDDEN = (
-    r"(?i)<!--[^-]*+(?:-(?!->)[^-]*+)*+(?:-->)?"
-    r"|<(script|style)\b[^>]*+>[^<]*+(?:<(?!/\1\b)[^<]*+)*+(?:</\1[^>]*+>)?"
+    r"(?i)<(?:!--[^-]*+(?:-(?!->)[^-]*+)*+(?:-->)?"
+    r"|(script|style)\b[^>]*+>[^<]*+(?:<(?!/\1\b)[^<]*+)*+(?:</\1[^>]*+>)?)"
 )
 _BLOCK_START = r"(?i)<(?:p|li)(?=[\s>/])[^>]*>"
 _BLOCK_OWN_END = r"</(?:p|li)\s*+>"

@@ -49,8 +49,8 @@ def state_json(page: Column, script_id: str = STATE_SCRIPT_ID) -> Column:
     Comments and other scripts are stepped over, so what they hold is not found.
     """
     pattern = (
-        rf"(?is)<script\s(?:[^>]*?\s)?id\s*=\s*[\"']{script_id}[\"'][^>]*+>(.*?)</script\s*+>"
-        r"|<!--.*?(?:-->|\z)|<script\b[^>]*+>.*?(?:</script\s*+>|\z)"
+        rf"(?is)<(?:script\s(?:[^>]*?\s)?id\s*=\s*[\"']{script_id}[\"'][^>]*+>(.*?)</script\s*+>"
+        r"|!--.*?(?:-->|\z)|script\b[^>]*+>.*?(?:</script\s*+>|\z))"
     )
     found = F.regexp_extract_all(page, F.lit(pattern), F.lit(1))
     return F.when(

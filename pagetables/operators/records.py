@@ -138,7 +138,7 @@ def detail_rows(page: E.Page, labels: list[str] = DETAIL_LABELS) -> Column:
 
     def rows(cells: Column) -> Column:
         boxes = F.filter(
-            page.elements, lambda e: (e["name"] == "div") & F.exists(cells, lambda c: c["at"] == e["at"])
+            page.find("div"), lambda e: F.exists(cells, lambda c: c["at"] == e["at"])
         )
 
         def entries(pairs: Column) -> Column:
@@ -225,7 +225,11 @@ def dom_fields(
     indexed: DataFrame, url: str = "url", also: tuple[str, ...] = (), index: str = "__page"
 ) -> DataFrame:
     """``dom_record`` of pages that are indexed already."""
-    page = E.Page(index)
+    # All rules look through parts of the index, which are made once per page.
+    parts = E.Page(index).parts(("div", "span", "p"))
+    columns = {name: f"__part_{i}" for i, name in enumerate(parts)}
+    indexed = indexed.withColumns({columns[name]: part for name, part in parts.items()})
+    page = E.Page(index, {name: F.col(column) for name, column in columns.items()})
     texts = {
         "ten": page.first(None, "data-test", "product_name"),
         "sku": page.first(None, "data-test-id", "sku"),
