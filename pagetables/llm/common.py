@@ -5,8 +5,10 @@ from __future__ import annotations
 import math
 import sys
 import types
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,6 +63,19 @@ def maybe_in(df: DataFrame, value: Column, ids: DataFrame, name: str) -> DataFra
     return held.select(*(f"`{c}`" for c in df.columns), flag.alias(name))
 
 
+def portions(batch: pa.RecordBatch, rows: int, chars: int) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch, at most so many and of about so many characters (of its second
+    column) at a time."""
+    first, size = 0, 0
+    for at, one in enumerate(pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_pylist()):
+        if at > first and (at - first == rows or size + one > chars):
+            yield batch.slice(first, at - first)
+            first, size = at, 0
+        size += one
+    if first < batch.num_rows:
+        yield batch.slice(first)
+
+
 def worker_state(name: str, make: Callable[[], object]) -> object:
     """What ``make`` gave when this Python worker first asked for ``name``.
 

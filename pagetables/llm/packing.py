@@ -17,12 +17,15 @@ import zlib
 from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagetables.llm.common import portions
 from pagetables.session import materialize
 
 
@@ -37,7 +40,39 @@ class Packing:
     most_words: int = 1_600_000
 
 
-def encoder(tokenizer: str, rule: Packing) -> Callable[[list[str | None]], Iterator[np.ndarray]]:
+#: Words with more characters are encoded anew wherever they come.
+_LONGEST = 64
+_MARK = "~"
+
+
+def _words_to_ids(model, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of some words, one word after the other, and how many each has.
+
+    Words are encoded many at a time with a mark between. Where marks are not found
+    again as often as they were set, each word of that stretch is encoded on its own.
+    """
+    mark = model.encode(_MARK, add_special_tokens=False).ids
+    own, many = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
+    for at in range(0, len(words), 256):
+        some = words[at : at + 256]
+        ids = np.array(model.encode_batch_fast([f" {_MARK} ".join(some)], add_special_tokens=False)[0].ids, np.uint32)
+        marks = np.flatnonzero(ids == mark[0]) if len(mark) == 1 else []
+        if len(marks) == len(some) - 1:
+            own.append(np.delete(ids, marks))
+            many.append(np.diff(np.r_[-1, marks, len(ids)]).astype(np.int64) - 1)
+        else:
+            each = [e.ids for e in model.encode_batch_fast(some, add_special_tokens=False)]
+            own += [np.array(ids, np.uint32) for ids in each]
+            many.append(np.array([len(ids) for ids in each], np.int64))
+    return np.concatenate(own), np.concatenate(many)
+
+
+def _gathered(values: np.ndarray, start: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """``many`` values from each ``start`` on, one stretch after the other."""
+    return values[np.repeat(start - (np.cumsum(many) - many), many) + np.arange(many.sum())]
+
+
+def encoder(tokenizer: str, rule: Packing) -> Callable[[pa.Array], Iterator[np.ndarray]]:
     """A function from texts to their ids, equal to encoding each text on its own.
 
     The tokenizer must drop white space and never merge across it, as those with word
@@ -51,21 +86,39 @@ def encoder(tokenizer: str, rule: Packing) -> Callable[[list[str | None]], Itera
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     kept = tokenizers.__dict__.setdefault("_ids_of_words", {})
     if tokenizer not in kept:
-        kept[tokenizer] = (tokenizers.Tokenizer.from_file(tokenizer), {})
-    model, known = kept[tokenizer]
-
-    def encode(texts: list[str | None]) -> Iterator[np.ndarray]:
-        cut = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        new = list(set().union(*cut).difference(known))
-        ids = (array("I", e.ids).tobytes() for e in model.encode_batch_fast(new, add_special_tokens=False))
-        fresh = dict(zip(new, ids, strict=True))
-        if len(known) + len(fresh) <= rule.most_words:
-            known.update(fresh)
-            look = known.__getitem__
-        else:
-            look = {w: known[w] if w in known else fresh[w] for w in set().union(*cut)}.__getitem__
-        for parts in cut:
-            yield np.frombuffer(b"".join(map(look, parts)), np.uint32)
+        # The number of each word; word n has the ids from at[n] to at[n + 1].
+        nothing = {"number": {}, "ids": np.empty(0, np.uint32), "at": np.zeros(1, np.int64)}
+        kept[tokenizer] = {"model": tokenizers.Tokenizer.from_file(tokenizer), **nothing}
+    held = kept[tokenizer]
+
+    def encode(texts: pa.Array) -> Iterator[np.ndarray]:
+        cut = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        coded = cut.flatten().dictionary_encode()
+        words, place = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        number = np.fromiter(map(held["number"].get, words, repeat(-1)), np.int64, len(words))
+        # Words with a mark stand together, so that few others share a stretch with them.
+        new = np.array(sorted(np.flatnonzero(number < 0).tolist(), key=lambda n: _MARK in words[n]), np.int64)
+        fresh, many = _words_to_ids(held["model"], [words[n] for n in new])
+        old = np.flatnonzero(number >= 0)
+        start, size = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+        size[old], size[new] = np.diff(held["at"])[number[old]], many
+        known = _gathered(held["ids"], held["at"][number[old]], size[old])
+        start[old], start[new] = np.cumsum(size[old]) - size[old], len(known) + np.cumsum(many) - many
+        room = max(0, rule.most_words - len(held["number"]))
+        keep = [k for k, n in enumerate(new.tolist()) if len(words[n]) <= _LONGEST][:room]
+        if keep:
+            held["number"].update(zip((words[n] for n in new[keep]), range(len(held["at"]) - 1, rule.most_words)))
+            held["ids"] = np.r_[held["ids"], _gathered(fresh, np.cumsum(many)[keep] - many[keep], many[keep])]
+            held["at"] = np.r_[held["at"], held["at"][-1] + np.cumsum(many[keep])]
+        own = np.r_[known, fresh]
+        bounds = cut.offsets.to_numpy()
+        bounds = bounds - bounds[0]
+        for first in range(0, len(cut), 500):
+            some = bounds[first : first + 501]
+            here = place[some[0] : some[-1]]
+            ids = _gathered(own, start[here], size[here])
+            ends = np.r_[0, np.cumsum(size[here])][some - some[0]].tolist()
+            yield from map(ids.__getitem__, map(slice, ends[:-1], ends[1:]))
 
     return encode
 
@@ -85,9 +138,8 @@ def pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer, rule)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                rows, texts = [], part.column(1).to_pylist()
+            for part in portions(batch, 10_000, 1 << 22):
+                rows, texts = [], part.column(1)
                 given = zip(part.column(0).to_pylist(), part.column(2).to_pylist(), encode(texts), strict=True)
                 for doc, row, ids in given:
                     for start, piece in _pieces_of(ids, rule):

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagetables.llm.common import maybe_in
+from pagetables.llm.common import maybe_in, portions
 from pagetables.session import fresh_path, materialize, remove
 
 # Each shuffle here is a good part of the input, and nothing reads it after its write.
@@ -151,18 +151,6 @@ class Words:
         return start, start + size
 
 
-def _portions(batch: pa.RecordBatch, rows: int, chars: int) -> Iterator[pa.RecordBatch]:
-    """Rows of a batch, at most so many and of about so many characters at a time."""
-    first, size = 0, 0
-    for at, one in enumerate(pc.utf8_length(batch.column(1)).to_pylist()):
-        if at > first and (at - first == rows or size + one > chars):
-            yield batch.slice(first, at - first)
-            first, size = at, 0
-        size += one
-    if first < batch.num_rows:
-        yield batch.slice(first)
-
-
 _FOUND = "hash long, doc_id long, row long, start int, end int, before int, after int"
 
 
@@ -174,7 +162,7 @@ def _hasher(rule: Spans, rim: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in _portions(whole, 500, 1 << 20):
+            for batch in portions(whole, 500, 1 << 20):
                 ids, texts, rows = (batch.column(i).to_pylist() for i in range(3))
                 words = Words(texts, rule)
                 if not words.n:
@@ -315,7 +303,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rule: Spa
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in _portions(batch, 500, 1 << 20):
+            for part in portions(batch, 500, 1 << 20):
                 ids, texts = (part.column(i).to_pylist() for i in range(2))
                 words = Words(texts, rule)
                 covered = pc.fill_null(pc.list_value_length(part.column(2)), 0).to_numpy()

@@ -463,3 +463,35 @@ def test_pipeline_against_its_stages(spark, texts):
     groups = reach({i: shingles(t, 5) for i, t in cleaned.items()})
     leaky = {d for d in cleaned for x in items if x in decontam.normal(cleaned[d])}
     assert kept == {d for d in cleaned if groups[d] == d} - leaky
+
+
+def test_new_words_are_encoded_many_at_a_time():
+    import pyarrow as pa
+    import tokenizers
+
+    class Counting:
+        calls = 0
+
+        def encode(self, text, **more):
+            return model.encode(text, **more)
+
+        def encode_batch_fast(self, texts, **more):
+            self.calls += len(texts)
+            return model.encode_batch_fast(texts, **more)
+
+    model, counting = tokenizers.Tokenizer.from_file(tokenizer_file()), Counting()
+    given = ["", "~", "a~b", "\t~́a", "It's", "AÉ́", "ΑΣ", "<|endoftext|>b", "漢字。1234", "x" * 99]
+    plain = [f"w{i}" for i in range(990)]
+    ids, many = packing._words_to_ids(counting, plain + given)
+    wanted = [e.ids for e in model.encode_batch_fast(plain + given, add_special_tokens=False)]
+    assert many.tolist() == [len(w) for w in wanted] and ids.tolist() == sum(wanted, [])
+    assert counting.calls < 300  # only the stretch with marks of its own goes word by word
+    texts = [" ".join(given), None, "\n".join(plain), *given, " ".join(plain[:9] * 3)]
+    for most in (5, 10_000):
+        tokenizers.__dict__.pop("_ids_of_words", None)
+        encode = packing.encoder(tokenizer_file(), packing.Packing(most_words=most))
+        for own in (pa.array(texts), pa.array(texts).slice(1, 9), pa.array(texts[:0], pa.string())):
+            found = [ids.tolist() for ids in encode(own)]
+            assert found == [model.encode(t or "", add_special_tokens=False).ids for t in own.to_pylist()]
+        kept = tokenizers._ids_of_words[tokenizer_file()]["number"]
+        assert len(kept) <= most and max(map(len, kept)) <= 64
