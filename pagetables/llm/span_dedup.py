@@ -16,8 +16,8 @@ words is thus removed to the word, wherever it begins and whichever earlier plac
 
 Hashes are counted with partial sums before the shuffle, so a passage that a third
 of all documents share is one row per task there; only runs that are likely repeats,
-by a bitmap of bounded size, meet the counts again, in a join that adaptive execution
-splits where one is hot. Texts without a repeat stay where they are.
+by a bitmap of bounded size, are moved and put in order; those of a hash with very many
+places stay where they are and meet its first place in a broadcast. Texts without a repeat stay where they are.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagetables.llm.common import maybe_in, portions
@@ -151,6 +151,8 @@ class Words:
         return start, start + size
 
 
+#: Places of a hash beyond which they are not brought together in one task.
+MOST_PLACES = 1 << 16
 _FOUND = "hash long, doc_id long, row long, start int, end int, before int, after int"
 
 
@@ -207,13 +209,26 @@ def _given(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 def _places(found: DataFrame) -> DataFrame:
     """``found`` where a hash stands twice or more, and whether a place is ``again``: not
     the first one by document, text and position."""
-    place = F.struct("doc_id", "row", "start", "end")
     # Of most runs only the hash is moved; first places are sought among the few that repeat.
-    often = found.groupBy("hash").count().filter("count > 1").select("hash")
-    often = _written(often, "repeated-hashes")
-    likely = maybe_in(found, F.col("hash"), often, "maybe").filter("maybe").drop("maybe")
-    heads = likely.groupBy("hash").agg(F.min(place).alias("head"), F.count("*").alias("n")).filter("n > 1")
-    return likely.join(heads.drop("n"), "hash").select(*found.columns, (place != F.col("head")).alias("again"))
+    often = _written(found.groupBy("hash").count().filter("count > 1"), "repeated-hashes")
+    likely = maybe_in(found, F.col("hash"), often.select("hash"), "maybe").filter("maybe").drop("maybe")
+    hot = often.filter(F.col("count") > MOST_PLACES).select("hash")
+    some_hot = not hot.isEmpty()
+    if some_hot:
+        likely = likely.join(F.broadcast(hot), "hash", "left_anti")
+    in_order = Window.partitionBy("hash").orderBy("doc_id", "row", "start", "end")
+    every = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranked = likely.select(
+        *found.columns, (F.rank().over(in_order) > 1).alias("again"), F.count("*").over(every).alias("n")
+    )
+    placed = ranked.filter("n > 1").drop("n")
+    if not some_hot:
+        return placed
+    # Hashes with many places are few: first places by partial minima, which are broadcast.
+    place = F.struct("doc_id", "row", "start", "end")
+    many = found.join(F.broadcast(hot), "hash", "left_semi")
+    heads = many.groupBy("hash").agg(F.min(place).alias("head"))
+    return placed.union(many.join(F.broadcast(heads), "hash").select(*found.columns, (place != F.col("head")).alias("again")))
 
 
 def _ends_of(rule: Spans):

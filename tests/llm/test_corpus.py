@@ -495,3 +495,22 @@ def test_new_words_are_encoded_many_at_a_time():
             assert found == [model.encode(t or "", add_special_tokens=False).ids for t in own.to_pylist()]
         kept = tokenizers._ids_of_words[tokenizer_file()]["number"]
         assert len(kept) <= most and max(map(len, kept)) <= 64
+
+
+def test_first_places_of_runs(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = {(rng.choice((rng.randrange(30), 99)), rng.choice((None, 0, 1, -5)) or 7, rng.randrange(3), rng.randrange(40)) for _ in range(300)}
+    rows = [(*r, r[3] + 25, 1, 2) for r in rows]
+    rows += rows[:20]  # rows equal in id and text are one document
+    found = spark.createDataFrame(rows, span_dedup._FOUND)
+    by_hash = {}
+    for r in rows:
+        by_hash.setdefault(r[0], []).append(r)
+    wanted = sorted((*r, r[1:] != min(own)[1:]) for own in by_hash.values() if len(own) > 1 for r in own)
+    for most in (span_dedup.MOST_PLACES, 20, 0):
+        monkeypatch.setattr(span_dedup, "MOST_PLACES", most)
+        places = span_dedup._places(found)
+        assert sorted(map(tuple, places.collect())) == wanted
+        if most > 20:  # rows are moved and sorted once
+            plan = places._jdf.queryExecution().executedPlan().toString()
+            assert "rank(" in plan and "min(struct" not in plan
